@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -210,23 +210,23 @@ def mi_binned(
         .agg(F.count("*").alias("n_xy"))
     )
     # From here on there are at most features x bins x classes rows.
-    by_x = cells.groupBy("feature", "bin").agg(F.sum("n_xy").alias("n_x"))
-    by_y = cells.groupBy("feature", "y").agg(F.sum("n_xy").alias("n_y"))
-    whole = cells.groupBy("feature").agg(
-        F.sum("n_xy").alias("n"),
-        F.countDistinct("bin").alias("n_bins"),
-        F.countDistinct("y").alias("n_classes"),
-    )
-    share = F.col("n_xy").cast("double") / F.col("n")
-    ratio = F.col("n_xy").cast("double") * F.col("n") / (F.col("n_x").cast("double") * F.col("n_y"))
+    per_bin, per_class = Window.partitionBy("feature", "bin"), Window.partitionBy("feature", "y")
+    whole = Window.partitionBy("feature")
+    n_xy, n = F.col("n_xy").cast("double"), F.col("n")
     scored = (
-        cells.join(by_x, ["feature", "bin"])
-        .join(by_y, ["feature", "y"])
-        .join(whole, "feature")
+        cells.withColumns(
+            {
+                "n_x": F.sum("n_xy").over(per_bin).cast("double"),
+                "n_y": F.sum("n_xy").over(per_class),
+                "n": F.sum("n_xy").over(whole),
+            }
+        )
         .groupBy("feature")
         .agg(
-            F.sum(share * F.log(ratio)).alias("mi"),
-            F.first((F.col("n_bins") - 1) * (F.col("n_classes") - 1) / (2 * F.col("n"))).alias("bias"),
+            F.sum(n_xy / n * F.log(n_xy * n / (F.col("n_x") * F.col("n_y")))).alias("mi"),
+            (
+                (F.countDistinct("bin") - 1) * (F.countDistinct("y") - 1) / (2 * F.max("n"))
+            ).alias("bias"),
         )
     )
     return scored.select(

@@ -173,23 +173,43 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 def describe_numeric(df: DataFrame, columns: Sequence[str], **quantile_args) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per column."""
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], **quantile_args)
-    aggregates = []
-    for c in columns:
-        v = F.col(c).cast("double")
-        aggregates += [
-            F.count(c).alias(f"n__{c}"),
-            F.avg(v).alias(f"mean__{c}"),
-            F.stddev_samp(v).alias(f"std__{c}"),
-            F.min(v).alias(f"min__{c}"),
-            F.max(v).alias(f"max__{c}"),
-        ]
-    wide = df.agg(*aggregates)
-    for c in columns:
-        for name, value in zip(("p25", "p50", "p75"), quartiles[c]):
-            wide = wide.withColumn(f"{name}__{c}", F.lit(value))
-    names = ["n", "mean", "std", "min", "p25", "p50", "p75", "max"]
-    rows = _stacked(wide, [(x, "bigint" if x == "n" else "double") for x in names], columns)
-    return rows.select("feature", "n", *[round6(F.col(x)).alias(x) for x in names[1:]])
+    return (
+        df.select(_numeric_cells(columns).alias("e"))
+        .groupBy("e.feature")
+        .agg(*_moments(F.col("e.value")))
+        .withColumn("q", _lookup(F.col("feature"), quartiles, "array<double>"))
+        .select("feature", "n", *_moment_columns())
+    )
+
+
+def _numeric_cells(columns: Sequence[str]) -> Column:
+    return unpivot_structs(columns, lambda c: [F.col(c).cast("double").alias("value")])
+
+
+def _moments(value: Column) -> list[Column]:
+    return [
+        F.count(value).alias("n"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+    ]
+
+
+def _moment_columns() -> list[Column]:
+    quartiles = [F.get("q", i).alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
+    order = [F.col("mean"), F.col("std"), F.col("min"), *quartiles, F.col("max")]
+    names = ("mean", "std", "min", "p25", "p50", "p75", "max")
+    return [round6(c).alias(n) for c, n in zip(order, names)]
+
+
+def _lookup(key: Column, facts: dict, kind: str) -> Column:
+    """Per-feature facts as a literal map (at most one entry per feature and class)."""
+    entries = []
+    for k, v in facts.items():
+        values = [F.lit(x).cast("double") for x in v]
+        entries += [F.lit(k), F.array(*values).cast(kind)]
+    return F.try_element_at(F.create_map(*entries), key)
 
 
 def outlier_bounds(df: DataFrame, columns: Sequence[str], **quantile_args) -> dict:
@@ -410,48 +430,32 @@ def class_profile(
         (c, k): F.when(cond, F.col(c).cast("double")) for c in numeric for k, cond in groups
     }
     quartiles = exact_quantiles(df, list(slots.items()), [0.25, 0.5, 0.75], **quantile_args)
-    aggregates, entries = [], []
-    for i, (k, cond) in enumerate(groups):
-        aggregates += [
-            F.count(F.when(cond, 1)).alias(f"rows{i}"),
-            F.avg(F.when(cond, F.col(label).cast("double"))).alias(f"rate{i}"),
-        ]
-    for j, c in enumerate([*numeric, *categorical]):
-        is_num = c in numeric
-        for i, (k, cond) in enumerate(groups):
-            own = F.when(cond, F.col(c))
-            tag = f"{j}_{i}"
-            aggregates.append(F.count(own).alias(f"n{tag}"))
-            stats = [F.lit(None).cast("double").alias(x) for x in ("mean", "std", "min", "max")]
-            qs = [F.lit(None).cast("double").alias(x) for x in ("p25", "p50", "p75")]
-            if is_num:
-                v = slots[c, k]
-                for name, agg in (
-                    ("mean", F.avg),
-                    ("std", F.stddev_samp),
-                    ("min", F.min),
-                    ("max", F.max),
-                ):
-                    aggregates.append(agg(v).alias(f"{name}{tag}"))
-                stats = [
-                    round6(F.col(f"{x}{tag}")).alias(x) for x in ("mean", "std", "min", "max")
-                ]
-                qs = [
-                    F.round(F.lit(q).cast("double"), 6).alias(x)
-                    for x, q in zip(("p25", "p50", "p75"), quartiles[c, k])
-                ]
-            entries.append(
-                F.struct(
-                    F.lit(c).alias("feature"),
-                    F.lit(k).cast("int").alias("class"),
-                    F.col(f"n{tag}").alias("n"),
-                    (F.col(f"rows{i}") - F.col(f"n{tag}")).alias("missing"),
-                    *stats,
-                    *qs,
-                    round6(F.col(f"rate{i}")).alias("pos_rate"),
-                )
-            )
-    stats = df.agg(*aggregates).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    # One pass with two grouping sets: by class, and over both classes.
+    numbers = set(numeric)
+    cells = df.select(
+        F.col(label).cast("int").alias("class"),
+        unpivot_structs(
+            [*numeric, *categorical],
+            lambda c: [
+                (F.col(c) if c in numbers else F.lit(None)).cast("double").alias("value"),
+                F.col(c).isNotNull().alias("present"),
+            ],
+        ).alias("e"),
+    ).select("class", "e.*")
+    facts = {f"{c}|{'' if k is None else k}": q for (c, k), q in quartiles.items()}
+    slot = F.concat_ws("|", "feature", F.coalesce(F.col("class").cast("string"), F.lit("")))
+    stats = (
+        cells.groupingSets([["feature", "class"], ["feature"]], "feature", "class")
+        .agg(
+            *_moments(F.col("value"))[1:],
+            F.count(F.when(F.col("present"), 1)).alias("n"),
+            F.count(F.when(~F.col("present"), 1)).alias("missing"),
+            F.grouping("class").alias("is_overall"),
+        )
+        .where("is_overall = 1 OR class IS NOT NULL")
+        .withColumn("q", _lookup(slot, facts, "array<double>"))
+        .select("feature", "class", "n", "missing", *_moment_columns())
+    )
     columns = [*numeric, *categorical]
     # One distinct pass; the overall figure merges the classes' values.
     values = typed_values(df, columns, keep=[F.col(label).alias("class")]).distinct()
@@ -469,8 +473,14 @@ def class_profile(
     same = (F.col("s.feature") == F.col("d.feature")) & F.col("s.class").eqNullSafe(
         F.col("d.class")
     )
+    # The positive rate of a class is 0 or 1; only the overall one needs counting.
+    rate = df.agg(F.avg(F.col(label).cast("double"))).first()[0]
     return (
         stats.alias("s")
         .join(distinct.alias("d"), same, "left")
-        .select("s.*", F.coalesce("d.n_distinct", F.lit(0)).alias("n_distinct"))
+        .select(
+            "s.*",
+            round6(F.coalesce(F.col("s.class").cast("double"), F.lit(rate))).alias("pos_rate"),
+            F.coalesce("d.n_distinct", F.lit(0)).alias("n_distinct"),
+        )
     )

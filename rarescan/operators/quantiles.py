@@ -25,6 +25,8 @@ SMALL_ROWS = 50_000
 SKETCH_ACCURACY = 10_000
 # Aggregates per job; wider jobs only make code generation slower.
 AGGREGATES_PER_JOB = 400
+# Hash aggregation of object states stays in memory up to this many groups.
+GROUPS_PER_JOB = 100
 
 
 @dataclass
@@ -149,6 +151,24 @@ def _interpolate(position: float, lower: float, upper: float) -> float:
     return (above - position) * lower + (position - below) * upper
 
 
+def _plain_quantiles(df: DataFrame, pairs: list, probs: list[float]) -> dict:
+    """One group per column, so columns are merged by different tasks."""
+    found: dict[int, list[float]] = {}
+    for start in range(0, len(pairs), GROUPS_PER_JOB):
+        cells = [
+            F.struct(F.lit(i).alias("i"), pairs[i][1].cast("double").alias("value"))
+            for i in range(start, min(len(pairs), start + GROUPS_PER_JOB))
+        ]
+        rows = (
+            df.select(F.explode(F.array(*cells)).alias("e"))
+            .where("e.value IS NOT NULL")
+            .groupBy("e.i")
+            .agg(F.percentile("e.value", probs).alias("q"))
+        )
+        found.update({r["i"]: list(r["q"]) for r in rows.collect()})
+    return {slot: found.get(i, [None] * len(probs)) for i, (slot, _) in enumerate(pairs)}
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Iterable[str | tuple[object, Column]],
@@ -173,11 +193,7 @@ def exact_quantiles(
         counts = _one_row(df, [F.count(c) for _, c in pairs])
         few = sum(counts) <= small_cells
     if few:
-        rows = _one_row(df, [F.percentile(c, probs) for _, c in pairs])
-        return {
-            slot: list(v) if v is not None else [None] * len(probs)
-            for (slot, _), v in zip(pairs, rows)
-        }
+        return _plain_quantiles(df, pairs, probs)
     wanted: dict[tuple, _Wanted] = {}
     for (slot, column), n in zip(pairs, counts):
         for p in probs if n else ():

@@ -502,3 +502,90 @@ SELECT *, round({ratio('tp + tn', 'total - rm')} * 100, 6) AS hit_rate_pct, roun
 ORACLES["cost_report"] = f"WITH {APPS}, {committee_sql('apps')}, {_COST}"
 ORACLES["mix_cost_report"] = f"""
 WITH {APPS}, mix AS {quota_sql('apps', 'mix', MIX, '*')}, {committee_sql('mix')}, {_COST}"""
+
+# ---- features ------------------------------------------------------------------------------
+
+_CLIP_INPUT = {
+    c: f"nullif({c}, -1)" if c in ROLES.marker_flags else c for c in ROLES.clipped
+}
+_BOUNDS = "bounds AS (SELECT " + ", ".join(
+    f"quantile_cont(CAST({e} AS DOUBLE), {p}) AS {c}_{side}"
+    for c, e in _CLIP_INPUT.items()
+    for side, p in (("lo", 0.01), ("hi", 0.99))
+) + " FROM split WHERE split = 'train')"
+
+ORACLES["clip_bounds"] = f"WITH {APPS}, {SPLIT}, {_BOUNDS} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round({c}_lo, 6) AS lower, round({c}_hi, 6) AS upper FROM bounds"
+    for c in ROLES.clipped
+)
+
+_REPLACED = {c: f"CAST(nullif({c}, -1) AS DOUBLE)" for c in ROLES.marker_flags}
+for _c in ROLES.clipped:
+    _e = _REPLACED.get(_c, f"CAST({_c} AS DOUBLE)")
+    _REPLACED[_c] = f"CASE WHEN {_e} IS NULL THEN NULL ELSE greatest(least({_e}, {_c}_hi), {_c}_lo) END"
+_STEP1 = f"""step1 AS (SELECT split.* EXCLUDE ({', '.join(ROLES.no_signal)}) REPLACE ({', '.join(f'{e} AS {c}' for c, e in _REPLACED.items())}),
+  {', '.join(f"CASE WHEN split.{c} = -1 THEN 0 ELSE 1 END AS {f}" for c, f in ROLES.marker_flags.items())},
+  {', '.join(f"CASE WHEN split.{c} = '{v}' THEN 1 ELSE 0 END AS {f}" for c, (v, f) in ROLES.risk_flags.items())}
+  FROM split, bounds)"""
+_MADE = {
+    "digital_risk_score": "email_is_free * device_distinct_emails_8w",
+    "velocity_anomaly": "velocity_6h / nullif(velocity_4w + 1, 0)",
+    "credit_utilization": "intended_balcon_amount / nullif(proposed_credit_limit + 1, 0)",
+    "age_income_risk": "customer_age * income",
+    "multi_risk_flag": "is_high_risk_housing * is_high_risk_os * email_is_free",
+    "phone_mismatch": "CASE WHEN phone_home_valid <> phone_mobile_valid THEN 1 ELSE 0 END",
+    "email_velocity_risk": "email_is_free * velocity_6h",
+    "address_stability": "current_address_months_count / nullif(customer_age * 12e0 + 1, 0)",
+}
+_FE = (
+    f"{APPS}, {SPLIT}, {_BOUNDS}, {_STEP1}, fe AS (SELECT *, "
+    + ", ".join(f"CAST({e} AS DOUBLE) AS {c}" for c, e in _MADE.items())
+    + " FROM step1)"
+)
+_FE_NUMERIC = [
+    *[c for c in NUMERIC if c not in ROLES.no_signal],
+    *ROLES.marker_flags.values(),
+    *[f for _, f in ROLES.risk_flags.values()],
+    *_MADE,
+]
+
+ORACLES["engineered_features"] = (
+    f"WITH {_FE} SELECT application_id, "
+    + ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in _FE_NUMERIC)
+    + f", {', '.join(CATEGORICAL)} FROM fe"
+)
+
+_MEDIANS = "med AS (SELECT " + ", ".join(
+    f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}" for c in _FE_NUMERIC
+) + " FROM fe WHERE split = 'train')"
+_FILLED = "filled AS (SELECT application_id, split, " + ", ".join(
+    f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in _FE_NUMERIC
+) + " FROM fe, med)"
+_SPREAD = "spread AS (SELECT " + ", ".join(
+    f"quantile_cont({c}, 0.5) AS c_{c}, CASE WHEN quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) < 2.3e-15 "
+    f"THEN 1 ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END AS s_{c}"
+    for c in _FE_NUMERIC
+) + " FROM filled WHERE split = 'train')"
+ORACLES["robust_scaled"] = (
+    f"WITH {_FE}, {_MEDIANS}, {_FILLED}, {_SPREAD} SELECT application_id, "
+    + ", ".join(f"round(({c} - c_{c}) / s_{c}, 6) AS {c}" for c in _FE_NUMERIC)
+    + " FROM filled, spread"
+)
+
+# levels seen in train; payment type AE is held back from fitting
+_LEVELS = {
+    "payment_type": ["AA", "AB", "AC", "AD"],
+    "employment_status": ["CA", "CB", "CC", "CD", "CE", "CF", "CG"],
+    "housing_status": ["BA", "BB", "BC", "BD", "BE"],
+    "source": ["INTERNET", "TELEAPP"],
+    "device_os": ["linux", "macintosh", "other", "windows", "x11"],
+}
+ORACLES["one_hot"] = (
+    f"WITH {APPS} SELECT application_id, "
+    + ", ".join(
+        f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS {c}_{v}"
+        for c, levels in _LEVELS.items()
+        for v in levels
+    )
+    + " FROM apps"
+)

@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rarescan.config import BANK_APPLICATIONS as ROLES
 from rarescan.config import SETTINGS
 from rarescan.functions.columns import round6
-from rarescan.operators import association, curves, decisions, metrics, profile, sampling
+from rarescan.operators import (
+    association,
+    curves,
+    decisions,
+    features,
+    metrics,
+    preprocess,
+    profile,
+    sampling,
+)
 from rarescan.sources.applications import SCORES, applications, table
 
 KEY, LABEL = ROLES.key, ROLES.label
@@ -439,3 +450,59 @@ def mix_cost_report(spark, sf):
     df = applications(spark, sf).select(KEY, LABEL, *SCORES)
     mix = sampling.class_quota_sample(df, KEY, LABEL, MIX, "mix")
     return decisions.cost_report(decisions.with_committee(mix, MEMBERS), LABEL)
+
+
+# ---- features ---------------------------------------------------------------------
+
+
+def _fitted(spark, sf):
+    train = applications(spark, sf, "train")
+    return train, applications(spark, sf), features.fit_clip_bounds(train, ROLES)
+
+
+@query
+def clip_bounds(spark, sf):
+    _, _, bounds = _fitted(spark, sf)
+    rows = [(c, round(lo, 6), round(hi, 6)) for c, (lo, hi) in bounds.items()]
+    return profile.small_table(spark, rows, "feature string, lower double, upper double")
+
+
+@query
+def engineered_features(spark, sf):
+    _, df, bounds = _fitted(spark, sf)
+    made = features.engineer(df, ROLES, bounds)
+    numeric, categorical = features.engineered_names(ROLES, df.columns)
+    return made.select(
+        KEY,
+        *[round6(F.col(c).cast("double")).alias(c) for c in numeric],
+        *categorical,
+    )
+
+
+@query
+def robust_scaled(spark, sf):
+    train, df, bounds = _fitted(spark, sf)
+    numeric, categorical = features.engineered_names(ROLES, df.columns)
+    prep = preprocess.RobustPrep(columns=numeric, categories=categorical)
+    model = prep.fit(features.engineer(train, ROLES, bounds))
+    scaled = model.transform(features.engineer(df, ROLES, bounds))
+    return scaled.select(
+        KEY, *[round6(F.col(f"{c}{preprocess.SCALED}")).alias(c) for c in numeric]
+    )
+
+
+@query
+def one_hot(spark, sf):
+    """Levels learned on early periods only, so that later rows hold unseen ones."""
+    df = applications(spark, sf).select(KEY, "split", *CATEGORICAL)
+    unseen = F.when(F.col("payment_type") != "AE", F.col("payment_type"))
+    fit_on = df.where("split = 'train'").withColumn("payment_type", F.coalesce(unseen, F.lit("AD")))
+    stages = preprocess.preprocess_stages(ROLES, CATEGORICAL)[2:4]
+    coded = Pipeline(stages=stages).fit(fit_on).transform(df)
+    slots = []
+    for c in CATEGORICAL:
+        levels = coded.schema[f"{c}{preprocess.HOT}"].metadata["ml_attr"]["attrs"]
+        names = [a["name"] for group in levels.values() for a in sorted(group, key=lambda a: a["idx"])]
+        vector = vector_to_array(F.col(f"{c}{preprocess.HOT}"))
+        slots += [vector[i].cast("int").alias(f"{c}_{n}") for i, n in enumerate(names)]
+    return coded.select(KEY, *slots)
