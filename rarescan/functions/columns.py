@@ -41,10 +41,6 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False)).cast("byte")
 
 
-def round6(column: Column) -> Column:
-    return F.round(column, 6)
-
-
 def unpivot_structs(columns, build) -> Column:
     """explode(array(struct...)): one output row per column and input row.
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rarescan.functions.columns import HASH_SPACE, keyed_hash, round6, unpivot_structs
+from rarescan.functions.columns import HASH_SPACE, keyed_hash, unpivot_structs
 from rarescan.operators.profile import small_table
 from rarescan.operators.quantiles import exact_quantiles
 from rarescan.operators.ranks import average_rank, value_table, with_running
@@ -105,7 +105,7 @@ def spearman(df: DataFrame, key: str, columns: Sequence[str], **rank_args) -> Da
     for i, a in enumerate(columns):
         for j, b in enumerate(columns):
             rho = None if spread[a] or spread[b] else float(matrix[i, j])
-            rows.append((a, b, None if rho is None else round(rho, 6)))
+            rows.append((a, b, rho))
     return small_table(df.sparkSession, rows, "col1 string, col2 string, rho double")
 
 
@@ -166,7 +166,7 @@ def mann_whitney(
             "n1",
             "n2",
             "u_stat",
-            round6(F.col("z")).alias("z"),
+            F.col("z").alias("z"),
             "p_value",
             F.when(F.col("p_value") < SIGNIFICANT, "significant")
             .otherwise("not significant")
@@ -231,8 +231,8 @@ def mi_binned(
     )
     return scored.select(
         "feature",
-        round6(F.abs("mi")).alias("mi"),
-        round6(F.greatest(F.col("mi") - F.col("bias"), F.lit(0.0))).alias("mi_adjusted"),
+        F.abs("mi").alias("mi"),
+        F.greatest(F.col("mi") - F.col("bias"), F.lit(0.0)).alias("mi_adjusted"),
     ).orderBy(F.desc("mi"), "feature")
 
 

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rarescan.functions.columns import ratio0, round6
+from rarescan.functions.columns import ratio0
 
 # Decision names and rule constants.
 BLOCK, REVIEW, APPROVE = "block", "review", "approve"
@@ -175,10 +175,10 @@ def cost_report(
     )
     return totals.select(
         *totals.columns,
-        round6(ratio0(F.col("tp") + F.col("tn"), F.col("total") - F.col("rm")) * 100).alias(
+        (ratio0(F.col("tp") + F.col("tn"), F.col("total") - F.col("rm")) * 100).alias(
             "hit_rate_pct"
         ),
-        round6(ratio0(F.col("fp"), F.col("n_legit")) * 100).alias("friction_pct"),
+        (ratio0(F.col("fp"), F.col("n_legit")) * 100).alias("friction_pct"),
         (F.col("tp") * ticket).alias("saved"),
         (F.col("fn") * ticket).alias("lost"),
         (F.col("n_legit") * ticket).alias("legit_revenue"),

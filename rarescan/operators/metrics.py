@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rarescan.functions.columns import ratio0, round6
+from rarescan.functions.columns import ratio0
 
 DEFAULT_THRESHOLD = 0.5
 
@@ -71,14 +71,14 @@ def binary_metrics(counts: DataFrame) -> DataFrame:
     positives, negatives = F.col("tp") + F.col("fn"), F.col("tn") + F.col("fp")
     return counts.select(
         *counts.columns,
-        round6(p).alias("precision"),
-        round6(r).alias("recall"),
-        round6(f1).alias("f1"),
-        round6(ratio0(F.col("tp") + F.col("tn"), positives + negatives)).alias("accuracy"),
-        round6(ratio0(F.col("tn"), negatives)).alias("tn_rate"),
-        round6(ratio0(F.col("fp"), negatives)).alias("fp_rate"),
-        round6(ratio0(F.col("tp"), positives)).alias("tp_rate"),
-        round6(ratio0(F.col("fn"), positives)).alias("fn_rate"),
+        p.alias("precision"),
+        r.alias("recall"),
+        f1.alias("f1"),
+        ratio0(F.col("tp") + F.col("tn"), positives + negatives).alias("accuracy"),
+        ratio0(F.col("tn"), negatives).alias("tn_rate"),
+        ratio0(F.col("fp"), negatives).alias("fp_rate"),
+        ratio0(F.col("tp"), positives).alias("tp_rate"),
+        ratio0(F.col("fn"), positives).alias("fn_rate"),
     )
 
 
@@ -91,7 +91,7 @@ def class_report(counts: DataFrame) -> DataFrame:
     def row(group: str, values, support: Column) -> Column:
         return F.struct(
             F.lit(group).alias("class"),
-            *[round6(v).alias(n) for n, v in zip(("precision", "recall", "f1"), values)],
+            *[v.alias(n) for n, v in zip(("precision", "recall", "f1"), values)],
             support.alias("support"),
         )
 
@@ -122,7 +122,7 @@ def compare_thresholds(
     )
     return out.withColumns(
         {
-            f"{m}_gain": round6(F.col(f"{m}_tuned") - F.col(f"{m}_default"))
+            f"{m}_gain": (F.col(f"{m}_tuned") - F.col(f"{m}_default"))
             for m in ("f1", "precision", "recall")
         }
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rarescan.functions.columns import ratio0, round6, unpivot_structs
+from rarescan.functions.columns import ratio0, unpivot_structs
 from rarescan.operators.quantiles import exact_quantiles
 
 OUTLIER_FENCE = 1.5
@@ -101,7 +101,7 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         "dtype",
         "non_null",
         nulls.alias("null_count"),
-        round6(ratio0(nulls, F.col("n_rows")) * 100).alias("null_pct"),
+        (ratio0(nulls, F.col("n_rows")) * 100).alias("null_pct"),
     ).orderBy(F.desc("null_pct"), "feature")
 
 
@@ -163,7 +163,7 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     ).select(
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
         F.coalesce("n_duplicates", F.lit(0)).alias("n_duplicates"),
-        round6(ratio0(F.col("n_duplicates"), F.col("n_rows")) * 100).alias("duplicate_pct"),
+        (ratio0(F.col("n_duplicates"), F.col("n_rows")) * 100).alias("duplicate_pct"),
     )
 
 
@@ -200,7 +200,7 @@ def _moment_columns() -> list[Column]:
     quartiles = [F.get("q", i).alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
     order = [F.col("mean"), F.col("std"), F.col("min"), *quartiles, F.col("max")]
     names = ("mean", "std", "min", "p25", "p50", "p75", "max")
-    return [round6(c).alias(n) for c, n in zip(order, names)]
+    return [c.alias(n) for c, n in zip(order, names)]
 
 
 def _lookup(key: Column, facts: dict, kind: str) -> Column:
@@ -239,9 +239,9 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str], **quantile_args) -> Data
         .select(
             "feature",
             "outliers",
-            round6(ratio0(F.col("outliers"), F.col("n_rows")) * 100).alias("outlier_pct"),
-            round6(F.col("lower_bound")).alias("lower_bound"),
-            round6(F.col("upper_bound")).alias("upper_bound"),
+            (ratio0(F.col("outliers"), F.col("n_rows")) * 100).alias("outlier_pct"),
+            F.col("lower_bound").alias("lower_bound"),
+            F.col("upper_bound").alias("upper_bound"),
         )
         .orderBy(F.desc("outlier_pct"), "feature")
     )
@@ -282,7 +282,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
     return counted.withColumn("r", edges).select(
         "feature",
         "bin",
-        round6(F.col("r.lo") + step * F.col("bin")).alias("bin_start"),
+        (F.col("r.lo") + step * F.col("bin")).alias("bin_start"),
         "n",
     )
 
@@ -319,9 +319,9 @@ def box_stats(
         F.struct(
             F.lit(c).alias("feature"),
             F.lit(k).cast("int").alias("class"),
-            *[F.round(F.lit(q), 6).alias(name) for name, q in zip(("q1", "median", "q3"), qs)],
-            round6(F.col(f"lo{i}")).alias("whisker_low"),
-            round6(F.col(f"hi{i}")).alias("whisker_high"),
+            *[F.lit(q).alias(name) for name, q in zip(("q1", "median", "q3"), qs)],
+            F.col(f"lo{i}").alias("whisker_low"),
+            F.col(f"hi{i}").alias("whisker_high"),
             F.col(f"out{i}").alias("outliers"),
         )
         for i, (c, k, *qs) in enumerate(known)
@@ -379,7 +379,7 @@ def target_distribution(df: DataFrame, label: str) -> DataFrame:
     return counts.select(
         label,
         "n",
-        round6(F.col("n") * 100 / F.sum("n").over(whole)).alias("pct"),
+        (F.col("n") * 100 / F.sum("n").over(whole)).alias("pct"),
     )
 
 
@@ -393,7 +393,7 @@ def rate_by_period(df: DataFrame, period: str, label: str) -> DataFrame | None:
         .agg(
             F.count("*").alias("n"),
             F.sum(F.col(label).cast("bigint")).alias("pos"),
-            round6(F.avg(F.col(label).cast("double"))).alias("pos_rate"),
+            F.avg(F.col(label).cast("double")).alias("pos_rate"),
         )
         .orderBy(period)
     )
@@ -411,7 +411,7 @@ def categorical_risk(
     few = sizes.where(F.col("n_values") <= max_values).select("feature")
     return (
         counts.join(few, "feature", "left_semi")
-        .select("feature", "value", "n", "pos", round6(F.col("pos") / F.col("n")).alias("pos_rate"))
+        .select("feature", "value", "n", "pos", (F.col("pos") / F.col("n")).alias("pos_rate"))
         .orderBy("feature", F.desc("pos_rate"), "value")
     )
 
@@ -480,7 +480,7 @@ def class_profile(
         .join(distinct.alias("d"), same, "left")
         .select(
             "s.*",
-            round6(F.coalesce(F.col("s.class").cast("double"), F.lit(rate))).alias("pos_rate"),
+            F.coalesce(F.col("s.class").cast("double"), F.lit(rate)).alias("pos_rate"),
             F.coalesce("d.n_distinct", F.lit(0)).alias("n_distinct"),
         )
     )

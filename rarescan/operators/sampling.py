@@ -241,7 +241,7 @@ def split_summary(df: DataFrame, label: str, split: str = "split") -> DataFrame:
     return df.groupBy(split).agg(
         F.count("*").alias("n_rows"),
         F.sum(F.col(label).cast("bigint")).alias("n_pos"),
-        F.round(F.avg(F.col(label).cast("double")), 6).alias("pos_rate"),
+        F.avg(F.col(label).cast("double")).alias("pos_rate"),
     )
 
 

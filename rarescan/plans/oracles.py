@@ -338,7 +338,7 @@ q AS (SELECT feature, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.7
   stddev_samp(value) AS sd FROM v GROUP BY feature),
 o AS (SELECT feature, max(sd) AS sd, avg(CASE WHEN value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)
   THEN 100e0 ELSE 0e0 END) AS pct FROM v JOIN q USING (feature) GROUP BY feature),
-f AS (SELECT feature, sd = 0 AS constant, pct > 15 AS wide, round(greatest(mi - bias, 0), 6) < 0.0001 AND p >= 0.05 AS silent
+f AS (SELECT feature, sd = 0 AS constant, pct > 15 AS wide, greatest(mi - bias, 0) < 0.0001 AND p >= 0.05 AS silent
   FROM o JOIN mi USING (feature) JOIN tested USING (feature))
 SELECT feature, CASE WHEN constant OR silent THEN 'drop' WHEN wide THEN 'clip' ELSE 'keep' END AS action,
   CASE WHEN constant THEN 'constant' WHEN silent THEN 'no signal' WHEN wide THEN 'many outliers' ELSE '' END AS reason FROM f"""
@@ -431,12 +431,12 @@ UNION ALL SELECT name, 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2
 UNION ALL SELECT name, 'weighted avg', round((p0 * s0 + p1 * s1) / (s0 + s1), 6), round((r0 * s0 + r1 * s1) / (s0 + s1), 6),
   round((f0 * s0 + f1 * s1) / (s0 + s1), 6), s0 + s1 FROM x"""
 
-_SIDE = f"""y AS (SELECT model, string_split(name, '|')[2] AS side, round({ratio('tp', 'tp + fp')}, 6) AS precision,
-  round({ratio('tp', 'tp + fn')}, 6) AS recall, round({ratio('2 * tp', '2 * tp + fp + fn')}, 6) AS f1 FROM cm)"""
+_SIDE = f"""y AS (SELECT model, string_split(name, '|')[2] AS side, {ratio('tp', 'tp + fp')} AS precision,
+  {ratio('tp', 'tp + fn')} AS recall, {ratio('2 * tp', '2 * tp + fp + fn')} AS f1 FROM cm)"""
 ORACLES["compare_thresholds"] = (
     f"WITH {APPS}, {_COUNTS}, {_SIDE} SELECT a.model, "
     + ", ".join(
-        f"a.{m} AS {m}_default, b.{m} AS {m}_tuned, round(b.{m} - a.{m}, 6) AS {m}_gain"
+        f"round(a.{m}, 6) AS {m}_default, round(b.{m}, 6) AS {m}_tuned, round(b.{m} - a.{m}, 6) AS {m}_gain"
         for m in ("f1", "precision", "recall")
     )
     + " FROM y a JOIN y b ON a.model = b.model AND a.side = 'default' AND b.side = 'tuned'"
@@ -589,3 +589,57 @@ ORACLES["one_hot"] = (
     )
     + " FROM apps"
 )
+
+# ---- run facts --------------------------------------------------------------------------------
+
+ORACLES["split_roundtrip"] = f"WITH {TEST} SELECT split, month, {SUMMARY} FROM test GROUP BY split, month"
+
+_MONTHLY = f"""sv AS ({' UNION ALL '.join(f"SELECT '{s}' AS model, month, {s} AS score, fraud_bool AS y FROM apps" for s in SCORES)}),
+g AS (SELECT model, month, score, count(*) AS n, sum(y) AS pos FROM sv GROUP BY model, month, score),
+pts AS (SELECT model, month, score AS threshold, n, pos, sum(pos) OVER d AS tp, sum(n - pos) OVER d AS fp,
+  sum(pos) OVER m AS np, sum(n - pos) OVER m AS nn FROM g
+  WINDOW d AS (PARTITION BY model, month ORDER BY score DESC ROWS UNBOUNDED PRECEDING), m AS (PARTITION BY model, month)),
+pr AS (SELECT *, {ratio('tp', 'tp + fp')} AS p, {ratio('tp', 'np')} AS r FROM pts),
+runs AS (SELECT model, 'run_' || CAST(month AS VARCHAR) AS run_id,
+  sum(pos * (nn - fp + (n - pos) / 2e0)) / (max(np) * max(nn)) AS roc_auc, sum(pos * p) / max(np) AS pr_auc
+  FROM pr GROUP BY model, month)"""
+
+ORACLES["threshold_store"] = f"""
+WITH {APPS}, {_MONTHLY},
+best AS (SELECT model, month, threshold FROM (SELECT *, 2 * (p * r) / (p + r + 1e-10) AS fb FROM pr)
+  WHERE model <> 'score_mlp' AND month < 7
+  QUALIFY row_number() OVER (PARTITION BY model, month ORDER BY fb DESC, threshold) = 1),
+latest AS (SELECT model, arg_max(threshold, month) AS threshold FROM best GROUP BY model),
+wanted AS (SELECT DISTINCT model FROM sv)
+SELECT model, round(coalesce(threshold, 0.5), 6) AS threshold,
+  CASE WHEN threshold IS NULL THEN 'default' ELSE 'saved' END AS source FROM wanted LEFT JOIN latest USING (model)"""
+
+ORACLES["experiment_latest"] = f"""
+WITH {APPS}, {_MONTHLY}, newest AS (SELECT model, max(run_id) AS run_id FROM runs GROUP BY model)
+SELECT n.model, n.run_id, CASE WHEN n.model <> 'score_mlp' OR n.run_id <> 'run_7' THEN round(roc_auc, 6) END AS roc_auc,
+  CASE WHEN n.model <> 'score_mlp' OR n.run_id <> 'run_7' THEN round(pr_auc, 6) END AS pr_auc
+FROM newest n JOIN runs r ON r.model = n.model AND r.run_id = n.run_id"""
+
+ORACLES["experiment_leaderboard"] = f"""
+WITH {APPS}, {_MONTHLY}
+SELECT model, count(*) AS runs, round(avg(roc_auc), 6) AS roc_auc_mean, round(stddev_samp(roc_auc), 6) AS roc_auc_std,
+  round(max(roc_auc), 6) AS roc_auc_best, round(avg(pr_auc), 6) AS pr_auc_mean, round(stddev_samp(pr_auc), 6) AS pr_auc_std,
+  round(max(pr_auc), 6) AS pr_auc_best FROM runs GROUP BY model"""
+
+ORACLES["csv_roundtrip"] = f"""
+WITH {APPS} SELECT month, housing_status, count(*) AS n, CAST(sum(fraud_bool) AS BIGINT) AS pos,
+  CAST(sum(zip_count_4w) AS BIGINT) AS zip_sum, max(velocity_24h) AS velocity_max FROM apps GROUP BY month, housing_status"""
+
+# ---- streams ------------------------------------------------------------------------------------
+
+ORACLES["stream_decisions"] = f"""
+WITH {APPS}, {committee_sql('apps')}
+SELECT decision, outcome, count(*) AS n, CAST(sum(application_id) AS BIGINT) AS key_sum FROM judged GROUP BY 1, 2"""
+ORACLES["stream_running_totals"] = ORACLES["outcome_counts"]
+
+ORACLES["stream_event_tiers"] = """
+WITH e AS (SELECT *, least(value / 500e0, 0.999e0) AS score, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS y FROM events),
+d AS (SELECT *, CASE WHEN score > 0.7e0 THEN 'block' WHEN score > 0.7e0 * 0.8e0 THEN 'review' ELSE 'approve' END AS decision FROM e)
+SELECT strftime(ts, '%Y-%m-%d') AS day, decision, CASE decision WHEN 'block' THEN CASE WHEN y = 1 THEN 'TP' ELSE 'FP' END
+  WHEN 'review' THEN 'RM' ELSE CASE WHEN y = 1 THEN 'FN' ELSE 'TN' END END AS outcome,
+  count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM d GROUP BY 1, 2, 3"""

@@ -3,26 +3,39 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rarescan.config import BANK_APPLICATIONS as ROLES
 from rarescan.config import SETTINGS
-from rarescan.functions.columns import round6
 from rarescan.operators import (
     association,
     curves,
     decisions,
+    explain,
     features,
     metrics,
     preprocess,
     profile,
     sampling,
 )
-from rarescan.sources.applications import SCORES, applications, table
+from rarescan.plans import models, training
+from rarescan.sources.applications import SCORES, applications, prepared_path, table
+from rarescan.sources.shared import new_path
+from rarescan.sources.store import (
+    Store,
+    latest_evaluation,
+    leaderboard,
+    report_section,
+    thresholds_for,
+)
+from rarescan.sources.tables import RAW_COLUMNS, raw_schema, read_table, with_label
+from rarescan.streaming import decisions as streams
 
 KEY, LABEL = ROLES.key, ROLES.label
 NUMERIC, CATEGORICAL = list(ROLES.numeric), list(ROLES.categorical)
@@ -40,9 +53,24 @@ UNDERSAMPLING_RATIO = 0.5
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+DIGITS = 6
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """Round real columns, so that two engines can be compared digit by digit."""
+    real = [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)]
+    return df.withColumns({c: F.round(c, DIGITS) for c in real}) if real else df
+
+
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    """Register ``fn`` under its name; its result is rounded."""
+
+    @wraps(fn)
+    def run(spark, sf):
+        return rounded(fn(spark, sf))
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def _key_summary(df: DataFrame, *by: str) -> DataFrame:
@@ -129,7 +157,7 @@ def demo_sample(spark, sf):
     return sampling.shuffled(picked, KEY, "demo-order").select(
         KEY,
         LABEL,
-        round6(F.col("score_lightgbm")).alias("score"),
+        F.col("score_lightgbm").alias("score"),
         decisions.three_tier("score_lightgbm", TIER_THRESHOLD).alias("decision"),
         decisions.agreement("score_lightgbm", TIER_THRESHOLD, LABEL).alias("agrees"),
     )
@@ -143,9 +171,9 @@ def class_weights(spark, sf):
     weighted = sampling.with_weights(weighted, LABEL, sampling.positive_weight(90), "fixed")
     return weighted.groupBy(LABEL).agg(
         F.count("*").alias("n"),
-        round6(F.max("balanced")).alias("balanced_weight"),
+        F.max("balanced").alias("balanced_weight"),
         F.max("fixed").alias("fixed_weight"),
-        round6(F.sum("balanced")).alias("total_weight"),
+        F.sum("balanced").alias("total_weight"),
     )
 
 
@@ -158,9 +186,7 @@ def replicated_minority(spark, sf):
 @query
 def type_narrowing(spark, sf):
     plan = profile.type_plan(applications(spark, sf, "train"), [*NUMERIC, LABEL])
-    return plan.withColumns(
-        {c: round6(F.col(c)) for c in ("min_value", "max_value")}
-    )
+    return plan
 
 
 # ---- profile ---------------------------------------------------------------------
@@ -267,7 +293,7 @@ def target_correlation(spark, sf):
 @query
 def mann_whitney_u(spark, sf):
     tests = association.mann_whitney(applications(spark, sf), NUMERIC, LABEL)
-    return tests.withColumn("p_value", round6(F.col("p_value")))
+    return tests
 
 
 @query
@@ -285,7 +311,7 @@ def mi_binned(spark, sf):
 @query
 def mi_knn(spark, sf):
     scores = association.mi_knn(applications(spark, sf), KEY, NUMERIC, LABEL, "mi")
-    return scores.withColumn("mi", round6(F.col("mi")))
+    return scores
 
 
 @query
@@ -309,17 +335,17 @@ def _points(spark, sf, by=()):
 
 @query
 def roc_curve(spark, sf):
-    return curves.roc_curve(_points(spark, sf)).withColumn("threshold", round6(F.col("threshold")))
+    return curves.roc_curve(_points(spark, sf))
 
 
 @query
 def pr_curve(spark, sf):
-    return curves.pr_curve(_points(spark, sf)).withColumn("threshold", round6(F.col("threshold")))
+    return curves.pr_curve(_points(spark, sf))
 
 
 @query
 def threshold_tradeoff(spark, sf):
-    return curves.tradeoff(_points(spark, sf)).withColumn("threshold", round6(F.col("threshold")))
+    return curves.tradeoff(_points(spark, sf))
 
 
 @query
@@ -339,7 +365,7 @@ def best_fbeta(spark, sf):
     for beta in (1.0, 2.0):
         one = curves.best_fbeta(points, beta).withColumn("beta", F.lit(beta))
         best = one if best is None else best.unionByName(one)
-    return best.withColumn("threshold", round6(F.col("threshold")))
+    return best
 
 
 @query
@@ -349,7 +375,7 @@ def precision_target(spark, sf):
     for target in (0.20, 0.95, 0.999):
         one = curves.precision_target(points, target).withColumn("target", F.lit(target))
         chosen = one if chosen is None else chosen.unionByName(one)
-    return chosen.withColumn("threshold", round6(F.col("threshold")))
+    return chosen
 
 
 def _cuts() -> dict:
@@ -463,7 +489,7 @@ def _fitted(spark, sf):
 @query
 def clip_bounds(spark, sf):
     _, _, bounds = _fitted(spark, sf)
-    rows = [(c, round(lo, 6), round(hi, 6)) for c, (lo, hi) in bounds.items()]
+    rows = [(c, lo, hi) for c, (lo, hi) in bounds.items()]
     return profile.small_table(spark, rows, "feature string, lower double, upper double")
 
 
@@ -474,7 +500,7 @@ def engineered_features(spark, sf):
     numeric, categorical = features.engineered_names(ROLES, df.columns)
     return made.select(
         KEY,
-        *[round6(F.col(c).cast("double")).alias(c) for c in numeric],
+        *[F.col(c).cast("double").alias(c) for c in numeric],
         *categorical,
     )
 
@@ -487,13 +513,13 @@ def robust_scaled(spark, sf):
     model = prep.fit(features.engineer(train, ROLES, bounds))
     scaled = model.transform(features.engineer(df, ROLES, bounds))
     return scaled.select(
-        KEY, *[round6(F.col(f"{c}{preprocess.SCALED}")).alias(c) for c in numeric]
+        KEY, *[F.col(f"{c}{preprocess.SCALED}").alias(c) for c in numeric]
     )
 
 
 @query
 def one_hot(spark, sf):
-    """Levels learned on early periods only, so that later rows hold unseen ones."""
+    """Levels learned without one payment type, so that some rows hold an unseen one."""
     df = applications(spark, sf).select(KEY, "split", *CATEGORICAL)
     unseen = F.when(F.col("payment_type") != "AE", F.col("payment_type"))
     fit_on = df.where("split = 'train'").withColumn("payment_type", F.coalesce(unseen, F.lit("AD")))
@@ -506,3 +532,264 @@ def one_hot(spark, sf):
         vector = vector_to_array(F.col(f"{c}{preprocess.HOT}"))
         slots += [vector[i].cast("int").alias(f"{c}_{n}") for i, n in enumerate(names)]
     return coded.select(KEY, *slots)
+
+
+# ---- models -------------------------------------------------------------------------
+
+# Small parameter sets: the queries show fitting and scoring, not the search.
+QUICK = {
+    "logreg": {"C": 0.1, "penalty": "l2", "max_iter": 50},
+    "dt": {"max_depth": 5, "min_samples_split": 10, "criterion": "gini", "max_features": "sqrt"},
+    "rf": {
+        "n_estimators": 20,
+        "max_depth": 5,
+        "min_samples_split": 2,
+        "min_samples_leaf": 5,
+        "max_features": "sqrt",
+    },
+    "xgb": {
+        "learning_rate": 0.1,
+        "n_estimators": 10,
+        "max_depth": 4,
+        "min_child_weight": 1,
+        "subsample": 0.8,
+        "colsample": 0.8,
+        "min_gain": 0.0,
+    },
+    "lgbm": {
+        "learning_rate": 0.1,
+        "n_estimators": 10,
+        "max_depth": -1,
+        "num_leaves": 15,
+        "min_child_samples": 20,
+        "subsample": 0.8,
+        "colsample": 0.8,
+    },
+    "mlp": {"hidden": (16,), "block": 256, "max_iter": 30},
+    "if": {"n_estimators": 200, "contamination": 0.01},
+}
+
+
+def _scored(spark, sf, name):
+    train, test = applications(spark, sf, "train"), applications(spark, sf, "test")
+    model = training.fit_pipeline(train, models.MODELS[name], QUICK[name])
+    return training.score(model, test, name, [KEY, LABEL])
+
+
+def _score_query(query_name, model):
+    def run(spark, sf):
+        return _scored(spark, sf, model)
+
+    run.__name__ = query_name
+    query(run)
+
+
+for _query, _model in {
+    "lr_scores": "logreg",
+    "tree_scores": "dt",
+    "rf_scores": "rf",
+    "gbt_scores": "xgb",
+    "gbt_leaf_scores": "lgbm",
+    "mlp_scores": "mlp",
+    "iforest_scores": "if",
+}.items():
+    _score_query(_query, _model)
+
+
+@query
+def lr_search(spark, sf):
+    train = applications(spark, sf, "train")
+    spec = models.MODELS["logreg"]
+    candidates = [{"C": c, "penalty": p, "max_iter": 30} for c in (0.01, 1) for p in ("l1", "l2")]
+    best, auc, gap = training.search(train, spec, candidates=candidates)
+    rows = [(float(best["C"]), best["penalty"], auc, gap)]
+    return profile.small_table(spark, rows, "c double, penalty string, cv_auc double, gap double")
+
+
+@query
+def undersampled_scores(spark, sf):
+    train, test = applications(spark, sf, "train"), applications(spark, sf, "test")
+    model = training.fit_pipeline(
+        train, models.MODELS["logreg"], QUICK["logreg"], undersampling_ratio=0.2
+    )
+    scored = training.score(model, test, "logreg", [KEY, LABEL])
+    return scored
+
+
+@query
+def rf_importance(spark, sf):
+    train = applications(spark, sf, "train")
+    model = training.fit_pipeline(train, models.MODELS["rf"], QUICK["rf"])
+    names = preprocess.feature_names(model.transform(train.limit(1)))
+    top = explain.importances(spark, model.stages[-1], names)
+    return top
+
+
+@query
+def lr_explanations(spark, sf):
+    train, test = applications(spark, sf, "train"), applications(spark, sf, "test")
+    model = training.fit_pipeline(train, models.MODELS["logreg"], QUICK["logreg"])
+    scored = model.transform(test)
+    names = preprocess.feature_names(scored)
+    terms = explain.linear_terms(model.stages[-1], names, top=3)
+    return scored.select(KEY, F.to_json(terms).alias("terms"))
+
+
+@query
+def stacked_scores(spark, sf):
+    train, test = applications(spark, sf, "train"), applications(spark, sf, "test")
+    bases = {"xgb": {**QUICK["xgb"], "n_estimators": 5}, "rf": {**QUICK["rf"], "n_estimators": 5}}
+    stack, _ = training.fit_stack(train, bases)
+    scored = stack.transform(test)
+    return scored.select(
+        KEY, LABEL, training.score_column("stacking", scored.columns).alias("score")
+    )
+
+
+@query
+def tuned_threshold(spark, sf):
+    train = applications(spark, sf, "train")
+    held = training.tune_threshold(train, models.MODELS["logreg"], QUICK["logreg"])
+    rows = [tuple(held[k] for k in ("threshold", "fbeta", "precision", "recall"))]
+    return profile.small_table(
+        spark, rows, "threshold double, fbeta double, precision double, recall double"
+    )
+
+
+# ---- run facts ------------------------------------------------------------------------
+
+
+@query
+def split_roundtrip(spark, sf):
+    """Write both splits as one dataset, read one split back through its folder."""
+    store = Store(spark, new_path(spark, "store"))
+    store.write_splits(applications(spark, sf).select(KEY, LABEL, "month", "split"))
+    return _key_summary(store.read_split("test"), "split", "month")
+
+
+def _monthly_points(spark, sf):
+    return _points(spark, sf, by=("month",))
+
+
+@query
+def threshold_store(spark, sf):
+    """Thresholds tuned per month as runs; the latest one counts, others default."""
+    store = Store(spark, new_path(spark, "store"))
+    best = curves.best_fbeta(_monthly_points(spark, sf), by=("month",))
+    saved = best.where("model <> 'score_mlp'").select(
+        "model",
+        F.concat(F.lit("run_"), F.col("month").cast("string")).alias("run_id"),
+        # a run without a usable threshold does not count
+        F.when(F.col("month") < 7, F.col("threshold")).alias("threshold"),
+        F.lit("holdout").alias("source"),
+    )
+    saved.write.mode("append").parquet(store.path("thresholds"))
+    wanted = spark.createDataFrame([(s,) for s in SCORES], "model string")
+    found = thresholds_for(wanted, store.thresholds())
+    return found
+
+
+def _monthly_runs(spark, sf):
+    runs = curves.areas(_monthly_points(spark, sf), by=("month",))
+    return runs.select(
+        "model",
+        F.concat(F.lit("run_"), F.col("month").cast("string")).alias("run_id"),
+        F.lit("1").alias("evaluated_at"),
+        "roc_auc",
+        "pr_auc",
+    )
+
+
+@query
+def experiment_latest(spark, sf):
+    """Latest run per model with its evaluation; a run without one stays empty."""
+    runs = _monthly_runs(spark, sf)
+    evaluated = runs.where("model <> 'score_mlp' OR run_id <> 'run_7'")
+    return latest_evaluation(runs.select("model", "run_id"), evaluated)
+
+
+@query
+def experiment_leaderboard(spark, sf):
+    return leaderboard(_monthly_runs(spark, sf))
+
+
+@query
+def report_sections(spark, sf):
+    df = applications(spark, sf)
+    store = Store(spark, new_path(spark, "store"))
+    store.write_report("target", profile.target_distribution(df, LABEL))
+    store.write_report("monthly", profile.rate_by_period(df, ROLES.period, LABEL))
+    sections = report_section(store.read_report("target"), "target", LABEL)
+    return sections.unionByName(report_section(store.read_report("monthly"), "monthly", "month"))
+
+
+@query
+def csv_roundtrip(spark, sf):
+    """Write the raw schema as CSV, read it back with the declared types."""
+    path = new_path(spark, "csv")
+    df = applications(spark, sf).select(KEY, *RAW_COLUMNS)
+    df.write.option("header", True).csv(path)
+    back = with_label(read_table(spark, path, "csv", raw_schema(KEY)), LABEL)
+    return back.groupBy("month", "housing_status").agg(
+        F.count("*").alias("n"),
+        F.sum(LABEL).alias("pos"),
+        F.sum("zip_count_4w").alias("zip_sum"),
+        F.max("velocity_24h").alias("velocity_max"),
+    )
+
+
+# ---- streams ---------------------------------------------------------------------------
+
+
+def _committee(df):
+    return decisions.with_committee(df, MEMBERS)
+
+
+@query
+def stream_decisions(spark, sf):
+    """The application files as a stream; totals equal the batch result."""
+    source = applications(spark, sf)
+    stream = streams.read_stream(spark, prepared_path(spark, sf), source.schema)
+    out, checkpoint = new_path(spark, "decided"), new_path(spark, "stream")
+    narrow = stream.select(KEY, LABEL, *SCORES)
+    streams.finished(streams.write_decisions(narrow, _committee, LABEL, out, checkpoint))
+    decided = spark.read.parquet(out)
+    return decided.groupBy("decision", "outcome").agg(
+        F.count("*").alias("n"), F.sum(KEY).alias("key_sum")
+    )
+
+
+@query
+def stream_running_totals(spark, sf):
+    source = applications(spark, sf)
+    stream = streams.read_stream(spark, prepared_path(spark, sf), source.schema, files_per_batch=2)
+    out, checkpoint = new_path(spark, "totals"), new_path(spark, "stream")
+    narrow = stream.select(KEY, LABEL, *SCORES)
+    streams.finished(streams.write_running_totals(narrow, _committee, LABEL, out, checkpoint))
+    return spark.read.parquet(out)
+
+
+EVENT_THRESHOLD = 0.7
+
+
+def _event_tiers(df):
+    value = F.least(F.col("value") / F.lit(500.0), F.lit(0.999))
+    return df.select(
+        "event_id",
+        "ts",
+        F.when(F.col("event_type") == "error", 1).otherwise(0).alias("is_error"),
+        decisions.three_tier(value, EVENT_THRESHOLD).alias("decision"),
+    )
+
+
+@query
+def stream_event_tiers(spark, sf):
+    """Three-tier decisions on the event files, by day."""
+    schema = table(spark, sf, "events").schema
+    stream = streams.read_stream(spark, f"{sf}/events.parque[t]", schema)
+    out, checkpoint = new_path(spark, "events"), new_path(spark, "stream")
+    streams.finished(streams.write_decisions(stream, _event_tiers, "is_error", out, checkpoint))
+    decided = spark.read.parquet(out)
+    return decided.groupBy(
+        F.date_format("ts", "yyyy-MM-dd").alias("day"), "decision", "outcome"
+    ).agg(F.count("*").alias("n"), F.sum("event_id").alias("id_sum"))
