@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # 13 hex digits of md5 = 52 bits: a double holds the value exactly.
@@ -41,10 +43,16 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False)).cast("byte")
 
 
-def unpivot_structs(columns, build) -> Column:
-    """explode(array(struct...)): one output row per column and input row.
+def long_form(df: DataFrame, cells: Mapping[str, Column], keep: Sequence[Column] = ()) -> DataFrame:
+    """(keep..., feature, value): one row per cell.  All cells have one type.
 
-    ``build(name)`` returns the struct fields for one column.  The aggregate
-    that follows combines rows before the shuffle.
+    The aggregate that follows combines rows before any shuffle.
     """
+    kept = df.select(*keep).columns if keep else []
+    wide = df.select(*keep, *[cell.alias(name) for name, cell in cells.items()])
+    return wide.unpivot(kept, list(cells), "feature", "value")
+
+
+def unpivot_structs(columns, build) -> Column:
+    """As ``long_form``, for several fields per column: ``build(name)`` returns them."""
     return F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), *build(c)) for c in columns]))

@@ -3,20 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rarescan.functions.columns import HASH_SPACE, keyed_hash, unpivot_structs
+from rarescan.functions.columns import HASH_SPACE, keyed_hash, long_form
 from rarescan.operators.profile import small_table
 from rarescan.operators.quantiles import exact_quantiles
-from rarescan.operators.ranks import average_rank, value_table, with_running
+from rarescan.operators.ranks import average_rank, running_counts
 from rarescan.operators.sampling import class_quota_sample, sample_rows
 from rarescan.sources.shared import materialize
 
@@ -37,28 +36,57 @@ HOT_SHARE = 10_000
 # ---- rank correlation ---------------------------------------------------------
 
 
-def _with_ranks(df: DataFrame, key: str, columns: Sequence[str], **rank_args) -> DataFrame:
-    """Replace every column by its average rank."""
-    ranks = with_running(value_table(df, columns, **rank_args)).select(
+def _ranked(df: DataFrame, key: str, columns: Sequence[str], **rank_args):
+    """Input of ``_rank_products``: values of columns with a bounded rank lookup,
+    ranks (``<column>__rank``) of all others, and the lookups."""
+    ranks = running_counts(df, columns, **rank_args).select(
         "feature", "value", "n", "n_all", average_rank().alias("rank")
     )
-    # Written once: every lookup below reads one feature's folder.
-    ranks = materialize(ranks, "ranks", partition_by=("feature",))
-    sizes = {
-        r["feature"]: r["n"]
-        for r in ranks.groupBy("feature").agg(F.count("*").alias("n")).collect()
-    }
+    # Written once; sizes, lookups and the join below all read it.
+    ranks = materialize(ranks, "ranks")
+    sizes = dict(ranks.groupBy("feature").agg(F.count("*")).collect())
     small = [c for c in columns if sizes.get(c, 0) <= LOOKUP_VALUES]
     large = [c for c in columns if c not in small]
     out = df.select(key, *[(F.col(c).cast("double") + F.lit(0.0)).alias(c) for c in columns])
-    for c in small:
-        lookup = ranks.where(F.col("feature") == c).select(
-            F.col("value").alias(c), F.col("rank").alias(f"{c}__rank")
-        )
-        out = out.join(F.broadcast(lookup), c, "left")  # at most LOOKUP_VALUES rows
     if large:
         out = out.join(_ranks_of_large(out, ranks, key, large), key)
-    return out.select(key, *[F.col(f"{c}__rank").alias(c) for c in columns])
+    # At most LOOKUP_VALUES rows per column.
+    known = ranks.where(F.col("feature").isin(small)).select("feature", "value", "rank").toPandas()
+    lookups = {}
+    for feature, part in known.groupby("feature"):
+        part = part.sort_values("value")
+        lookups[feature] = (part["value"].to_numpy(), part["rank"].to_numpy())
+    return out, lookups
+
+
+def _rank_products(df: DataFrame, columns: Sequence[str], lookups: dict, n: int) -> np.ndarray:
+    """Sums of products of centred ranks, one row per partition and column pair.
+
+    The mean of average ranks is (n + 1) / 2 whatever the ties, so one pass does.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(lookups)
+    names = [c if c in lookups else f"{c}__rank" for c in columns]
+    middle, width = (n + 1) / 2, len(columns)
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((width, width))
+        for batch in batches:
+            ranks = np.empty((len(batch), width))
+            for j, name in enumerate(names):
+                column = batch[name].to_numpy()
+                if name in shared.value:
+                    values, rank = shared.value[name]
+                    column = rank[np.searchsorted(values, column)]
+                ranks[:, j] = column - middle
+            total += ranks.T @ ranks
+        first, second = np.indices((width, width))
+        yield pd.DataFrame({"i": first.ravel(), "j": second.ravel(), "s": total.ravel()})
+
+    parts = df.select(*names).mapInPandas(products, "i int, j int, s double")
+    sums = np.zeros((width, width))
+    for row in parts.groupBy("i", "j").agg(F.sum("s").alias("s")).collect():
+        sums[row["i"], row["j"]] = row["s"]
+    return sums
 
 
 def _ranks_of_large(df: DataFrame, ranks: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -67,9 +95,7 @@ def _ranks_of_large(df: DataFrame, ranks: DataFrame, key: str, columns: Sequence
     Hot values get their rank from a bounded broadcast, the rest by a join on
     (feature, value), which then has no hot key.
     """
-    cells = df.select(
-        key, unpivot_structs(columns, lambda c: [F.col(c).alias("value")]).alias("e")
-    ).select(key, "e.*")
+    cells = long_form(df, {c: F.col(c) for c in columns}, [F.col(key)])
     is_hot = F.col("n") * HOT_SHARE > F.col("n_all")
     wanted = ranks.where(F.col("feature").isin(list(columns)))
     hot = wanted.where(is_hot).select("feature", "value", F.col("rank").alias("hot_rank"))
@@ -96,16 +122,13 @@ def spearman(df: DataFrame, key: str, columns: Sequence[str], **rank_args) -> Da
     hold nulls.
     """
     columns = list(columns)
-    ranked = _with_ranks(df, key, columns, **rank_args)
-    vectors = VectorAssembler(inputCols=columns, outputCol="ranks").transform(ranked)
-    # The matrix has one cell per pair of columns; it is all the driver sees.
-    matrix = Correlation.corr(vectors.select("ranks"), "ranks", "pearson").first()[0].toArray()
-    spread = df.agg(*[(F.min(c) == F.max(c)).alias(c) for c in columns]).first()
+    ranked, lookups = _ranked(df, key, columns, **rank_args)
+    sums = _rank_products(ranked, columns, lookups, df.count())
     rows = []
     for i, a in enumerate(columns):
         for j, b in enumerate(columns):
-            rho = None if spread[a] or spread[b] else float(matrix[i, j])
-            rows.append((a, b, rho))
+            scale = math.sqrt(sums[i, i] * sums[j, j])
+            rows.append((a, b, float(sums[i, j]) / scale if scale > 0 else None))
     return small_table(df.sparkSession, rows, "col1 string, col2 string, rho double")
 
 
@@ -139,7 +162,7 @@ def mann_whitney(
     Normal approximation with tie and continuity correction; p = 1 when all
     values are tied.
     """
-    table = with_running(value_table(df, columns, label, by=by, **rank_args), by=by)
+    table = running_counts(df, columns, label, by=by, **rank_args)
     size = F.col("n").cast("double")
     sums = table.groupBy(*by, "feature").agg(
         F.max("pos_all").alias("n1"),
@@ -197,16 +220,18 @@ def mi_binned(
     """
     filled = [(c, F.coalesce(F.col(c).cast("double"), F.lit(0.0))) for c in columns]
     cuts = exact_quantiles(df, filled, [i / bins for i in range(1, bins)], **quantile_args)
-    value_of = dict(filled)
-
-    def bin_of(c: str):
-        edges = sorted({e for e in cuts[c] if e is not None})
-        past = [(value_of[c] > F.lit(e)).cast("int") for e in edges]
-        return [sum(past, F.lit(0)).alias("bin")]
-
+    # Bins are closed on the right.  Bucketizer closes them on the left, so it
+    # gets the negated values and edges.
+    edges = {c: sorted({-e + 0.0 for e in cuts[c] if e is not None}) for c in columns}
+    cut = [c for c in columns if edges[c]]
+    binned = Bucketizer(
+        splitsArray=[[float("-inf"), *edges[c], float("inf")] for c in cut],
+        inputCols=[f"{c}__negated" for c in cut],
+        outputCols=[f"{c}__bin" for c in cut],
+    ).transform(df.select(F.col(label).alias("y"), *[(F.lit(0.0) - v).alias(f"{c}__negated") for c, v in filled]))
     cells = (
-        df.select(F.col(label).alias("y"), unpivot_structs(columns, bin_of).alias("e"))
-        .groupBy("e.feature", "e.bin", "y")
+        long_form(binned, {c: F.col(f"{c}__bin").cast("int") for c in cut}, [F.col("y")])
+        .groupBy("feature", F.col("value").alias("bin"), "y")
         .agg(F.count("*").alias("n_xy"))
     )
     # From here on there are at most features x bins x classes rows.
@@ -296,17 +321,11 @@ def mi_knn(
     from the keyed hash, so that ties in discrete features break evenly.
     """
     rows = sample_rows(df.select(key, label, *columns), key, sample, salt)
-    cells = rows.select(
-        key,
-        F.col(label).cast("int").alias("y"),
-        unpivot_structs(
-            columns, lambda c: [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias("x")]
-        ).alias("e"),
-    ).select(
-        "y",
-        "e.feature",
-        "e.x",
-        (keyed_hash(F.concat_ws(":", F.col(key), F.col("e.feature")), salt) / HASH_SPACE).alias("u"),
+    values = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns}
+    long = long_form(rows, values, [F.col(key), F.col(label).cast("int").alias("y")])
+    own_hash = keyed_hash(F.concat_ws(":", F.col(key), F.col("feature")), salt)
+    cells = long.select(
+        "y", "feature", F.col("value").alias("x"), (own_hash / HASH_SPACE).alias("u")
     )
 
     def score(group: pd.DataFrame) -> pd.DataFrame:

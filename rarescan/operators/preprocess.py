@@ -6,10 +6,11 @@ import json
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rarescan.config import BANK_APPLICATIONS, Roles
@@ -17,9 +18,10 @@ from rarescan.operators.features import FeatureStep, engineered_names, roles_to_
 from rarescan.operators.quantiles import exact_quantiles
 
 MISSING = "missing"
+QUARTILES = (0.25, 0.5, 0.75)
 # A spread below this counts as no spread; the divisor is then 1.
 NO_SPREAD = 10 * 2.220446049250313e-16
-SCALED, CODE, HOT = "__scaled", "__code", "__hot"
+NUMBERS, CODE, HOT = "numbers", "__code", "__hot"
 
 
 def fit_numeric(df: DataFrame, columns: list[str], **quantile_args) -> dict[str, dict]:
@@ -28,17 +30,19 @@ def fit_numeric(df: DataFrame, columns: list[str], **quantile_args) -> dict[str,
     Filling piles rows up at the median, which pulls the quartiles in, so
     columns with nulls get their quartiles from the filled values.
     """
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], **quantile_args)
-    holes = df.agg(
-        *[F.coalesce(F.max(F.col(c).isNull()), F.lit(False)).alias(c) for c in columns]
-    ).first()
+    seen = df.agg(F.count("*").alias("rows"), *[F.count(c).alias(c) for c in columns]).first()
+    counts = [seen[c] for c in columns]
+    quartiles = exact_quantiles(df, columns, QUARTILES, counts=counts, **quantile_args)
     # A column without any value fills with 0.
     medians = {c: 0.0 if q[1] is None else q[1] for c, q in quartiles.items()}
     refit = [
-        (c, F.coalesce(F.col(c).cast("double"), F.lit(medians[c]))) for c in columns if holes[c]
+        (c, F.coalesce(F.col(c).cast("double"), F.lit(medians[c])))
+        for c in columns
+        if seen[c] < seen["rows"]
     ]
     if refit:
-        quartiles |= exact_quantiles(df, refit, [0.25, 0.5, 0.75], **quantile_args)
+        counts = [seen["rows"]] * len(refit)
+        quartiles |= exact_quantiles(df, refit, QUARTILES, counts=counts, **quantile_args)
     out = {}
     for c in columns:
         low, middle, high = quartiles[c]
@@ -88,15 +92,31 @@ class RobustPrepModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         return json.loads(self.getOrDefault(self.fitted))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        scaled = {
-            f"{c}{SCALED}": (F.coalesce(F.col(c).cast("double"), F.lit(f["fill"])) - f["centre"])
-            / f["spread"]
-            for c, f in self.getFitted().items()
-        }
         filled = {
             c: F.coalesce(F.col(c), F.lit(MISSING)) for c in self.getOrDefault(self.categories)
         }
-        return dataset.withColumns(scaled | filled)
+        out = dataset.withColumns(filled) if filled else dataset
+        return out.withColumn(NUMBERS, self.scaled())
+
+    def scaled(self) -> Column:
+        """All numbers as one vector, whose metadata names the slots.
+
+        One expression over an array: as forty separate columns the generated
+        code gets too long for the JIT compiler.
+        """
+        fitted = self.getFitted()
+        values = F.array(*[F.col(c).cast("double") for c in fitted])
+        fill, centre, spread = (
+            F.array(*[F.lit(float(f[part])) for f in fitted.values()])
+            for part in ("fill", "centre", "spread")
+        )
+        whole = F.transform(
+            values,
+            lambda x, i: (F.coalesce(x, F.get(fill, i)) - F.get(centre, i)) / F.get(spread, i),
+        )
+        slots = [{"idx": i, "name": c} for i, c in enumerate(fitted)]
+        names = {"ml_attr": {"attrs": {"numeric": slots}, "num_attrs": len(slots)}}
+        return array_to_vector(whole).alias(NUMBERS, metadata=names)
 
 
 def preprocess_stages(roles: Roles = BANK_APPLICATIONS, columns=None) -> list:
@@ -122,8 +142,7 @@ def preprocess_stages(roles: Roles = BANK_APPLICATIONS, columns=None) -> list:
             # the slot for unseen values is last, and dropLast drops it
             OneHotEncoder(inputCols=coded, outputCols=hot, dropLast=True),
         ]
-    assembled = [f"{c}{SCALED}" for c in numeric] + hot
-    return [*stages, VectorAssembler(inputCols=assembled, outputCol="features")]
+    return [*stages, VectorAssembler(inputCols=[NUMBERS, *hot], outputCol="features")]
 
 
 def preprocessor(roles: Roles = BANK_APPLICATIONS, columns=None) -> Pipeline:
@@ -134,4 +153,4 @@ def feature_names(df: DataFrame, column: str = "features") -> list[str]:
     """Names of the vector's slots, from the metadata the assembler leaves."""
     attrs = df.schema[column].metadata.get("ml_attr", {}).get("attrs", {})
     slots = sorted((a["idx"], a["name"]) for group in attrs.values() for a in group)
-    return [name.replace(SCALED, "").replace(HOT + "_", "=").replace(CODE, "") for _, name in slots]
+    return [n.removeprefix(f"{NUMBERS}_").replace(f"{HOT}_", "=") for _, n in slots]

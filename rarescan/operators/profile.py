@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rarescan.functions.columns import ratio0, unpivot_structs
+from rarescan.functions.columns import long_form, ratio0, unpivot_structs
 from rarescan.operators.quantiles import exact_quantiles
 
 OUTLIER_FENCE = 1.5
@@ -170,22 +170,26 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 # ---- numeric distributions ------------------------------------------------------
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str], **quantile_args) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum per column."""
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], **quantile_args)
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def describe_numeric(
+    df: DataFrame, columns: Sequence[str], quartiles: dict | None = None, **quantile_args
+) -> DataFrame:
+    """Count, mean, sample deviation, minimum, quartiles and maximum per column.
+
+    ``quartiles`` saves a pass where they are known already.
+    """
+    quartiles = quartiles or exact_quantiles(df, columns, QUARTILES, **quantile_args)
     return (
-        df.select(_numeric_cells(columns).alias("e"))
-        .groupBy("e.feature")
-        .agg(*_moments(F.col("e.value")))
+        long_form(df, {c: F.col(c).cast("double") for c in columns})
+        .groupBy("feature")
+        .agg(*_moments(F.col("value")))
         .withColumn("q", _lookup(F.col("feature"), quartiles, "array<double>"))
         .select("feature", "n", *_moment_columns())
     )
 
 
-def _numeric_cells(columns: Sequence[str]) -> Column:
-    return unpivot_structs(columns, lambda c: [F.col(c).cast("double").alias("value")])
-
-
 def _moments(value: Column) -> list[Column]:
     return [
         F.count(value).alias("n"),
@@ -212,19 +216,24 @@ def _lookup(key: Column, facts: dict, kind: str) -> Column:
     return F.try_element_at(F.create_map(*entries), key)
 
 
-def outlier_bounds(df: DataFrame, columns: Sequence[str], **quantile_args) -> dict:
+def outlier_bounds(
+    df: DataFrame, columns: Sequence[str], quartiles: dict | None = None, **quantile_args
+) -> dict:
     """Fences Q1 - 1.5 IQR and Q3 + 1.5 IQR per column."""
+    quartiles = quartiles or exact_quantiles(df, columns, QUARTILES, **quantile_args)
     out = {}
-    for c, (q1, q3) in exact_quantiles(df, columns, [0.25, 0.75], **quantile_args).items():
+    for c, (q1, _, q3) in quartiles.items():
         if q1 is not None:
             iqr = q3 - q1
             out[c] = (q1 - OUTLIER_FENCE * iqr, q3 + OUTLIER_FENCE * iqr)
     return out
 
 
-def iqr_outliers(df: DataFrame, columns: Sequence[str], **quantile_args) -> DataFrame:
+def iqr_outliers(
+    df: DataFrame, columns: Sequence[str], quartiles: dict | None = None, **quantile_args
+) -> DataFrame:
     """Rows strictly outside the fences per column; share of all rows, worst first."""
-    bounds = outlier_bounds(df, columns, **quantile_args)
+    bounds = outlier_bounds(df, columns, quartiles, **quantile_args)
     aggregates = [F.count("*").alias("n_rows")]
     for c, (low, high) in bounds.items():
         outside = (F.col(c) < F.lit(low)) | (F.col(c) > F.lit(high))
@@ -262,15 +271,14 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
         if lo is not None:
             limits[c] = (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
 
-    def bin_of(c: str) -> list[Column]:
-        lo, hi = limits[c]
+    bin_of = {}
+    for c, (lo, hi) in limits.items():
         at = F.floor((F.col(c).cast("double") - lo) / (hi - lo) * bins)
-        return [F.least(at, F.lit(bins - 1)).cast("int").alias("bin")]
-
+        bin_of[c] = F.least(at, F.lit(bins - 1)).cast("int")
     counted = (
-        df.select(unpivot_structs(list(limits), bin_of).alias("e"))
-        .where("e.bin IS NOT NULL")
-        .groupBy("e.feature", "e.bin")
+        long_form(df, bin_of)
+        .where("value IS NOT NULL")
+        .groupBy("feature", F.col("value").alias("bin"))
         .agg(F.count("*").alias("n"))
     )
     edges = F.lit(None).cast("struct<lo:double,hi:double>")
@@ -300,7 +308,7 @@ def box_stats(
         for c in columns
         for k in classes
     }
-    quartiles = exact_quantiles(df, list(slots.items()), [0.25, 0.5, 0.75], **quantile_args)
+    quartiles = exact_quantiles(df, list(slots.items()), QUARTILES, **quantile_args)
     aggregates, known = [], []
     for (c, k), value in slots.items():
         q1, q2, q3 = quartiles[c, k]
@@ -335,10 +343,10 @@ def box_stats(
 def category_counts(df: DataFrame, columns: Sequence[str], label: str | None = None) -> DataFrame:
     """(feature, value, n, pos) for all categorical columns in one job."""
     positive = (F.col(label) == 1).cast("bigint") if label else F.lit(0).cast("bigint")
-    cells = unpivot_structs(columns, lambda c: [F.col(c).cast("string").alias("value")])
+    cells = {c: F.col(c).cast("string") for c in columns}
     return (
-        df.select(positive.alias("is_pos"), cells.alias("e"))
-        .groupBy("e.feature", "e.value")
+        long_form(df, cells, [positive.alias("is_pos")])
+        .groupBy("feature", "value")
         .agg(F.count("*").alias("n"), F.sum("is_pos").alias("pos"))
     )
 
@@ -429,7 +437,7 @@ def class_profile(
     slots = {
         (c, k): F.when(cond, F.col(c).cast("double")) for c in numeric for k, cond in groups
     }
-    quartiles = exact_quantiles(df, list(slots.items()), [0.25, 0.5, 0.75], **quantile_args)
+    quartiles = exact_quantiles(df, list(slots.items()), QUARTILES, **quantile_args)
     # One pass with two grouping sets: by class, and over both classes.
     numbers = set(numeric)
     cells = df.select(

@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rarescan.functions.columns import long_form
+
 # Values the plain aggregate may hold in memory over all columns ...
 SMALL_CELLS = 10_000_000
 # ... and per column at the end of the narrowing.
@@ -155,17 +157,14 @@ def _plain_quantiles(df: DataFrame, pairs: list, probs: list[float]) -> dict:
     """One group per column, so columns are merged by different tasks."""
     found: dict[int, list[float]] = {}
     for start in range(0, len(pairs), GROUPS_PER_JOB):
-        cells = [
-            F.struct(F.lit(i).alias("i"), pairs[i][1].cast("double").alias("value"))
-            for i in range(start, min(len(pairs), start + GROUPS_PER_JOB))
-        ]
+        chunk = range(start, min(len(pairs), start + GROUPS_PER_JOB))
         rows = (
-            df.select(F.explode(F.array(*cells)).alias("e"))
-            .where("e.value IS NOT NULL")
-            .groupBy("e.i")
-            .agg(F.percentile("e.value", probs).alias("q"))
+            long_form(df, {str(i): pairs[i][1].cast("double") for i in chunk})
+            .where("value IS NOT NULL")
+            .groupBy("feature")
+            .agg(F.percentile("value", probs).alias("q"))
         )
-        found.update({r["i"]: list(r["q"]) for r in rows.collect()})
+        found.update({int(r["feature"]): list(r["q"]) for r in rows.collect()})
     return {slot: found.get(i, [None] * len(probs)) for i, (slot, _) in enumerate(pairs)}
 
 
@@ -173,6 +172,7 @@ def exact_quantiles(
     df: DataFrame,
     columns: Iterable[str | tuple[object, Column]],
     probs: Sequence[float],
+    counts: Sequence[int] | None = None,
     small_cells: int = SMALL_CELLS,
     small: int = SMALL_ROWS,
     accuracy: int = SKETCH_ACCURACY,
@@ -181,15 +181,15 @@ def exact_quantiles(
 
     ``columns`` holds names, or (slot, expression) pairs; the result maps each
     name or slot to one value per probability (``None`` for an empty column).
-    The driver receives one number per column and probability.
+    The driver receives one number per column and probability.  ``counts`` are
+    the non-null rows per column, where the caller has them.
     """
     pairs = [(c, F.col(c).cast("double")) if isinstance(c, str) else c for c in columns]
     probs = list(probs)
     if not pairs:
         return {}
-    counts = None
-    few = df.count() * len(pairs) <= small_cells
-    if not few:
+    few = (sum(counts) if counts else df.count() * len(pairs)) <= small_cells
+    if not few and not counts:
         counts = _one_row(df, [F.count(c) for _, c in pairs])
         few = sum(counts) <= small_cells
     if few:

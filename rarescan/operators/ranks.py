@@ -12,10 +12,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rarescan.functions.columns import unpivot_structs
+from rarescan.functions.columns import long_form, unpivot_structs
+from rarescan.sources.shared import materialize
 
 ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 4096
@@ -31,7 +32,8 @@ def bucket_edges(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[st
         row = df.agg(
             *[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(c) for c in chunk]
         ).first()
-        out.update({c: sorted(set(row[c] or ())) for c in chunk})
+        # adding 0.0 turns -0.0 into 0.0, which a binary search tells apart
+        out.update({c: sorted({e + 0.0 for e in row[c] or ()}) for c in chunk})
     return out
 
 
@@ -40,7 +42,7 @@ def with_buckets(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
     cut = [c for c, e in edges.items() if e]
     if cut:
         names = [f"{c}__value" for c in cut]
-        df = df.withColumns({n: F.col(c).cast("double") for n, c in zip(names, cut)})
+        df = df.withColumns({n: F.col(c).cast("double") + F.lit(0.0) for n, c in zip(names, cut)})
         df = Bucketizer(
             splitsArray=[[float("-inf"), *edges[c], float("inf")] for c in cut],
             inputCols=names,
@@ -51,7 +53,7 @@ def with_buckets(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
     return df.withColumns(flat) if flat else df
 
 
-def value_table(
+def running_counts(
     df: DataFrame,
     columns: Iterable[str],
     label: str | None = None,
@@ -59,43 +61,80 @@ def value_table(
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_buckets: int = MAX_BUCKETS,
 ) -> DataFrame:
-    """One row per (by, feature, bucket, value): ``n`` rows, ``pos`` positives.
+    """One row per (by, feature, value) with counts below it.
 
-    Nulls are left out.
+    Columns: ``n`` rows and ``pos`` positives at the value, ``n_below`` and
+    ``pos_below`` strictly below it, ``n_all`` and ``pos_all`` in its (by,
+    feature) group.  Null values are left out.
     """
     columns = list(columns)
     kept = df.select(*by, *columns, *([label] if label and label not in columns else []))
     buckets = min(max_buckets, kept.count() // rows_per_bucket)
-    edges = (
-        bucket_edges(kept, columns, buckets) if buckets > 1 else {c: [] for c in columns}
+    if buckets <= 1:
+        return _counts_in_one_bucket(_value_table(kept, columns, label, by), by)
+    edges = bucket_edges(kept, columns, buckets)
+    values = _bucketed_value_table(kept, columns, label, by, edges)
+    # Read twice below; the rows behind it are read once.
+    return _counts_over_buckets(materialize(values, "values"), by)
+
+
+def _is_positive(label: str | None) -> Column:
+    hit = (F.col(label) == 1).cast("bigint") if label else F.lit(0).cast("bigint")
+    return hit.alias("is_pos")
+
+
+def _value_table(df, columns, label, by) -> DataFrame:
+    cells = {c: F.col(c).cast("double") + F.lit(0.0) for c in columns}
+    return (
+        long_form(df, cells, [*[F.col(b) for b in by], _is_positive(label)])
+        .where("value IS NOT NULL")
+        .groupBy(*by, "feature", "value")
+        .agg(F.count("*").alias("n"), F.sum("is_pos").alias("pos"))
     )
-    positive = (F.col(label) == 1).cast("bigint") if label else F.lit(0).cast("bigint")
+
+
+def _bucketed_value_table(df, columns, label, by, edges) -> DataFrame:
+    def cell(c: str) -> list[Column]:
+        return [
+            F.col(f"{c}__bucket").cast("int").alias("bucket"),
+            (F.col(c).cast("double") + F.lit(0.0)).alias("value"),
+        ]
+
     return (
-        with_buckets(kept, edges)
-        .select(
-            *by,
-            positive.alias("is_pos"),
-            unpivot_structs(
-                columns,
-                lambda c: [
-                    F.col(f"{c}__bucket").cast("int").alias("bucket"),
-                    # adding 0.0 turns -0.0 into 0.0
-                    (F.col(c).cast("double") + F.lit(0.0)).alias("value"),
-                ],
-            ).alias("cell"),
-        )
+        with_buckets(df, edges)
+        .select(*by, _is_positive(label), unpivot_structs(columns, cell).alias("cell"))
         .where("cell.value IS NOT NULL")
         .groupBy(*by, "cell.feature", "cell.bucket", "cell.value")
         .agg(F.count("*").alias("n"), F.sum("is_pos").alias("pos"))
     )
 
 
-def with_running(values: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Add counts strictly below each value and totals of its (by, feature) group.
+def _below(column: str, group: Sequence[str]) -> Column:
+    """Running sum over the values before the current one."""
+    window = Window.partitionBy(*group).orderBy("value")
+    upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.sum(column).over(upto) - F.col(column)
 
-    New columns: ``n_below``, ``pos_below``, ``n_all``, ``pos_all``.  The window
-    and the join share one partitioning on (by, feature, bucket); the table of
-    bucket totals has at most one row per bucket.
+
+def _counts_in_one_bucket(values: DataFrame, by: Sequence[str]) -> DataFrame:
+    """A group has fewer than 2 x ROWS_PER_BUCKET values here: one window each."""
+    group = [*by, "feature"]
+    whole = Window.partitionBy(*group)
+    return values.withColumns(
+        {
+            "n_below": _below("n", group),
+            "pos_below": _below("pos", group),
+            "n_all": F.sum("n").over(whole),
+            "pos_all": F.sum("pos").over(whole),
+        }
+    )
+
+
+def _counts_over_buckets(values: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Counts inside buckets plus totals of the buckets before.
+
+    The window and the join share one partitioning on (by, feature, bucket); the
+    table of bucket totals has at most one row per bucket.
     """
     group = [*by, "feature"]
     bucket = [*group, "bucket"]
@@ -112,18 +151,8 @@ def with_running(values: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             F.sum("bucket_pos").over(whole).alias("pos_all"),
         )
     )
-    earlier = (
-        Window.partitionBy(*bucket)
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
     return (
-        values.withColumns(
-            {
-                "n_in": F.sum("n").over(earlier) - F.col("n"),
-                "pos_in": F.sum("pos").over(earlier) - F.col("pos"),
-            }
-        )
+        values.withColumns({"n_in": _below("n", bucket), "pos_in": _below("pos", bucket)})
         .join(totals, bucket)
         .withColumns(
             {
@@ -135,6 +164,6 @@ def with_running(values: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def average_rank():
-    """Mean rank (1-based) of the rows tied at a value of ``with_running``."""
+def average_rank() -> Column:
+    """Mean rank (1-based) of the rows tied at a value of ``running_counts``."""
     return F.col("n_below") + (F.col("n") + 1) / F.lit(2.0)

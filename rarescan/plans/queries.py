@@ -24,6 +24,7 @@ from rarescan.operators import (
     profile,
     sampling,
 )
+from rarescan.operators.quantiles import exact_quantiles
 from rarescan.plans import models, training
 from rarescan.sources.applications import SCORES, applications, prepared_path, table
 from rarescan.sources.shared import new_path
@@ -317,9 +318,10 @@ def mi_knn(spark, sf):
 @query
 def screen_features(spark, sf):
     df = applications(spark, sf)
+    quartiles = exact_quantiles(df, NUMERIC, profile.QUARTILES)
     return association.screen_features(
-        profile.describe_numeric(df, NUMERIC),
-        profile.iqr_outliers(df, NUMERIC),
+        profile.describe_numeric(df, NUMERIC, quartiles),
+        profile.iqr_outliers(df, NUMERIC, quartiles),
         association.mi_binned(df, NUMERIC, LABEL),
         association.mann_whitney(df, NUMERIC, LABEL),
     )
@@ -512,9 +514,8 @@ def robust_scaled(spark, sf):
     prep = preprocess.RobustPrep(columns=numeric, categories=categorical)
     model = prep.fit(features.engineer(train, ROLES, bounds))
     scaled = model.transform(features.engineer(df, ROLES, bounds))
-    return scaled.select(
-        KEY, *[F.col(f"{c}{preprocess.SCALED}").alias(c) for c in numeric]
-    )
+    values = vector_to_array(preprocess.NUMBERS)
+    return scaled.select(KEY, *[values[i].alias(c) for i, c in enumerate(numeric)])
 
 
 @query
