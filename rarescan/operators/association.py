@@ -268,6 +268,27 @@ def _harmonic_digamma(n: np.ndarray) -> np.ndarray:
     return sums[n - 1] - np.euler_gamma
 
 
+def _rows_within(x: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """Rows at a distance of at most ``radius`` from each row.
+
+    ``x +- radius`` is rounded, so the ends are moved until the distances agree.
+    """
+    values, sizes = np.unique(x, return_counts=True)
+    before = np.concatenate([[0], np.cumsum(sizes)])
+    first = np.searchsorted(values, x - radius, "left")
+    last = np.searchsorted(values, x + radius, "right") - 1
+    top = len(values) - 1
+    while True:
+        first_out = x - values[first] > radius
+        first_in = (first > 0) & (x - values[np.maximum(first - 1, 0)] <= radius)
+        last_out = values[last] - x > radius
+        last_in = (last < top) & (values[np.minimum(last + 1, top)] - x <= radius)
+        if not (first_out | first_in | last_out | last_in).any():
+            return before[last + 1] - before[first]
+        first = first + first_out - first_in
+        last = last - last_out + last_in
+
+
 def neighbor_mi(x: np.ndarray, y: np.ndarray, k: int = MI_NEIGHBORS) -> float:
     """Ross (2014) estimate for one continuous feature and discrete labels."""
     radius = np.full(len(x), np.nan)
@@ -294,8 +315,7 @@ def neighbor_mi(x: np.ndarray, y: np.ndarray, k: int = MI_NEIGHBORS) -> float:
     if not used.any():
         return 0.0
     xs, rs = x[used], radius[used]
-    ordered = np.sort(xs)
-    within = np.searchsorted(ordered, xs + rs, "right") - np.searchsorted(ordered, xs - rs, "left")
+    within = _rows_within(xs, rs)
     mi = (
         _harmonic_digamma(np.array([len(xs)]))[0]
         + _harmonic_digamma(own_k[used]).mean()
