@@ -56,10 +56,14 @@ def score_column(name: str, columns: Sequence[str]) -> Column:
 
 
 def score(model, df: DataFrame, name: str, keep: Sequence[str] | None = None) -> DataFrame:
-    """Batch scoring: the wanted input columns plus ``score``."""
-    out = model.transform(df)
-    keep = list(df.columns if keep is None else keep)
-    return out.select(*keep, score_column(name, out.columns).alias("score"))
+    """Batch scoring: the wanted input columns plus ``score``.
+
+    The pipeline rewrites raw columns, so the originals travel in a struct;
+    several models can then score one row after the other.
+    """
+    raw = F.struct(*(df.columns if keep is None else keep))
+    out = model.transform(df.withColumn("__raw", raw))
+    return out.select("__raw.*", score_column(name, out.columns).alias("score"))
 
 
 def exact_auc(scored: DataFrame, label: str, column: str = "score") -> float:
@@ -290,10 +294,13 @@ def out_of_fold_scores(
     not see it.  All bases add their column to the same row, so nothing is joined.
     """
     folded = sampling.with_folds(df, roles.key, folds, f"{settings.seed}-stack")
-    parts = []
-    for fold in range(folds):
+
+    def score_fold(fold: int) -> DataFrame:
         fitted = _fit_bases(folded.where(F.col("fold") != fold), bases, roles, settings)
-        parts.append(_base_scores(fitted, folded.where(F.col("fold") == fold), bases, roles))
+        return _base_scores(fitted, folded.where(F.col("fold") == fold), bases, roles)
+
+    with ThreadPool(min(PARALLEL_FITS, folds)) as pool:  # folds run side by side
+        parts = pool.map(score_fold, range(folds))
     return materialize(reduce(DataFrame.unionByName, parts), "out-of-fold")
 
 

@@ -125,6 +125,15 @@ def test_train_saves_and_scores(spark, sf_dir, train_rows, store):
     assert a == b and all(0 <= v <= 1 for v in a.values())
 
 
+def test_scoring_keeps_the_raw_columns(spark, sf_dir, train_rows):
+    model = training.fit_pipeline(train_rows, models.MODELS["dt"], QUICK["dt"])
+    test = applications(spark, sf_dir, "test")
+    once = training.score(model, test, "dt")
+    assert once.drop("score").exceptAll(test).count() == 0
+    twice = training.score(model, once.withColumnRenamed("score", "first"), "dt")
+    assert twice.where("score <> first").count() == 0 and twice.count() == test.count()
+
+
 def test_explanations_add_up(spark, sf_dir, train_rows):
     model = training.fit_pipeline(train_rows, models.MODELS["logreg"], QUICK["logreg"])
     scored = model.transform(applications(spark, sf_dir, "test"))
