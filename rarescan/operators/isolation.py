@@ -246,16 +246,16 @@ class IsolationForestModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         raw = anomaly_score(self.nodes, get(self.rowsPerTree))
         low, high = get(self.low), get(self.high)
         width = high - low if high > low else 1.0
-        scaled = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("__raw") - low) / width))
+        scaled = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("__path_score") - low) / width))
         return (
-            dataset.withColumn("__raw", raw(vector_to_array(get(self.featuresCol))))
+            dataset.withColumn("__path_score", raw(vector_to_array(get(self.featuresCol))))
             .withColumns(
                 {
                     get(self.scoreCol): scaled,
-                    "prediction": (F.col("__raw") > get(self.limit)).cast("double"),
+                    "prediction": (F.col("__path_score") > get(self.limit)).cast("double"),
                 }
             )
-            .drop("__raw")
+            .drop("__path_score")
         )
 
     def write(self):

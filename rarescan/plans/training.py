@@ -62,8 +62,8 @@ def score(model, df: DataFrame, name: str, keep: Sequence[str] | None = None) ->
     several models can then score one row after the other.
     """
     raw = F.struct(*(df.columns if keep is None else keep))
-    out = model.transform(df.withColumn("__raw", raw))
-    return out.select("__raw.*", score_column(name, out.columns).alias("score"))
+    out = model.transform(df.withColumn("__row", raw))
+    return out.select("__row.*", score_column(name, out.columns).alias("score"))
 
 
 def exact_auc(scored: DataFrame, label: str, column: str = "score") -> float:
