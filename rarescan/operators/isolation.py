@@ -95,7 +95,8 @@ def tree_samples(df: DataFrame, key: str, features: str, trees: int, salt: str)
     Large tables give each tree rows of its own.  A small table is shuffled
     anew as often as needed; every shuffle serves rows/256 trees.
     """
-    pool = sample_rows(df.select(key, features), key, trees * ROWS_PER_TREE, salt)
+    wanted = df.select(key, vector_to_array(features).alias("x"))
+    pool = materialize(sample_rows(wanted, key, trees * ROWS_PER_TREE, salt), "tree-rows")
     n = pool.count()  # at most trees * 256 rows from here on
     per_shuffle = max(1, n // ROWS_PER_TREE)
     shuffles = math.ceil(trees / per_shuffle)
@@ -111,7 +112,7 @@ def tree_samples(df: DataFrame, key: str, features: str, trees: int, salt: str)
         .where(
             (F.col("place") < per_shuffle * ROWS_PER_TREE) & (F.col("tree") < trees)
         )
-        .select("tree", "place", vector_to_array(features).alias("x"))
+        .select("tree", "place", "x")
     )
 
 

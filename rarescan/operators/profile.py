@@ -464,20 +464,30 @@ def class_profile(
         .withColumn("q", _lookup(slot, facts, "array<double>"))
         .select("feature", "class", "n", "missing", *_moment_columns())
     )
-    columns = [*numeric, *categorical]
-    # One distinct pass; the overall figure merges the classes' values.
-    values = typed_values(df, columns, keep=[F.col(label).alias("class")]).distinct()
-    per_class = values.groupBy("feature", "class").agg(F.count(_present()).alias("n_distinct"))
-    overall = (
-        values.drop("class")
-        .distinct()
+    # One pass for all distinct counts: a value knows the classes it occurs in.
+    values = (
+        typed_values(df, [*numeric, *categorical], keep=[F.col(label).alias("class")])
+        .groupBy("feature", "as_long", "as_double", "as_string")
+        .agg(*[F.max(F.col("class") == F.lit(k)).alias(f"in_{k}") for k in classes])
+        .where(_present().isNotNull())
         .groupBy("feature")
-        .agg(F.count(_present()).alias("n_distinct"))
-        .select("feature", F.lit(None).cast("int").alias("class"), "n_distinct")
-    )
-    distinct = overall.unionByName(
-        per_class.select("feature", F.col("class").cast("int").alias("class"), "n_distinct")
+        .agg(
+            F.count("*").alias("overall"),
+            *[F.count(F.when(F.col(f"in_{k}"), 1)).alias(f"n_{k}") for k in classes],
+        )
     )
+    sizes = [(None, "overall"), *[(k, f"n_{k}") for k in classes]]
+    distinct = values.select(
+        "feature",
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(k).cast("int").alias("class"), F.col(n).alias("n_distinct"))
+                    for k, n in sizes
+                ]
+            )
+        ).alias("e"),
+    ).select("feature", "e.*")
     same = (F.col("s.feature") == F.col("d.feature")) & F.col("s.class").eqNullSafe(
         F.col("d.class")
     )
