@@ -514,8 +514,9 @@ def robust_scaled(spark, sf):
     prep = preprocess.RobustPrep(columns=numeric, categories=categorical)
     model = prep.fit(features.engineer(train, ROLES, bounds))
     scaled = model.transform(features.engineer(df, ROLES, bounds))
-    values = vector_to_array(preprocess.NUMBERS)
-    return scaled.select(KEY, *[values[i].alias(c) for i, c in enumerate(numeric)])
+    # converted once per row, not once per slot
+    arrays = scaled.select(KEY, vector_to_array(preprocess.NUMBERS).alias("x"))
+    return arrays.select(KEY, *[F.col("x")[i].alias(c) for i, c in enumerate(numeric)])
 
 
 @query
@@ -530,9 +531,10 @@ def one_hot(spark, sf):
     for c in CATEGORICAL:
         levels = coded.schema[f"{c}{preprocess.HOT}"].metadata["ml_attr"]["attrs"]
         names = [a["name"] for group in levels.values() for a in sorted(group, key=lambda a: a["idx"])]
-        vector = vector_to_array(F.col(f"{c}{preprocess.HOT}"))
-        slots += [vector[i].cast("int").alias(f"{c}_{n}") for i, n in enumerate(names)]
-    return coded.select(KEY, *slots)
+        slots += [F.col(c)[i].cast("int").alias(f"{c}_{n}") for i, n in enumerate(names)]
+    # converted once per row, not once per slot
+    arrays = [vector_to_array(F.col(f"{c}{preprocess.HOT}")).alias(c) for c in CATEGORICAL]
+    return coded.select(KEY, *arrays).select(KEY, *slots)
 
 
 # ---- models -------------------------------------------------------------------------
