@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing
+from . import packing, quality
 from .common import table
 
 
@@ -20,5 +20,17 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_packing": op1_packing}
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of all documents, cutoffs per language."""
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select(
+        "doc_id", *(F.col("facts")[c].alias(c) for c in counts), "base_failed", "kept"
+    )
+
+
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op7_quality": op7_quality,
+}
 ORACLES: dict[str, str] = {}
