@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, quality, secrets
+from . import chat, html, language, packing, quality, secrets
 from .common import table
 
 
@@ -29,6 +29,17 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents, learned from three of four."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    found = html.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 # Control strings as texts: the conversation -1 that each run has besides the table's.
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -78,7 +89,9 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op4_language": op4_language,
     "op7_quality": op7_quality,
+    "op8_html": op8_html,
     "op9_chat": op9_chat,
     "op10_secrets": op10_secrets,
 }
