@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html, language, packing, quality, secrets
+from . import chat, html, language, packing, pii, quality, secrets
 from .common import table
 
 
@@ -20,6 +20,18 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Of the pseudonyms; a deployment passes its own secret.
+PII_KEY = "rarescan"
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced, and how much of each kind."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.replace_personal(docs, PII_KEY)
+    number = lambda kind: F.size(F.filter("personal", lambda p: p["kind"] == kind)).cast("long")
+    return found.select("doc_id", "text", *(number(kind).alias(f"n_{kind}") for kind in pii.KINDS))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of all documents, cutoffs per language."""
     judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -90,6 +102,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op4_language": op4_language,
+    "op5_pii": op5_pii,
     "op7_quality": op7_quality,
     "op8_html": op8_html,
     "op9_chat": op9_chat,
