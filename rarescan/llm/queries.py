@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html, language, packing, pii, quality, secrets
+from . import chat, decontaminate, html, language, packing, pii, quality, secrets
 from .common import table
 
 
@@ -41,6 +41,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold which benchmark item, by alignment score."""
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of all documents, learned from three of four."""
     return language.identify(table(spark, sf_dir, "documents"))
@@ -101,6 +106,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_decontamination": op3_decontamination,
     "op4_language": op4_language,
     "op5_pii": op5_pii,
     "op7_quality": op7_quality,
