@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, language, packing, pii, quality, secrets
+from . import chat, decontaminate, html, jaccard, language, packing, pii, quality, secrets
 from .common import table
 
 
@@ -41,6 +41,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of all documents."""
+    found = jaccard.join(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("size").alias("n_shingles"), "component_id")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents hold which benchmark item, by alignment score."""
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -106,6 +112,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_jaccard": op2_jaccard,
     "op3_decontamination": op3_decontamination,
     "op4_language": op4_language,
     "op5_pii": op5_pii,
