@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, jaccard, language, packing, pii, quality, secrets
+from . import chat, decontaminate, html, jaccard, language, packing, pii, quality, secrets, suffix
 from .common import table
 
 
@@ -32,6 +32,21 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", *(number(kind).alias(f"n_{kind}") for kind in pii.KINDS))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all documents lose to repeated strings of 50 bytes."""
+    found = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    length = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda a, s: a + (s["stop"] - s["start"])
+    )
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce(length, F.lit(0).cast("long")).alias("n_removed"),
+        F.coalesce(F.size("spans").cast("long"), F.lit(0).cast("long")).alias("n_spans"),
+        F.coalesce(F.sha2("kept", 256), "sha256").alias("kept_sha256"),
+    )
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of all documents, cutoffs per language."""
     judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -116,6 +131,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_language": op4_language,
     "op5_pii": op5_pii,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_quality": op7_quality,
     "op8_html": op8_html,
     "op9_chat": op9_chat,
