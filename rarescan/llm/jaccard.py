@@ -35,9 +35,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from ..sources.shared import materialize
-from .common import bounded_batches, narrow
+from .common import bounded_batches, narrow, unused
 
 WORDS = 4
 PERCENT = 85
@@ -394,7 +395,7 @@ def components(edges: DataFrame) -> DataFrame:
 def join(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent_from: int = FREQUENT
 ) -> DataFrame:
-    """(doc_id, node, size, component_id) of every document."""
+    """(doc_id, node, size, group, component_id) of every document; an empty set has no group."""
     texts = narrow(docs, doc_id="bigint", text="string")
     first = materialize(prefixes(texts, None, words, percent), "prefixes")
     counts = _occurrences(first)
@@ -415,9 +416,42 @@ def join(
     classes = classes.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
     classes = materialize(classes, "classes")
     ids = classes.groupBy("group").agg(F.min("least").alias("component_id"))
-    named = classes.join(ids, "group").select("node", "component_id")
-    some = nodes.where("size > 0").join(named, "node")
-    none = nodes.where("size = 0").withColumn("component_id", F.col("doc_id"))
-    return some.select("doc_id", "node", "size", "component_id").unionByName(
-        none.select("doc_id", "node", "size", "component_id")
+    named = classes.join(ids, "group").select("node", "group", "component_id")
+    columns = ("doc_id", "node", "size", "group", "component_id")
+    some = nodes.where("size > 0").join(named, "node").select(*columns)
+    none = nodes.where("size = 0").withColumns(
+        {"group": F.lit(None).cast("binary"), "component_id": F.col("doc_id")}
     )
+    return some.unionByName(none.select(*columns))
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One document of each component, that of the smallest doc_id, as it came.
+
+    Documents without a word are components of their own.  Rows that agree in doc_id
+    and set count as one.
+    """
+    found = join(docs, words, percent)
+    first = found.where("group is not null").groupBy("group").agg(
+        F.min_by(F.struct("doc_id", "node"), F.struct(F.isnull("doc_id"), "doc_id", "node")).alias("kept")
+    )
+    alone = found.where("group is null").select("doc_id", "node").distinct()
+    kept = first.select("kept.doc_id", "kept.node").unionByName(alone)
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("node").alias("kept_node"))
+
+    node = unused(docs, "node")
+    text_at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            nodes = [node_of(ngrams(t, words)) for t in batch.column(text_at).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(nodes, pa.binary())], [*batch.schema.names, node]
+            )
+
+    schema = StructType([*docs.schema, StructField(node, BinaryType())])
+    marked = bounded_batches(docs).mapInArrow(run, schema)
+    same = marked["doc_id"].cast("bigint").eqNullSafe(kept["kept_id"]) & (
+        marked[node] == kept["kept_node"]
+    )
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", node]).drop(node)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import let, unused
 
 ROUNDS = 8
 
@@ -311,9 +311,9 @@ def pseudonymised(text: Column, key: str) -> Column:
     return let(_step(text, MAIL, F.contains(text, F.lit("@")), key), numbers)
 
 
-def replace_personal(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """The documents with ``text`` replaced, and a column ``personal`` of what was."""
+def replace_personal(docs: DataFrame, key: str, text: str = "text", found: str = "personal") -> DataFrame:
+    """The documents with ``text`` replaced, and a column ``found`` of what was."""
+    both = unused(docs, "both")
     new = pseudonymised(F.col(f"`{text}`").cast("string"), key)
-    return docs.withColumn("personal", new).withColumns(
-        {text: F.col("personal.text"), "personal": F.col("personal.found")}
-    )
+    columns = [F.col(f"`{both}`.text").alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    return docs.withColumn(both, new).select(*columns, F.col(f"`{both}`.found").alias(found))

@@ -261,14 +261,12 @@ def filter_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang")
     The cutoffs come from a first pass that keeps counts only; the second pass
     takes the measures of each row again and filters it, so no text is shuffled.
     """
-    columns = docs.columns
     facts = measures(narrow(docs, doc_id="bigint", text="string", **{stratum: "string"}))
     cutoffs = materialize(thresholds(facts.drop("text"), labels, stratum), "cutoffs")
-    row = F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row")
-    rows = docs.select(row).select(
-        "row",
-        F.col("row")["text"].cast("string").alias("text"),
-        F.col("row")[stratum].cast("string").alias("_group"),
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col("text").cast("string").alias("text"),
+        F.col(f"`{stratum}`").cast("string").alias("group"),
     )
-    kept = verdicts(measures(rows), cutoffs, "_group").where("kept")
-    return kept.select(*(F.col("row")[c].alias(c) for c in columns))
+    kept = verdicts(measures(rows), cutoffs, "group").where("kept")
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
