@@ -6,6 +6,7 @@ the executor that wrote them, so a lost executor never forces a long recompute.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,7 +20,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     own = tempfile.mkdtemp(prefix="rarescan-")
     spark.sparkContext.setCheckpointDir(own)
@@ -34,4 +35,14 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     """Write once, read back: later passes scan only the columns they need."""
     path = new_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._written_to = path
+    return back
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of frames that ``materialize`` gave and nothing reads any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(frame._written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
