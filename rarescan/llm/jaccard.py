@@ -1,12 +1,12 @@
 """Exact n-gram Jaccard join by vertical partitioning, and its connected components.
 
-A document's set is its distinct word n-grams as 64-bit hashes.  Equal sets are one
-node from the start, so copies never meet in a join.  All sets are cut along one
-global order of the n-grams: first those not met often, then those met often, each by
-hash.
+A document's set is its distinct word n-grams as 64-bit hashes.  Equal texts are one
+class and equal sets one node from the start, so copies never meet in a join.  All
+sets are cut along one global order of the n-grams: those of one text, then those of
+a few, then those of many, each by hash.
 
 - The first fragment of each set (its prefix) must hold a common n-gram of any pair
-  similar enough; n-grams of two prefixes or more are the posting lists.
+  similar enough; its n-grams that other texts have too are the posting lists.
 - Contraction: on the first places of the prefixes, each list's members are compared
   with one leader only.  Groups of near copies become one component in this step, whatever their size.
 - The rest: lists that still touch several components give the pairs between
@@ -15,8 +15,9 @@ hash.
   hash order) are joined on (node, fragment), overlaps are counted apart, and summed
   per pair.
 
-Frequent n-grams, shared ones and the nodes to verify go to the tasks as bitmaps of
-a fixed size.  A full bitmap only filters less; no result depends on it.
+How many texts have an n-gram is counted over all texts, in ranges of the hash space, and
+goes to the tasks as bitmaps of a bounded size, as do the nodes to verify.  A full
+bitmap only filters less; no result depends on it.
 
 Defined cases: null or empty text gives an empty set, linked with nothing (its
 component is its own doc_id); fewer words than n are one n-gram; repeated rows
@@ -27,8 +28,7 @@ if it has no other; an empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import re
-import zlib
-from functools import lru_cache
+from functools import lru_cache, partial
 from hashlib import blake2b
 
 import numpy as np
@@ -37,15 +37,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from ..sources.shared import materialize
+from ..sources.shared import discard, materialize
+from .bitmaps import Bitmap, first_of_class, key_bitmap, keyed, mixed, occurrence_bitmaps
 from .common import bounded_batches, narrow, unused
 
 WORDS = 4
 PERCENT = 85
-FREQUENT = 50  # postings above which an n-gram goes to the end of the order
-LEADERS = 4  # places of the prefix compared with a leader
+FREQUENT = 30  # texts from which on an n-gram goes to the end of the order
+LEADERS = 4  # n-grams of a prefix whose lists are compared with a leader
 FRAGMENTS = 8
-BITS = 1 << 27  # of a bitmap: 16 MB
+BYTES_PER_SHARED = 48  # of text, for the size of the bitmaps
 CHUNK = 1 << 22
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -118,44 +119,6 @@ def node_of(grams: np.ndarray) -> bytes:
     return blake2b(grams.tobytes(), digest_size=16).digest()
 
 
-# ---- bitmaps ----------------------------------------------------------------
-
-
-def _position(hashes: np.ndarray) -> np.ndarray:
-    return ((hashes * MIX) >> np.uint64(64 - (BITS.bit_length() - 1))).astype(np.int64)
-
-
-class Bitmap:
-    """A set of 64-bit hashes that may hold more than was put in."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        at = _position(hashes)
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-
-
-def bitmap(hashes: DataFrame):
-    """A broadcast Bitmap of a frame of longs. Tasks set bits, the driver joins them."""
-
-    def run(batches):
-        bits = None
-        for batch in batches:
-            if bits is None:
-                bits = np.zeros(BITS // 8, np.uint8)
-            at = _position(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
-            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        if bits is not None:
-            packed = zlib.compress(bits.tobytes(), 1)
-            yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], ["bits"])
-
-    total = np.zeros(BITS // 8, np.uint8)
-    for row in hashes.repartition(8).mapInArrow(run, "bits binary").collect():  # 8 x 16 MB at most
-        total |= np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
-    return hashes.sparkSession.sparkContext.broadcast(Bitmap(total))
-
-
 # ---- prefixes, postings, fragments --------------------------------------------
 
 
@@ -164,136 +127,104 @@ def prefix_size(size: int, percent: int = PERCENT) -> int:
     return size - -(-percent * size // 100) + 1 if size else 0
 
 
-def ordered_prefix(grams: np.ndarray, frequent: Bitmap | None, percent: int) -> np.ndarray:
-    size = prefix_size(len(grams), percent)
-    if frequent is None or not size:
-        return grams[:size]
-    often = frequent.has(grams)
-    return np.concatenate([grams[~often], grams[often]])[:size]
+def shared_prefix(grams: np.ndarray, levels: list[Bitmap], percent: int):
+    """The prefix's n-grams that two texts or more have, and their places in the order."""
+    shared = levels[0].has(grams)
+    often = shared & levels[1].has(grams)
+    few, many = grams[shared & ~often], grams[often]
+    alone = len(grams) - len(few) - len(many)
+    size = max(0, prefix_size(len(grams), percent) - alone)
+    found = np.concatenate([few, many])[:size]
+    return found, np.arange(alone, alone + len(found), dtype=np.int32)
 
 
-def prefixes(texts: DataFrame, frequent, words: int, percent: int) -> DataFrame:
-    """(doc_id, node, size, prefix): the first fragment of every document's set."""
-    kinds = pa.schema(
-        [("doc_id", pa.int64()), ("node", pa.binary()), ("size", pa.int64()),
-         ("prefix", pa.list_(pa.int64()))]
-    )
+def _lists(rows: list[np.ndarray], kind) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    flat = np.concatenate(rows) if rows else np.zeros(0)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(kind)))
+
+
+def _prefixes(texts: DataFrame, first, levels, words: int, percent: int) -> DataFrame:
+    """(class, node, size, grams, places) of the first row of every class."""
+    names = ["class", "node", "size", "grams", "places"]
 
     def run(batches):
-        often = frequent.value if frequent is not None else None
+        known, bits = first.value, levels.value
         for batch in batches:
-            nodes, sizes, rows = [], [], []
-            for text in batch.column(1).to_pylist():
-                grams = ngrams(text, words)
-                nodes.append(node_of(grams))
-                sizes.append(len(grams))
-                rows.append(ordered_prefix(grams, often, percent).view(np.int64))
-            ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-            flat = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(ends), flat)
+            wanted = known.has(mixed(batch.column(0).to_numpy(zero_copy_only=False)))
+            at = pa.array(np.flatnonzero(wanted))
+            sets = [ngrams(t, words) for t in batch.column(2).take(at).to_pylist()]
+            found = [shared_prefix(s, bits, percent) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), lists],
-                schema=kinds,
+                [
+                    batch.column(1).take(at),
+                    pa.array([node_of(s) for s in sets], pa.binary()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    _lists([f[0].view(np.int64) for f in found], np.int64),
+                    _lists([f[1] for f in found], np.int32),
+                ],
+                names,
             )
 
-    schema = "doc_id bigint, node binary, size bigint, prefix array<bigint>"
-    return bounded_batches(texts).mapInArrow(run, schema)
+    schema = "class binary, node binary, size bigint, grams array<bigint>, places array<int>"
+    return bounded_batches(texts.select("key", "class", "text")).mapInArrow(run, schema)
 
 
-def _occurrences(first: DataFrame) -> DataFrame:
-    """(gram, n): in how many prefixes an n-gram lies, if in two or more.
-
-    Copies of one document weigh as many as there are; that only moves n-grams
-    further back in the order.
-    """
-    grams = first.select(F.explode("prefix").alias("gram"))
-    return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-
-
-def _postings(first: DataFrame, shared) -> DataFrame:
-    """(gram, place, node, size) of the n-grams that two prefixes or more may hold."""
-    kinds = pa.schema(
-        [("gram", pa.int64()), ("place", pa.int32()), ("node", pa.binary()), ("size", pa.int64())]
+def _postings(prefixes: DataFrame) -> DataFrame:
+    """(gram, place, rank, node, size): one row per node and n-gram."""
+    both = F.arrays_zip("grams", "places")
+    rows = prefixes.select("node", "size", F.posexplode(both).alias("rank", "both"))
+    rows = rows.select(
+        F.col("both.grams").alias("gram"), F.col("both.places").alias("place"), "rank", "node", "size"
     )
-
-    def run(batches):
-        keep = shared.value
-        for batch in batches:
-            lists = batch.column(2)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            lengths = np.diff(lists.offsets.to_numpy())
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            at = np.flatnonzero(keep.has(flat.view(np.uint64)))
-            rows = pa.array(owner[at])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[at]), pa.array(place[at].astype(np.int32)),
-                 batch.column(0).take(rows), batch.column(1).take(rows)],
-                schema=kinds,
-            )
-
-    rows = first.select("node", "size", "prefix")
-    found = bounded_batches(rows).mapInArrow(run, "gram bigint, place int, node binary, size bigint")
-    return found.dropDuplicates(["gram", "node"])  # combined per task: a copied set is one row
+    return rows.dropDuplicates(["gram", "node"])
 
 
-def _fragments(texts: DataFrame, wanted, words: int) -> DataFrame:
-    """(node, fragment, part): the cut sets of the wanted nodes, one row each."""
-    kinds = pa.schema(
-        [("node", pa.binary()), ("fragment", pa.int32()), ("part", pa.list_(pa.int64()))]
-    )
+def _fragments(texts: DataFrame, first, wanted, words: int) -> DataFrame:
+    """(node, fragment, part): the cut sets of the wanted nodes."""
     shift = np.uint64(64 - (FRAGMENTS.bit_length() - 1))
 
     def run(batches):
-        keep = wanted.value
-        seen: set[bytes] = set()
+        known, keep = first.value, wanted.value
         for batch in batches:
+            at = np.flatnonzero(known.has(mixed(batch.column(0).to_numpy(zero_copy_only=False))))
             nodes, numbers, parts = [], [], []
-            for text in batch.column(0).to_pylist():
+            for text in batch.column(1).take(pa.array(at)).to_pylist():
                 grams = ngrams(text, words)
                 node = node_of(grams)
-                if node in seen or not keep.has(np.frombuffer(node[:8], np.uint64))[0]:
+                if not keep.has(mixed(np.array([int.from_bytes(node[:7], "big")])))[0]:
                     continue
-                if len(seen) < 100_000:
-                    seen.add(node)
-                cuts = np.searchsorted(grams >> shift, np.arange(FRAGMENTS + 1))
+                cuts = np.searchsorted(grams >> shift, np.arange(FRAGMENTS + 1, dtype=np.uint64))
                 for n, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     if hi > lo:
                         nodes.append(node)
                         numbers.append(n)
                         parts.append(grams[lo:hi].view(np.int64))
-            ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-            flat = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.binary()), pa.array(numbers, pa.int32()),
-                 pa.ListArray.from_arrays(pa.array(ends), flat)],
-                schema=kinds,
-            )
+                [pa.array(nodes, pa.binary()), pa.array(numbers, pa.int32()), _lists(parts, np.int64)],
+                ["node", "fragment", "part"],
+            )
 
     schema = "node binary, fragment int, part array<bigint>"
-    return bounded_batches(texts.select("text")).mapInArrow(run, schema)
+    rows = bounded_batches(texts.select("key", "text")).mapInArrow(run, schema)
+    return rows.dropDuplicates(["node", "fragment"])
 
 
 # ---- pairs --------------------------------------------------------------------
 
 
 def _wanted(pairs: DataFrame):
+    """A bitmap of the nodes of the pairs, by their first seven bytes."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-
-    def run(batches):
-        for batch in batches:
-            keys = [int.from_bytes(n[:8], "little", signed=True) for n in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64())], ["key"])
-
-    return bitmap(nodes.mapInArrow(run, "key bigint"))
+    keys = nodes.select(F.conv(F.hex(F.substring("node", 1, 7)), 16, 10).cast("bigint").alias("key"))
+    return key_bitmap(keys, 2 * pairs.count())
 
 
-def verified(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b, size_a, size_b) that are similar enough, as (a, b)."""
-    parts = _fragments(texts, _wanted(pairs), words)
-    parts = materialize(
-        parts.groupBy("node", "fragment").agg(F.first("part").alias("part")), "fragments"
-    )
+def verified(texts: DataFrame, first, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The written pairs (a, b, size_a, size_b) that are similar enough, as (a, b)."""
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
+    parts = materialize(_fragments(texts, first, _wanted(pairs), words), "fragments")
     left = parts.select(F.col("node").alias("a"), "fragment", F.col("part").alias("part_a"))
     right = parts.select(F.col("node").alias("b"), "fragment", F.col("part").alias("part_b"))
     counted = (
@@ -307,7 +238,9 @@ def verified(texts: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
         .agg(F.sum("common").alias("common"))
     )
     union = F.col("size_a") + F.col("size_b") - F.col("common")
-    return counted.where(100 * F.col("common") >= percent * union).select("a", "b")
+    links = materialize(counted.where(100 * F.col("common") >= percent * union).select("a", "b"), "links")
+    discard(parts)
+    return links
 
 
 def _long_enough(percent: int) -> Column:
@@ -316,8 +249,8 @@ def _long_enough(percent: int) -> Column:
 
 
 def _leader_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Each list of the first places: its members with one of them."""
-    few = postings.where(F.col("place") < LEADERS).select("gram", "node", "size")
+    """Each list of the prefixes' first shared n-grams: its members with one of them."""
+    few = postings.where(F.col("rank") < LEADERS).select("gram", "node", "size")
     leaders = few.groupBy("gram").agg(
         F.min(F.struct("node", "size")).alias("leader"), F.count(F.lit(1)).alias("n")
     )
@@ -335,14 +268,13 @@ def _other_pairs(postings: DataFrame, groups: DataFrame, percent: int) -> DataFr
     named = postings.join(groups, "node", "left").withColumn(
         "group", F.coalesce("group", "node")
     )
-    named = materialize(named, "postings")
-    mixed = (
+    several = (
         named.groupBy("gram")
         .agg(F.min("group").alias("low"), F.max("group").alias("high"))
         .where("low < high")
         .select("gram")
     )
-    rows = named.join(mixed, "gram", "left_semi")
+    rows = named.join(several, "gram", "left_semi")
     one, two = (
         rows.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "size", "place", "group")))
         for s in "ab"
@@ -384,10 +316,12 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.distinct()
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b")
         down = materialize(down.distinct(), "edges")
+        discard(edges)
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.where("a != b").unionByName(least.select("a", F.col("m").alias("b")))
         edges = materialize(small.distinct(), "edges")
+        discard(down)
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("group"))
     return stars.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("group")).distinct())
 
@@ -396,22 +330,29 @@ def join(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, frequent_from: int = FREQUENT
 ) -> DataFrame:
     """(doc_id, node, size, group, component_id) of every document; an empty set has no group."""
-    texts = narrow(docs, doc_id="bigint", text="string")
-    first = materialize(prefixes(texts, None, words, percent), "prefixes")
-    counts = _occurrences(first)
-    frequent = counts.where(F.col("n") > frequent_from).select("gram")
-    first = materialize(prefixes(texts, bitmap(frequent), words, percent), "prefixes")
-    shared = bitmap(_occurrences(first).select("gram"))
-    postings = materialize(_postings(first, shared), "postings")
+    source = keyed(narrow(docs, doc_id="bigint", text="string"))
+    facts = source.select("doc_id", "ord", "class", F.octet_length("text").alias("bytes"))
+    facts = materialize(facts, "facts")
+    _, first = first_of_class(facts)
+    total = facts.agg(F.sum("bytes")).first()[0] or 0
+    levels = occurrence_bitmaps(
+        source, partial(ngrams, words=words), first, total, total // BYTES_PER_SHARED, (2, frequent_from)
+    )
+    prefixes = materialize(_prefixes(source, first, levels, words, percent), "prefixes")
+    levels.destroy()
+    postings = materialize(_postings(prefixes), "postings")
 
     pairs = materialize(_leader_pairs(postings, percent), "pairs")
-    links = materialize(verified(texts, pairs, words, percent), "links")
+    links = verified(source, first, pairs, words, percent)
     groups = components(links)
     pairs = materialize(_other_pairs(postings, groups, percent), "pairs")
-    more = materialize(verified(texts, pairs, words, percent), "links")
-    groups = components(links.unionByName(more))
+    more = verified(source, first, pairs, words, percent)
+    if not more.isEmpty():
+        groups = components(links.unionByName(more))
+    discard(postings)
 
-    nodes = first.select("doc_id", "node", "size")
+    of_class = prefixes.select("class", "node", "size").dropDuplicates(["class"])
+    nodes = facts.join(of_class, "class").select("doc_id", "node", "size")
     classes = nodes.groupBy("node").agg(F.min("doc_id").alias("least"))
     classes = classes.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
     classes = materialize(classes, "classes")
