@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 # 13 hex digits of md5 = 52 bits: a double holds the value exactly.
 HASH_DIGITS = 13
-HASH_SPACE = 16**HASH_DIGITS
+HASH_BITS = 4 * HASH_DIGITS
+HASH_SPACE = 1 << HASH_BITS
 
 
 def keyed_hash(key: str | Column, salt: str) -> Column:

@@ -3,31 +3,29 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rarescan.functions.columns import HASH_SPACE, keyed_hash, long_form
+from rarescan.functions.columns import HASH_BITS, keyed_hash, long_form
 from rarescan.operators.profile import small_table
 from rarescan.operators.quantiles import exact_quantiles
-from rarescan.operators.ranks import average_rank, running_counts
-from rarescan.operators.sampling import class_quota_sample, sample_rows
+from rarescan.operators.ranks import average_rank, running_counts, twice_rank
+from rarescan.operators.sampling import class_counts, class_quota_sample
 from rarescan.sources.shared import materialize
 
 SIGNIFICANT = 0.05
 MI_BINS = 10
 MI_NEIGHBORS = 3
-MI_SAMPLE = 50_000
-TEST_SAMPLE_FROM = 100_000
-TEST_SAMPLE_PER_CLASS = 10_000
 
-# A rank lookup is broadcast up to this many distinct values (16 bytes each).
-LOOKUP_VALUES = 200_000
+# Rank lookups are broadcast up to this many distinct values in all (16 bytes each).
+LOOKUP_VALUES = 500_000
 # Values that make up more than 1/HOT_SHARE of the rows count as hot; there are
 # at most HOT_SHARE of them per column, so their lookup has a fixed bound too.
 HOT_SHARE = 10_000
@@ -36,57 +34,33 @@ HOT_SHARE = 10_000
 # ---- rank correlation ---------------------------------------------------------
 
 
-def _ranked(df: DataFrame, key: str, columns: Sequence[str], **rank_args):
-    """Input of ``_rank_products``: values of columns with a bounded rank lookup,
-    ranks (``<column>__rank``) of all others, and the lookups."""
+def _ranked(
+    df: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    lookup_values: int | None = None,
+    **rank_args,
+) -> DataFrame:
+    """The rank of every cell as ``<column>__rank``; no column holds a null."""
     ranks = running_counts(df, columns, **rank_args).select(
         "feature", "value", "n", "n_all", average_rank().alias("rank")
     )
     # Written once; sizes, lookups and the join below all read it.
     ranks = materialize(ranks, "ranks")
     sizes = dict(ranks.groupBy("feature").agg(F.count("*")).collect())
-    small = [c for c in columns if sizes.get(c, 0) <= LOOKUP_VALUES]
+    small, total, most = [], 0, LOOKUP_VALUES if lookup_values is None else lookup_values
+    for c in sorted(columns, key=lambda c: sizes.get(c, 0)):
+        total += sizes.get(c, 0)
+        if total <= most:  # of all lookups together
+            small.append(c)
     large = [c for c in columns if c not in small]
-    out = df.select(key, *[(F.col(c).cast("double") + F.lit(0.0)).alias(c) for c in columns])
-    if large:
-        out = out.join(_ranks_of_large(out, ranks, key, large), key)
-    # At most LOOKUP_VALUES rows per column.
-    known = ranks.where(F.col("feature").isin(small)).select("feature", "value", "rank").toPandas()
-    lookups = {}
-    for feature, part in known.groupby("feature"):
-        part = part.sort_values("value")
-        lookups[feature] = (part["value"].to_numpy(), part["rank"].to_numpy())
-    return out, lookups
-
-
-def _rank_products(df: DataFrame, columns: Sequence[str], lookups: dict, n: int) -> np.ndarray:
-    """Sums of products of centred ranks, one row per partition and column pair.
-
-    The mean of average ranks is (n + 1) / 2 whatever the ties, so one pass does.
-    """
-    shared = df.sparkSession.sparkContext.broadcast(lookups)
-    names = [c if c in lookups else f"{c}__rank" for c in columns]
-    middle, width = (n + 1) / 2, len(columns)
-
-    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((width, width))
-        for batch in batches:
-            ranks = np.empty((len(batch), width))
-            for j, name in enumerate(names):
-                column = batch[name].to_numpy()
-                if name in shared.value:
-                    values, rank = shared.value[name]
-                    column = rank[np.searchsorted(values, column)]
-                ranks[:, j] = column - middle
-            total += ranks.T @ ranks
-        first, second = np.indices((width, width))
-        yield pd.DataFrame({"i": first.ravel(), "j": second.ravel(), "s": total.ravel()})
-
-    parts = df.select(*names).mapInPandas(products, "i int, j int, s double")
-    sums = np.zeros((width, width))
-    for row in parts.groupBy("i", "j").agg(F.sum("s").alias("s")).collect():
-        sums[row["i"], row["j"]] = row["s"]
-    return sums
+    cells = df.select(key, *[(F.col(c).cast("double") + F.lit(0.0)).alias(c) for c in columns])
+    out = cells.join(_ranks_of_large(cells, ranks, key, large), key) if large else cells
+    for c in small:
+        lookup = ranks.where(F.col("feature") == c)
+        lookup = lookup.select(F.col("value").alias(c), F.col("rank").alias(f"{c}__rank"))
+        out = out.join(F.broadcast(lookup), c)
+    return out.select(*[f"{c}__rank" for c in columns])
 
 
 def _ranks_of_large(df: DataFrame, ranks: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -114,21 +88,45 @@ def _ranks_of_large(df: DataFrame, ranks: DataFrame, key: str, columns: Sequence
     )
 
 
+def _complete_spearman(df: DataFrame, key: str, columns: Sequence[str], **rank_args) -> dict:
+    """(col1, col2) -> rho of columns without nulls: Pearson's of the ranks, in the JVM."""
+    ranked = _ranked(df, key, columns, **rank_args)
+    vectors = ranked.select(array_to_vector(F.array(*ranked.columns)).alias("ranks"))
+    if vectors.isEmpty():
+        return {(a, b): None for a in columns for b in columns}
+    matrix = Correlation.corr(vectors, "ranks", "pearson").first()[0].toArray()
+    ends = df.agg(*[(F.min(c) < F.max(c)).alias(c) for c in columns]).first()
+    constant = {c for c in columns if not ends[c]}
+
+    def rho(i: int, j: int) -> float | None:
+        value = float(matrix[i, j])
+        bad = columns[i] in constant or columns[j] in constant or math.isnan(value)
+        return None if bad else value
+
+    return {(a, b): rho(i, j) for i, a in enumerate(columns) for j, b in enumerate(columns)}
+
+
 def spearman(df: DataFrame, key: str, columns: Sequence[str], **rank_args) -> DataFrame:
     """Spearman matrix in long form (col1, col2, rho).
 
-    Tied values share their average rank.  A constant column has no
-    correlation, not even with itself, so its cells are null.  Columns must not
-    hold nulls.
+    Tied values share their average rank.  Nulls are left out pair by pair: a cell
+    comes from the rows that have both columns, ranked among themselves.  A
+    constant column has no correlation, not even with itself, so its cells are null.
     """
     columns = list(columns)
-    ranked, lookups = _ranked(df, key, columns, **rank_args)
-    sums = _rank_products(ranked, columns, lookups, df.count())
-    rows = []
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
-            scale = math.sqrt(sums[i, i] * sums[j, j])
-            rows.append((a, b, float(sums[i, j]) / scale if scale > 0 else None))
+    missing = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    gaps = [c for c in columns if missing[c]]
+    clean = [c for c in columns if c not in gaps]
+    cells = _complete_spearman(df, key, clean, **rank_args) if clean else {}
+    for i, a in enumerate(gaps):
+        rows = df.where(F.col(a).isNotNull())
+        found = _complete_spearman(rows, key, [a, *clean], **rank_args)
+        cells |= {pair: r for pair, r in found.items() if a in pair}
+        for b in gaps[:i]:
+            both = rows.where(F.col(b).isNotNull())
+            found = _complete_spearman(both, key, [a, b], **rank_args)
+            cells |= {(a, b): found[a, b], (b, a): found[b, a]}
+    rows = [(a, b, cells[a, b]) for a in columns for b in columns]
     return small_table(df.sparkSession, rows, "col1 string, col2 string, rho double")
 
 
@@ -167,12 +165,14 @@ def mann_whitney(
     sums = table.groupBy(*by, "feature").agg(
         F.max("pos_all").alias("n1"),
         (F.max("n_all") - F.max("pos_all")).alias("n2"),
-        F.sum(F.col("pos") * average_rank()).alias("rank_sum"),
+        # twice the rank is a whole number: exact at any size and in any order
+        F.sum(F.col("pos").cast("decimal(38,0)") * twice_rank()).cast("decimal(38,0)").alias("rank_sum"),
         F.sum(size * size * size - size).alias("ties"),
     )
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     n = n1 + n2
-    u = F.col("rank_sum") - n1 * (n1 + 1) / 2
+    least = F.col("n1").cast("decimal(19,0)") * (F.col("n1") + 1).cast("decimal(19,0)")
+    u = (F.col("rank_sum") - least).cast("double") / 2
     variance = n1 * n2 / 12 * ((n + 1) - F.coalesce(F.try_divide(F.col("ties"), n * (n - 1)), F.lit(0.0)))
     larger = F.greatest(F.col("u_stat"), n1 * n2 - F.col("u_stat"))
     z = F.when(
@@ -199,12 +199,13 @@ def mann_whitney(
     )
 
 
-def mann_whitney_sample(df: DataFrame, key: str, label: str, salt: str) -> DataFrame:
-    """The sample the test is meant for on large tables: up to 10,000 rows per class."""
-    if df.count() <= TEST_SAMPLE_FROM:
+def mann_whitney_sample(
+    df: DataFrame, key: str, label: str, salt: str, per_class: int | None = None
+) -> DataFrame:
+    """The rows to test: all of them, or ``per_class`` of each class where it is given."""
+    if per_class is None:
         return df
-    quotas = {1: TEST_SAMPLE_PER_CLASS, 0: TEST_SAMPLE_PER_CLASS}
-    return class_quota_sample(df, key, label, quotas, salt)
+    return class_quota_sample(df, key, label, {1: per_class, 0: per_class}, salt)
 
 
 # ---- mutual information --------------------------------------------------------------
@@ -261,68 +262,91 @@ def mi_binned(
     ).orderBy(F.desc("mi"), "feature")
 
 
-def _harmonic_digamma(n: np.ndarray) -> np.ndarray:
-    """digamma at positive integers: H(n-1) - gamma."""
-    n = np.asarray(n, dtype=np.int64)
-    sums = np.concatenate([[0.0], np.cumsum(1.0 / np.arange(1, max(2, int(n.max()))))])
-    return sums[n - 1] - np.euler_gamma
+# Values lie on a grid of whole numbers, so that every engine and every task
+# compares the same distances: this many steps over a column's range, and a jitter of
+# this many steps within each from the keyed hash, so that equal values break evenly.
+MI_STEPS, MI_JITTER_BITS = 1 << 40, 20
+
+
+def digamma(n: Column) -> Column:
+    """Digamma at whole numbers from 1: an asymptotic series at n + 8, stepped back."""
+    x = n.cast("double") + 8
+    series = F.log(x) - 1 / (2 * x) - 1 / (12 * x * x) + 1 / (120 * F.pow(x, 4)) - 1 / (252 * F.pow(x, 6))
+    for j in range(8):
+        series = series - 1 / (n.cast("double") + j)
+    return series
+
+
+def _grid(df: DataFrame, key: str, columns: Sequence[str], label: str, salt: str) -> DataFrame:
+    """(key, y, feature, v): every cell as a place on its column's grid; nulls count as 0."""
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns}
+    ends = df.agg(
+        *[F.min(v).alias(f"lo__{c}") for c, v in filled.items()],
+        *[F.max(v).alias(f"hi__{c}") for c, v in filled.items()],
+    ).first()
+
+    def place(c: str) -> Column:
+        lo, hi = ends[f"lo__{c}"], ends[f"hi__{c}"]
+        jitter = keyed_hash(F.concat_ws(":", F.col(key), F.lit(c)), salt)
+        jitter = F.shiftright(jitter, HASH_BITS - MI_JITTER_BITS)
+        if lo is None or lo == hi:
+            return jitter
+        step = F.floor((filled[c] - F.lit(lo)) / (F.lit(hi) - F.lit(lo)) * float(MI_STEPS))
+        return step.cast("bigint") * (1 << MI_JITTER_BITS) + jitter
+
+    cells = {c: place(c) for c in columns}
+    return long_form(df, cells, [F.col(key).alias("key"), F.col(label).alias("y")]).select(
+        "key", "y", "feature", F.col("value").alias("v")
+    )
+
+
+def _in_ranges(df: DataFrame, *order: str) -> DataFrame:
+    """The rows with the number of the range partition that holds them, written once."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
+    return materialize(dealt, "ranges")
 
 
-def _rows_within(x: np.ndarray, radius: np.ndarray) -> np.ndarray:
-    """Rows at a distance of at most ``radius`` from each row.
+def _neighbors(cells: DataFrame, k: int) -> DataFrame:
+    """Each cell with the k values before (l1..) and after it (r1..) in its class.
 
-    ``x +- radius`` is rounded, so the ends are moved until the distances agree.
+    Windows run inside the range partitions; the first and last k cells of each,
+    a small table, are then completed by one window over all of them.
     """
-    values, sizes = np.unique(x, return_counts=True)
-    before = np.concatenate([[0], np.cumsum(sizes)])
-    first = np.searchsorted(values, x - radius, "left")
-    last = np.searchsorted(values, x + radius, "right") - 1
-    top = len(values) - 1
-    while True:
-        first_out = x - values[first] > radius
-        first_in = (first > 0) & (x - values[np.maximum(first - 1, 0)] <= radius)
-        last_out = values[last] - x > radius
-        last_in = (last < top) & (values[np.minimum(last + 1, top)] - x <= radius)
-        if not (first_out | first_in | last_out | last_in).any():
-            return before[last + 1] - before[first]
-        first = first + first_out - first_in
-        last = last - last_out + last_in
-
-
-def neighbor_mi(x: np.ndarray, y: np.ndarray, k: int = MI_NEIGHBORS) -> float:
-    """Ross (2014) estimate for one continuous feature and discrete labels."""
-    radius = np.full(len(x), np.nan)
-    own_k = np.zeros(len(x), dtype=np.int64)
-    own_n = np.zeros(len(x), dtype=np.int64)
-    for c in np.unique(y):
-        at = np.flatnonzero(y == c)
-        if len(at) < 2:
-            continue
-        near = min(k, len(at) - 1)
-        order = at[np.argsort(x[at], kind="stable")]
-        v = x[order]
-        # the near-th neighbour lies in one of the near + 1 windows around a point
-        best = np.full(len(v), np.inf)
-        for left in range(near + 1):
-            lo = np.arange(len(v)) - left
-            hi = lo + near
-            ok = (lo >= 0) & (hi < len(v))
-            reach = np.maximum(v[ok] - v[lo[ok]], v[hi[ok]] - v[ok])
-            best[ok] = np.minimum(best[ok], reach)
-        radius[order] = np.nextafter(best, 0)
-        own_k[order], own_n[order] = near, len(at)
-    used = own_n > 0
-    if not used.any():
-        return 0.0
-    xs, rs = x[used], radius[used]
-    within = _rows_within(xs, rs)
-    mi = (
-        _harmonic_digamma(np.array([len(xs)]))[0]
-        + _harmonic_digamma(own_k[used]).mean()
-        - _harmonic_digamma(own_n[used]).mean()
-        - _harmonic_digamma(np.maximum(within, 1)).mean()
+    own = Window.partitionBy("feature", "y", "part").orderBy("v", "key")
+    back = Window.partitionBy("feature", "y", "part").orderBy(F.desc("v"), F.desc("key"))
+    steps = range(1, k + 1)
+    near = cells.withColumns(
+        {f"l{i}": F.lag("v", i).over(own) for i in steps}
+        | {f"r{i}": F.lead("v", i).over(own) for i in steps}
+        | {"first": F.row_number().over(own), "last": F.row_number().over(back)}
+    )
+    edge = (F.col("first") <= k) | (F.col("last") <= k)
+    whole = Window.partitionBy("feature", "y").orderBy("v", "key")
+    ends = near.where(edge).withColumns(
+        {f"_l{i}": F.lag("v", i).over(whole) for i in steps}
+        | {f"_r{i}": F.lead("v", i).over(whole) for i in steps}
     )
-    return max(0.0, float(mi))
+    ends = ends.withColumns(
+        {f"l{i}": F.when(F.col("first") <= k, F.col(f"_l{i}")).otherwise(F.col(f"l{i}")) for i in steps}
+        | {f"r{i}": F.when(F.col("last") <= k, F.col(f"_r{i}")).otherwise(F.col(f"r{i}")) for i in steps}
+    )
+    return near.where(~edge).unionByName(ends.select(*near.columns))
+
+
+def _radius(k: int) -> Column:
+    """Distance to the k-th nearest of the class: the tightest run of k + 1 values around it."""
+    reaches = []
+    for left in range(k + 1):
+        sides = [F.col("v") - F.col(f"l{left}")] if left else []
+        sides += [F.col(f"r{k - left}") - F.col("v")] if left < k else []
+        # a run that sticks out at an end does not count
+        whole = F.greatest(*sides) if len(sides) > 1 else sides[0]
+        missing = F.lit(False)
+        for side in sides:
+            missing = missing | side.isNull()
+        reaches.append(F.when(~missing, whole))
+    return F.least(*reaches)
 
 
 def mi_knn(
@@ -331,36 +355,52 @@ def mi_knn(
     columns: Sequence[str],
     label: str,
     salt: str,
-    sample: int = MI_SAMPLE,
     k: int = MI_NEIGHBORS,
 ) -> DataFrame:
-    """Nearest-neighbour mutual information on a sample of at most 50,000 rows.
+    """Nearest-neighbour mutual information with a discrete label (Ross 2014), on all rows.
 
-    One group per feature, each as large as the sample, never more.  Values are
-    scaled by their deviation and get a jitter far below any real difference,
-    from the keyed hash, so that ties in discrete features break evenly.
+    Classes of one row are left out.  Per cell: the distance to its k-th nearest of
+    its class, then how many cells of any class are nearer.  Those are counted as a
+    difference of two running counts over the cells and the interval ends together,
+    range partition by range partition.
     """
-    rows = sample_rows(df.select(key, label, *columns), key, sample, salt)
-    values = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns}
-    long = long_form(rows, values, [F.col(key), F.col(label).cast("int").alias("y")])
-    own_hash = keyed_hash(F.concat_ws(":", F.col(key), F.col("feature")), salt)
-    cells = long.select(
-        "y", "feature", F.col("value").alias("x"), (own_hash / HASH_SPACE).alias("u")
+    counts = {c: n for c, n in class_counts(df, label).items() if c is not None and n > 1}
+    used = df.where(F.col(label).isin(list(counts)))
+    cells = _in_ranges(_grid(used, key, columns, label, salt), "feature", "y", "v")
+    radius = nearest = size = F.lit(None).cast("bigint")
+    for c, n in counts.items():
+        mine = F.col("y") == F.lit(c)
+        radius = F.when(mine, _radius(min(k, n - 1))).otherwise(radius)
+        nearest = F.when(mine, F.lit(min(k, n - 1))).otherwise(nearest)
+        size = F.when(mine, F.lit(n)).otherwise(size)
+    reach = F.greatest(radius, F.lit(1)) - 1
+    around = _neighbors(cells, k).select("key", "y", "feature", "v", reach.alias("reach"))
+    point = F.struct(F.col("v").alias("t"), F.lit(0).alias("sign"), F.lit(1).alias("n"))
+    upto = F.struct((F.col("v") + F.col("reach")).alias("t"), F.lit(1).alias("sign"), F.lit(0).alias("n"))
+    below = F.struct((F.col("v") - F.col("reach") - 1).alias("t"), F.lit(-1).alias("sign"), F.lit(0).alias("n"))
+    events = around.select("key", "y", "feature", F.explode(F.array(point, upto, below)).alias("e"))
+    events = events.select("key", "y", "feature", "e.*", (F.col("e.sign") != 0).alias("asks"))
+    events = _in_ranges(events, "feature", "t", "asks")
+    inside = Window.partitionBy("feature", "part").orderBy("t", "asks")
+    earlier = Window.partitionBy("feature").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = events.groupBy("feature", "part").agg(F.sum("n").alias("total"))
+    totals = totals.select(
+        "feature", "part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before")
     )
-
-    def score(group: pd.DataFrame) -> pd.DataFrame:
-        x = group["x"].to_numpy(float)
-        spread = x.std()
-        x = x / spread if spread > 0 else x
-        x = x + 1e-10 * max(1.0, np.abs(x).mean()) * (group["u"].to_numpy(float) - 0.5)
-        mi = neighbor_mi(x, group["y"].to_numpy(), k)
-        return pd.DataFrame({"feature": [group["feature"].iloc[0]], "mi": [mi]})
-
-    return (
-        cells.groupBy("feature")
-        .applyInPandas(score, "feature string, mi double")
-        .orderBy(F.desc("mi"), "feature")
+    running = events.withColumn("upto", F.sum("n").over(inside)).where("asks")
+    counted = (
+        running.join(totals, ["feature", "part"])
+        .groupBy("feature", "key", "y")
+        .agg(F.sum(F.col("sign") * (F.col("upto") + F.col("before"))).alias("within"))
+    )
+    terms = counted.select(
+        "feature",
+        (digamma(nearest) - digamma(size) - digamma(F.greatest("within", F.lit(1)))).alias("term"),
+    )
+    mi = terms.groupBy("feature").agg(
+        F.greatest(F.lit(0.0), digamma(F.count(F.lit(1))) + F.avg("term")).alias("mi")
     )
+    return mi.orderBy(F.desc("mi"), "feature")
 
 
 # ---- screening -------------------------------------------------------------------------

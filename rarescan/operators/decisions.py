@@ -30,10 +30,14 @@ CONFIDENCE = {
 
 
 def three_tier(score: str | Column, threshold: float) -> Column:
-    """Block strictly above the threshold, review strictly above 80 % of it."""
+    """Block strictly above the threshold, review strictly above 80 % of it.
+
+    A row without a score is an error, as it is for a committee without members.
+    """
     score = F.col(score) if isinstance(score, str) else score
     return (
-        F.when(score > F.lit(threshold), BLOCK)
+        F.when(score.isNull(), ERROR)
+        .when(score > F.lit(threshold), BLOCK)
         .when(score > F.lit(threshold * REVIEW_SHARE), REVIEW)
         .otherwise(APPROVE)
     )

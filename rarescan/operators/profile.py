@@ -18,9 +18,7 @@ from rarescan.operators.quantiles import exact_quantiles
 OUTLIER_FENCE = 1.5
 LISTED_VALUES = 30
 TOP_VALUES = 5
-RISK_MAX_VALUES = 50
 HISTOGRAM_BINS = 30
-BOX_COLUMNS = 12
 
 
 def _stacked(row_per_feature: DataFrame, fields: Sequence[tuple[str, str]], features) -> DataFrame:
@@ -153,14 +151,27 @@ def quality_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each group of equal rows (nulls equal).
 
-    Copies collapse in the map-side aggregate, so one row copied a billion
-    times is one row per task in the shuffle.
+    Rows are first counted by a 128-bit hash of all columns, so only two numbers and
+    a count per distinct row are shuffled, copies combined before; whether an
+    equal hash is an equal row is then checked on the rows of those hashes alone.
     """
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
-    return groups.agg(
-        F.sum("copies").alias("n_rows"),
-        F.sum(F.col("copies") - 1).alias("n_duplicates"),
-    ).select(
+    hashed = df.select(F.struct(*df.columns).alias("row")).select(
+        "row",
+        F.xxhash64("row").alias("h1"),
+        F.xxhash64(F.lit(1), "row").alias("h2"),
+    )
+    seen = hashed.groupBy("h1", "h2").agg(F.count("*").alias("copies"))
+    more = seen.where("copies > 1").select("h1", "h2")
+    groups = (
+        hashed.join(more, ["h1", "h2"], "left_semi")
+        .groupBy("row")
+        .agg(F.count("*").alias("copies"))
+    )
+    nothing = F.lit(0).cast("bigint")
+    rows = seen.agg(F.sum("copies").alias("n_rows"), nothing.alias("n_duplicates"))
+    extra = groups.agg(nothing.alias("n_rows"), F.sum(F.col("copies") - 1).alias("n_duplicates"))
+    both = rows.unionByName(extra).agg(*(F.sum(c).alias(c) for c in ("n_rows", "n_duplicates")))
+    return both.select(
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
         F.coalesce("n_duplicates", F.lit(0)).alias("n_duplicates"),
         (ratio0(F.col("n_duplicates"), F.col("n_rows")) * 100).alias("duplicate_pct"),
@@ -298,11 +309,10 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
 def box_stats(
     df: DataFrame, columns: Sequence[str], label: str, classes=(0, 1), **quantile_args
 ) -> DataFrame:
-    """Box-plot numbers per class for the first columns.
+    """Box-plot numbers per class for every column.
 
     Whiskers are the extreme values inside the fences.
     """
-    columns = list(columns)[:BOX_COLUMNS]
     slots = {
         (c, k): F.when(F.col(label) == F.lit(k), F.col(c).cast("double"))
         for c in columns
@@ -354,7 +364,8 @@ def category_counts(df: DataFrame, columns: Sequence[str], label: str | None = N
 def category_domain(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """All values of a column with up to 30 of them, else the 5 most frequent.
 
-    Null counts as a value.  Ties in frequency go by value.  The row_number
+    ``domain`` is an array; null counts as a value and stays null.  Ties in
+    frequency go by value.  The row_number
     filter keeps at most 30 rows per feature before any shuffle by feature.
     """
     counts = category_counts(df, columns)
@@ -366,15 +377,13 @@ def category_domain(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .join(sizes, "feature")
         .where((F.col("n_values") <= LISTED_VALUES) | (F.col("place") <= TOP_VALUES))
     )
-    listed = F.sort_array(F.collect_list(F.struct("place", F.coalesce("value", F.lit("")).alias("v"))))
-    every = F.array_sort(F.transform(listed, lambda x: x["v"]))
+    listed = F.sort_array(F.collect_list(F.struct("place", F.col("value").alias("v"))))
     frequent = F.transform(listed, lambda x: x["v"])
+    every = F.sort_array(frequent)  # null first
     return (
         first.groupBy("feature", "n_values")
         .agg(
-            F.when(F.col("n_values") <= LISTED_VALUES, F.array_join(every, ","))
-            .otherwise(F.array_join(frequent, ","))
-            .alias("domain")
+            F.when(F.col("n_values") <= LISTED_VALUES, every).otherwise(frequent).alias("domain")
         )
         .select("feature", "n_values", "domain")
     )
@@ -408,18 +417,19 @@ def rate_by_period(df: DataFrame, period: str, label: str) -> DataFrame | None:
 
 
 def categorical_risk(
-    df: DataFrame, columns: Sequence[str], label: str, max_values: int = RISK_MAX_VALUES
+    df: DataFrame, columns: Sequence[str], label: str, max_values: int | None = None
 ) -> DataFrame:
-    """Positive rate per category, riskiest first.
+    """Positive rate per category, riskiest first; the null group is left out.
 
-    The null group and columns with more than ``max_values`` values are left out.
+    ``max_values`` leaves out the columns with more values than that.
     """
     counts = category_counts(df, columns, label).where("value IS NOT NULL")
-    sizes = counts.groupBy("feature").agg(F.count("*").alias("n_values"))
-    few = sizes.where(F.col("n_values") <= max_values).select("feature")
+    if max_values is not None:
+        sizes = counts.groupBy("feature").agg(F.count("*").alias("n_values"))
+        few = sizes.where(F.col("n_values") <= max_values).select("feature")
+        counts = counts.join(few, "feature", "left_semi")
     return (
-        counts.join(few, "feature", "left_semi")
-        .select("feature", "value", "n", "pos", (F.col("pos") / F.col("n")).alias("pos_rate"))
+        counts.select("feature", "value", "n", "pos", (F.col("pos") / F.col("n")).alias("pos_rate"))
         .orderBy("feature", F.desc("pos_rate"), "value")
     )
 

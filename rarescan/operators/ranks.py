@@ -19,7 +19,6 @@ from rarescan.functions.columns import long_form, unpivot_structs
 from rarescan.sources.shared import materialize
 
 ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 4096
 
 
 def bucket_edges(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[float]]:
@@ -59,7 +58,6 @@ def running_counts(
     label: str | None = None,
     by: Sequence[str] = (),
     rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_buckets: int = MAX_BUCKETS,
 ) -> DataFrame:
     """One row per (by, feature, value) with counts below it.
 
@@ -69,7 +67,7 @@ def running_counts(
     """
     columns = list(columns)
     kept = df.select(*by, *columns, *([label] if label and label not in columns else []))
-    buckets = min(max_buckets, kept.count() // rows_per_bucket)
+    buckets = kept.count() // rows_per_bucket
     if buckets <= 1:
         return _counts_in_one_bucket(_value_table(kept, columns, label, by), by)
     edges = bucket_edges(kept, columns, buckets)
@@ -164,6 +162,11 @@ def _counts_over_buckets(values: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def twice_rank() -> Column:
+    """Twice the mean rank, a whole number."""
+    return (2 * F.col("n_below") + F.col("n") + 1).cast("decimal(19,0)")
+
+
 def average_rank() -> Column:
     """Mean rank (1-based) of the rows tied at a value of ``running_counts``."""
     return F.col("n_below") + (F.col("n") + 1) / F.lit(2.0)

@@ -8,6 +8,7 @@ no row is ever moved or ranked in a window.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -145,7 +146,8 @@ def undersample(
 ) -> DataFrame:
     """All positives, and negatives thinned so that positives/negatives = ratio."""
     counts = counts or class_counts(df, label)
-    keep = counts.get(1, 0) / (ratio * counts.get(0, 0))
+    wanted, there = counts.get(1, 0) / ratio, counts.get(0, 0)
+    keep = wanted / there if there else math.inf
     if keep > 1:
         raise ValueError(f"ratio {ratio} would need more negatives than there are")
     return df.where((F.col(label) == 1) | (keyed_hash(key, salt) < hash_cut(keep)))

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,7 +160,8 @@ def train_models(
         params[name] = done.params
     if STACKING in chosen:
         wanted = (*STACK_REQUIRED, *STACK_OPTIONAL)
-        bases = {n: params[n] for n in wanted if n in params}
+        known = {**{n: p for n in wanted if (p := store.best_params(n)) is not None}, **params}
+        bases = {n: known[n] for n in wanted if n in known}
         training.train_stack(df, bases, run_id, store, roles, settings)
     return chosen
 
@@ -202,7 +202,10 @@ def evaluate_model(
     tables = evaluate(
         training.score(model, test, name, [roles.label]), roles.label, threshold
     )
-    names = preprocess.feature_names(model.transform(test))
+    if name == STACKING:  # one coefficient per base model
+        names = [c.removesuffix("__p") for c in model.stages[-2].getInputCols()]
+    else:
+        names = preprocess.feature_names(model.transform(test))
     top = explain.importances(store.spark, model.stages[-1], names)
     if top is not None:
         tables["importances"] = top
@@ -251,12 +254,9 @@ def committee_scores(
     members: dict[str, tuple[str, float]] = {}
     out = df
     for member, name in COMMITTEE.items():
-        try:
-            model = store.load_model(name)
-        except Exception as err:  # a model that was never saved
-            if "does not exist" not in str(err) and "PATH_NOT_FOUND" not in str(err):
-                raise
+        if not store.has_model(name):
             continue
+        model = store.load_model(name)
         keep = out.columns
         column = f"score_{member}"
         out = training.score(model, out, name, keep).withColumnRenamed("score", column)
@@ -276,5 +276,6 @@ def decide(
     scored, members = committee_scores(store, df, roles)
     columns = [roles.key, roles.label, *[s for s, _ in members.values()]]
     decided = decisions.with_committee(scored.select(*columns), members, details=True)
-    decided = decided.persist(StorageLevel.MEMORY_AND_DISK)
+    # written once: scoring runs the models, and both results read it
+    decided = materialize(decided, "decided")
     return decided, decisions.cost_report(decided, roles.label, ticket=ticket)

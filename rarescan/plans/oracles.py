@@ -5,8 +5,10 @@ from __future__ import annotations
 from rarescan.config import BANK_APPLICATIONS as ROLES
 from rarescan.plans.queries import (
     FOLDS,
+    GAPPY,
     MEMBERS,
     MIX,
+    PER_CLASS,
     SAMPLE_ROWS,
     THRESHOLDS,
     TIER_THRESHOLD,
@@ -173,6 +175,7 @@ def describe_sql(columns) -> str:
 ORACLES["describe_numeric"] = (
     f"WITH {APPS}, v AS ({long_sql([*NUMERIC, 'fraud_bool'])}) {describe_sql(NUMERIC)}"
 )
+ORACLES["describe_bracketed"] = ORACLES["describe_numeric"]
 _LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 ORACLES["describe_lineitem"] = (
     f"WITH raw AS ({long_sql(_LINE, 'lineitem')}), "
@@ -194,8 +197,8 @@ WITH {APPS}, v AS ({long_sql(CATEGORICAL, kind='VARCHAR')} UNION ALL
 c AS (SELECT feature, value, count(*) AS n FROM v GROUP BY feature, value),
 r AS (SELECT *, count(*) OVER (PARTITION BY feature) AS n_values,
   row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) AS k FROM c)
-SELECT feature, n_values, CASE WHEN n_values <= 30 THEN string_agg(value, ',' ORDER BY value)
-  ELSE string_agg(value, ',' ORDER BY k) END AS domain
+SELECT feature, n_values, CASE WHEN n_values <= 30 THEN list(value ORDER BY value)
+  ELSE list(value ORDER BY k) END AS domain
 FROM r WHERE n_values <= 30 OR k <= 5 GROUP BY feature, n_values"""
 
 ORACLES["target_distribution"] = f"""
@@ -213,8 +216,7 @@ WITH {APPS} SELECT month, count(*) AS n, CAST(sum(fraud_bool) AS BIGINT) AS pos,
 
 def risk_sql() -> str:
     return """SELECT feature, value, count(*) AS n, CAST(sum(y) AS BIGINT) AS pos,
-  round(sum(y) * 1e0 / count(*), 6) AS pos_rate FROM v WHERE value IS NOT NULL GROUP BY feature, value
-  HAVING feature IN (SELECT feature FROM v GROUP BY feature HAVING count(DISTINCT value) <= 50)"""
+  round(sum(y) * 1e0 / count(*), 6) AS pos_rate FROM v WHERE value IS NOT NULL GROUP BY feature, value"""
 
 
 ORACLES["categorical_risk"] = (
@@ -234,7 +236,7 @@ SELECT feature, bin, round(lo + (hi - lo) / 30 * bin, 6) AS bin_start, count(*)
 GROUP BY feature, bin, lo, hi"""
 
 ORACLES["box_stats"] = f"""
-WITH {APPS}, v AS ({long_sql(NUMERIC[:12], extra=', fraud_bool AS class')}),
+WITH {APPS}, v AS ({long_sql(NUMERIC, extra=', fraud_bool AS class')}),
 q AS (SELECT feature, class, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS q2,
   quantile_cont(value, 0.75) AS q3 FROM v GROUP BY feature, class),
 b AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
@@ -284,6 +286,14 @@ ORACLES["spearman"] = (
     _spearman("")
     + " SELECT col1, col2, CASE WHEN sa * sb = 0 THEN NULL ELSE round(c / (sa * sb), 6) END AS rho FROM p"
 )
+ORACLES["spearman_joined"] = ORACLES["spearman"]
+_GAPS = f"SELECT * REPLACE ({', '.join(f'nullif({c}, -1) AS {c}' for c in GAPPY[:2])}) FROM apps"
+ORACLES["spearman_nulls"] = f"""
+WITH {APPS}, gaps AS ({_GAPS}), v AS ({long_sql(GAPPY, 'gaps', ', application_id AS id')}),
+j AS (SELECT a.feature AS col1, b.feature AS col2, a.value AS x, b.value AS y FROM v a JOIN v b USING (id)
+  WHERE a.value IS NOT NULL AND b.value IS NOT NULL),
+r AS (SELECT col1, col2, {', '.join(f"rank() OVER (PARTITION BY col1, col2 ORDER BY {c}) + (count(*) OVER (PARTITION BY col1, col2, {c}) - 1) / 2e0 AS r{c}" for c in 'xy')} FROM j)
+SELECT col1, col2, round(corr(rx, ry), 6) AS rho FROM r GROUP BY col1, col2"""
 ORACLES["target_correlation"] = (
     _spearman("WHERE b.feature = 'fraud_bool' AND a.feature <> 'fraud_bool'")
     + " SELECT col1 AS feature, CASE WHEN sa * sb = 0 THEN NULL ELSE round(c / (sa * sb), 6) END AS rho FROM p"
@@ -312,12 +322,36 @@ WITH {APPS}, {_tests('apps')}
 SELECT feature, n1, n2, u_stat, round(z, 6) AS z, round(p, 6) AS p_value,
   CASE WHEN p < 0.05 THEN 'significant' ELSE 'not significant' END AS conclusion FROM tested"""
 
+ORACLES["mann_whitney_buckets"] = ORACLES["mann_whitney_u"]
 ORACLES["mann_whitney_sampled"] = f"""
-WITH {APPS}, c AS (SELECT count(*) AS total FROM apps),
+WITH {APPS},
 picked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fraud_bool ORDER BY {hash_sql('ranktest')}, application_id) AS k
-  FROM apps), c WHERE total <= 100000 OR k <= 10000), {_tests('picked')}
+  FROM apps) WHERE k <= {PER_CLASS}), {_tests('picked')}
 SELECT feature, n1, n2, u_stat, round(z, 6) AS z FROM tests"""
 
+
+
+def _digamma(n: str) -> str:
+    x = f"({n} + 8e0)"
+    back = " - ".join(f"1 / ({n} + {j}e0)" for j in range(8))
+    return f"(ln({x}) - 1 / (2 * {x}) - 1 / (12 * {x} * {x}) + 1 / (120 * pow({x}, 4)) - 1 / (252 * pow({x}, 6)) - {back})"
+
+
+_JITTER = hash_sql("mi", "CAST(application_id AS VARCHAR) || ':' || feature")
+ORACLES["mi_knn"] = f"""
+WITH {APPS}, v AS ({long_sql(NUMERIC, extra=', fraud_bool AS y, application_id')}),
+m AS (SELECT feature, min(value) AS lo, max(value) AS hi FROM v GROUP BY feature),
+g AS (SELECT feature, y, application_id, {_JITTER} // {1 << 32} + CASE WHEN lo = hi THEN 0 ELSE
+  CAST(floor((value - lo) / (hi - lo) * {1 << 40}e0) AS BIGINT) * {1 << 20} END AS x FROM v JOIN m USING (feature)),
+d AS (SELECT *, count(*) OVER (PARTITION BY feature, y) AS size,
+  {', '.join(f"x - lag(x, {i}) OVER w AS l{i}, lead(x, {i}) OVER w - x AS r{i}" for i in (1, 2, 3))}
+  FROM g WINDOW w AS (PARTITION BY feature, y ORDER BY x, application_id)),
+r AS (SELECT *, greatest(1, list_min([r3, CASE WHEN l1 IS NOT NULL AND r2 IS NOT NULL THEN greatest(l1, r2) END,
+  CASE WHEN l2 IS NOT NULL AND r1 IS NOT NULL THEN greatest(l2, r1) END, l3])) - 1 AS reach FROM d),
+n AS (SELECT *, count(*) OVER (PARTITION BY feature ORDER BY x RANGE BETWEEN reach PRECEDING AND reach FOLLOWING) AS near FROM r)
+SELECT feature, round(greatest(0, {_digamma('count(*)')} + avg({_digamma('3e0')} - {_digamma('size')} - {_digamma('near')})), 6) AS mi
+FROM n GROUP BY feature"""
+
 _CUTS = ", ".join(repr(i / 10) for i in range(1, 10))
 _MI = f"""mv AS ({long_sql(NUMERIC, extra=', fraud_bool AS y')}),
 mq AS (SELECT feature, list_distinct(quantile_cont(value, [{_CUTS}])) AS cuts FROM mv GROUP BY feature),
@@ -576,14 +610,21 @@ ORACLES["robust_scaled"] = (
 _LEVELS = {
     "payment_type": ["AA", "AB", "AC", "AD"],
     "employment_status": ["CA", "CB", "CC", "CD", "CE", "CF", "CG"],
-    "housing_status": ["BA", "BB", "BC", "BD", "BE"],
+    "housing_status": ["BA", "BB", "BC", "BD", "BE", "missing"],
     "source": ["INTERNET", "TELEAPP"],
     "device_os": ["linux", "macintosh", "other", "windows", "x11"],
 }
+
+
+def _filled(column: str) -> str:
+    gap = "CASE WHEN month = 0 THEN 'missing' ELSE housing_status END"
+    return gap if column == "housing_status" else column
+
+
 ORACLES["one_hot"] = (
     f"WITH {APPS} SELECT application_id, "
     + ", ".join(
-        f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS {c}_{v}"
+        f"CASE WHEN {_filled(c)} = '{v}' THEN 1 ELSE 0 END AS {c}_{v}"
         for c, levels in _LEVELS.items()
         for v in levels
     )
@@ -643,3 +684,28 @@ d AS (SELECT *, CASE WHEN score > 0.7e0 THEN 'block' WHEN score > 0.7e0 * 0.8e0
 SELECT strftime(ts, '%Y-%m-%d') AS day, decision, CASE decision WHEN 'block' THEN CASE WHEN y = 1 THEN 'TP' ELSE 'FP' END
   WHEN 'review' THEN 'RM' ELSE CASE WHEN y = 1 THEN 'FN' ELSE 'TN' END END AS outcome,
   count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM d GROUP BY 1, 2, 3"""
+
+
+# ---- models -----------------------------------------------------------------------------
+
+_SCORED = "application_id, fraud_bool, TRUE AS is_score, TRUE AS auc_reached"
+for _name in (
+    "lr_scores", "tree_scores", "rf_scores", "gbt_scores", "gbt_leaf_scores", "mlp_scores",
+    "undersampled_scores", "stacked_scores",
+):
+    ORACLES[_name] = f"WITH {TEST} SELECT {_SCORED} FROM test"
+ORACLES["iforest_scores"] = f"WITH {TRAIN} SELECT {_SCORED}, TRUE AS spans_range FROM train"
+ORACLES["lr_search"] = "SELECT 10 AS n_tried, TRUE AS in_grid, TRUE AS auc_reached"
+ORACLES["rf_importance"] = "SELECT 20 AS n_listed, TRUE AS is_sorted, 1e0 AS total"
+ORACLES["lr_explanations"] = f"WITH {TEST} SELECT application_id, TRUE AS all_terms, TRUE AS adds_up FROM test"
+ORACLES["tuned_threshold"] = "SELECT TRUE AS is_threshold, TRUE AS is_f1"
+
+ORACLES["report_sections"] = f"""
+WITH {APPS}, t AS (SELECT fraud_bool, count(*) AS n, count(*) * 100e0 / sum(count(*)) OVER () AS pct FROM apps GROUP BY 1),
+m AS (SELECT month, count(*) AS n, CAST(sum(fraud_bool) AS BIGINT) AS pos, sum(fraud_bool) * 1e0 / count(*) AS pos_rate
+  FROM apps WHERE month IS NOT NULL GROUP BY 1)
+SELECT 'target' AS section, CAST(fraud_bool AS VARCHAR) AS key, 'n' AS name, CAST(n AS VARCHAR) AS value FROM t
+UNION ALL SELECT 'target', CAST(fraud_bool AS VARCHAR), 'pct', CAST(pct AS VARCHAR) FROM t
+UNION ALL SELECT 'monthly', CAST(month AS VARCHAR), 'n', CAST(n AS VARCHAR) FROM m
+UNION ALL SELECT 'monthly', CAST(month AS VARCHAR), 'pos', CAST(pos AS VARCHAR) FROM m
+UNION ALL SELECT 'monthly', CAST(month AS VARCHAR), 'pos_rate', CAST(pos_rate AS VARCHAR) FROM m"""

@@ -10,7 +10,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -28,7 +28,7 @@ from rarescan.plans.models import (
     FitContext,
     ModelSpec,
 )
-from rarescan.sources.shared import materialize
+from rarescan.sources.shared import discard, materialize
 from rarescan.sources.store import Store
 
 WEIGHT = "weight"
@@ -155,7 +155,9 @@ def search(
     candidates = spec.candidates(settings.seed) if candidates is None else list(candidates)
     if not candidates:
         return dict(spec.defaults), None, None
+    # written once: each fold reads its rows, not what they came from
     folded = sampling.with_folds(df, roles.key, spec.folds, f"{settings.seed}-cv")
+    folded = materialize(folded, "search", ("fold",))
     scores: list[list[tuple[float, float]]] = [[] for _ in candidates]
     for fold in range(spec.folds):
         inside = folded.where(F.col("fold") != fold)
@@ -177,6 +179,7 @@ def search(
                 slot.append(result)
         train.unpersist()
         valid.unpersist()
+    discard(folded)
     means = [tuple(sum(s) / spec.folds for s in zip(*slot)) for slot in scores]
     best = max(range(len(candidates)), key=lambda i: means[i][0])
     return dict(candidates[best]), means[best][0], means[best][1] - means[best][0]
@@ -205,7 +208,9 @@ def tune_threshold(
     best = curves.best_fbeta(points, beta).first()
     if best is None:
         raise ValueError("the hold-out is empty")
-    return {**best.asDict(), "roc_auc": curves.areas(points).first()["roc_auc"]}
+    area = curves.areas(points).first()["roc_auc"]
+    discard(scored)
+    return {**best.asDict(), "roc_auc": area}
 
 
 def train(
@@ -224,9 +229,12 @@ def train(
     sample = sampling.stratified_subsample(
         df, roles.key, roles.label, spec.search_rows, f"{settings.seed}-search"
     )
+    sample = materialize(sample, "sample")
     params, cv_score, gap = search(
         sample, spec, roles, settings, undersampling_ratio, candidates
     )
+    searched = sample.count() if cv_score is not None else None
+    discard(sample)
     model = fit_pipeline(df, spec, params, roles, settings, undersampling_ratio)
     held = tune_threshold(df, spec, params, roles, settings, undersampling_ratio)
     trained = Trained(
@@ -237,7 +245,7 @@ def train(
         gap,
         held["threshold"],
         held,
-        sample.count() if cv_score is not None else None,
+        searched,
     )
     if store is not None:
         _record(store, trained, run_id, logged_at, undersampling_ratio)
@@ -266,7 +274,10 @@ def _record(store, trained, run_id, logged_at, undersampling_ratio=None, extra=N
 
 
 def _fit_bases(df, bases, roles, settings) -> PipelineModel:
-    """One preprocessing and every base model, fitted on the same rows."""
+    """One preprocessing and every base model, fitted on the same rows.
+
+    The last stages leave each base's probability of class 1 as ``<name>__p``.
+    """
     prep = preprocessor(roles, df.columns).fit(df)
     ready = _prepared(df, prep, roles).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -280,7 +291,10 @@ def _fit_bases(df, bases, roles, settings) -> PipelineModel:
             models = pool.map(fit, list(bases.items()))
     finally:
         ready.unpersist()
-    return PipelineModel([*prep.stages, *models])
+    chosen = [
+        VectorSlicer(inputCol=f"{n}__probability", outputCol=f"{n}__p", indices=[1]) for n in bases
+    ]
+    return PipelineModel([*prep.stages, *models, *chosen])
 
 
 def out_of_fold_scores(
@@ -288,55 +302,24 @@ def out_of_fold_scores(
     bases: Mapping[str, Mapping],
     roles: Roles = BANK_APPLICATIONS,
     settings: Settings = SETTINGS,
-    folds: int = STACK_FOLDS,
+    folds: int | None = None,
 ) -> DataFrame:
     """(key, label, one probability per base), each row scored by models that did
     not see it.  All bases add their column to the same row, so nothing is joined.
+
+    The table is written once by fold; one fold is fitted, and cached, at a time.
     """
+    folds = folds or STACK_FOLDS
     folded = sampling.with_folds(df, roles.key, folds, f"{settings.seed}-stack")
-
-    def score_fold(fold: int) -> DataFrame:
-        fitted = _fit_bases(folded.where(F.col("fold") != fold), bases, roles, settings)
-        return _base_scores(fitted, folded.where(F.col("fold") == fold), bases, roles)
-
-    with ThreadPool(min(PARALLEL_FITS, folds)) as pool:  # folds run side by side
-        parts = pool.map(score_fold, range(folds))
-    return materialize(reduce(DataFrame.unionByName, parts), "out-of-fold")
-
-
-def _base_scores(fitted: PipelineModel, df: DataFrame, bases, roles: Roles) -> DataFrame:
-    out = fitted.transform(df)
-    return out.select(
-        roles.key,
-        roles.label,
-        *[score_column(name, out.columns).alias(f"{name}__p") for name in bases],
-    )
-
-
-@dataclass
-class Stack:
-    """Fitted base models and the logistic regression on their probabilities."""
-
-    bases: PipelineModel
-    names: tuple[str, ...]
-    meta: PipelineModel
-    roles: Roles
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.meta.transform(_base_scores(self.bases, df, self.names, self.roles))
-
-    def save(self, path: str) -> None:
-        self.bases.write().overwrite().save(f"{path}/bases")
-        self.meta.write().overwrite().save(f"{path}/meta")
-
-
-def load_stack(path: str, names: Sequence[str], roles: Roles = BANK_APPLICATIONS) -> Stack:
-    return Stack(
-        PipelineModel.load(f"{path}/bases"),
-        tuple(names),
-        PipelineModel.load(f"{path}/meta"),
-        roles,
-    )
+    written = materialize(folded, "folds", ("fold",))
+    parts = []
+    for fold in range(folds):
+        fitted = _fit_bases(written.where(F.col("fold") != fold), bases, roles, settings)
+        scored = fitted.transform(written.where(F.col("fold") == fold))
+        columns = [roles.key, roles.label, *[f"{n}__p" for n in bases]]
+        parts.append(materialize(scored.select(*columns), "out-of-fold"))
+    discard(written)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _fit_meta(scores: DataFrame, names: Sequence[str], roles: Roles) -> PipelineModel:
@@ -363,20 +346,23 @@ def fit_stack(
     bases: Mapping[str, Mapping],
     roles: Roles = BANK_APPLICATIONS,
     settings: Settings = SETTINGS,
-    folds: int = STACK_FOLDS,
-) -> tuple[Stack, float]:
-    """Stack over base models (name -> parameters) and its out-of-fold ROC-AUC."""
+    folds: int | None = None,
+) -> tuple[PipelineModel, float]:
+    """Stack over base models (name -> parameters) and its out-of-fold ROC-AUC.
+
+    Base models and the logistic regression on their probabilities are one pipeline,
+    saved, loaded and scored like any other model.
+    """
     missing = [n for n in STACK_REQUIRED if n not in bases]
     if missing or len(bases) < 2:
         raise ValueError(f"a stack needs {STACK_REQUIRED} and at least two models")
     scores = out_of_fold_scores(df, bases, roles, settings, folds)
     meta = _fit_meta(scores, list(bases), roles)
     judged = meta.transform(scores)
-    judged = judged.select(
-        roles.label, score_column(STACKING, judged.columns).alias("score")
-    )
-    stack = Stack(_fit_bases(df, bases, roles, settings), tuple(bases), meta, roles)
-    return stack, exact_auc(judged, roles.label)
+    judged = judged.select(roles.label, score_column(STACKING, judged.columns).alias("score"))
+    auc = exact_auc(judged, roles.label)
+    fitted = _fit_bases(df, bases, roles, settings)
+    return PipelineModel([*fitted.stages, *meta.stages]), auc
 
 
 def train_stack(
@@ -386,11 +372,11 @@ def train_stack(
     store: Store | None = None,
     roles: Roles = BANK_APPLICATIONS,
     settings: Settings = SETTINGS,
-    folds: int = STACK_FOLDS,
+    folds: int | None = None,
     logged_at: str | None = None,
-) -> tuple[Stack, dict]:
+) -> Trained:
     """Fit, tune on a hold-out, save and log the stack."""
-    stack, oof_auc = fit_stack(df, bases, roles, settings, folds)
+    model, oof_auc = fit_stack(df, bases, roles, settings, folds)
     spec = ModelSpec(name=STACKING, build=None, search=None)
     held = tune_threshold(
         df,
@@ -400,20 +386,8 @@ def train_stack(
         settings,
         fit=lambda rows: fit_stack(rows, bases, roles, settings, folds)[0],
     )
+    params = {"bases": {n: dict(p) for n, p in bases.items()}, "folds": folds or STACK_FOLDS, "C": STACK_C}
+    trained = Trained(STACKING, model, params, oof_auc, None, held["threshold"], held)
     if store is not None:
-        path = store.path("models", f"{STACKING}_{run_id}")
-        stack.save(path)
-        stack.save(store.path("models", f"{STACKING}_latest"))
-        store.save_threshold(STACKING, run_id, held["threshold"], "holdout")
-        store.log_experiment(
-            run_id=run_id,
-            logged_at=logged_at or run_id,
-            model=STACKING,
-            best_params={"bases": list(bases), "folds": folds, "C": STACK_C},
-            best_cv_score=oof_auc,
-            train_cv_gap=None,
-            best_threshold=held["threshold"],
-            model_path=path,
-            extra={"n_base_learners": len(bases)},
-        )
-    return stack, held
+        _record(store, trained, run_id, logged_at, extra={"n_base_learners": len(bases)})
+    return trained

@@ -81,8 +81,10 @@ def test_mann_whitney(table, frame, rows_per_bucket):
         assert got[c]["u_stat"] + other[c]["u_stat"] == got[c]["n1"] * got[c]["n2"]
 
 
-def test_sample_for_the_test_only_on_large_tables(table):
+def test_sample_for_the_test_only_where_asked(table):
     assert association.mann_whitney_sample(table, "k", "y", "s") is table
+    few = association.mann_whitney_sample(table, "k", "y", "s", per_class=7)
+    assert {r["y"]: r["count"] for r in few.groupBy("y").count().collect()} == {0: 7, 1: 7}
 
 
 def test_mi_binned(table, frame):
@@ -98,38 +100,56 @@ def test_mi_binned(table, frame):
 
 
 def brute_neighbor_mi(x, y, k=3):
-    """Straight from the definition, all distances at once."""
+    """Straight from the definition, all distances at once; x are whole numbers."""
 
     def digamma(n):
         return sum(1.0 / i for i in range(1, int(n))) - np.euler_gamma
 
     distance = np.abs(x[:, None] - x[None, :])
+    used = np.array([np.sum(y == c) > 1 for c in y])
     total = []
-    for i in range(len(x)):
+    for i in np.flatnonzero(used):
         own = np.flatnonzero(y == y[i])
-        if len(own) < 2:
-            continue
         near = min(k, len(own) - 1)
-        radius = np.nextafter(np.sort(distance[i, own])[near], 0)
-        used = np.array([np.sum(y == c) > 1 for c in y])
-        m = (distance[i] <= radius)[used].sum()
-        total.append((digamma(near), digamma(len(own)), digamma(max(m, 1)), used.sum()))
+        reach = max(1, np.sort(distance[i, own])[near]) - 1
+        m = (distance[i] <= reach)[used].sum()
+        total.append((digamma(near), digamma(len(own)), digamma(m)))
     a = np.array(total)
-    return max(0.0, digamma(a[0, 3]) + a[:, 0].mean() - a[:, 1].mean() - a[:, 2].mean())
+    return max(0.0, digamma(used.sum()) + a[:, 0].mean() - a[:, 1].mean() - a[:, 2].mean())
 
 
-def test_neighbor_mi_against_brute_force(frame):
-    for c in ("signal", "noise"):
-        x, y = frame[c].to_numpy(), frame["y"].to_numpy()
-        assert association.neighbor_mi(x, y) == pytest.approx(brute_neighbor_mi(x, y), abs=1e-9)
-    x, y = np.array([0.0, 1.0, 2.5, 9.0]), np.array([0, 0, 0, 1])
-    assert association.neighbor_mi(x, y) == pytest.approx(brute_neighbor_mi(x, y))
-
-
-def test_mi_knn_over_spark(table):
+def test_mi_knn_against_brute_force(spark, table):
     got = {r["feature"]: r["mi"] for r in association.mi_knn(table, "k", FEATURES, "y", "s").collect()}
     assert set(got) == set(FEATURES)
+    cells = association._grid(table, "k", FEATURES, "y", "s").toPandas()
+    for c, rows in cells.groupby("feature"):
+        expected = brute_neighbor_mi(rows["v"].to_numpy(), rows["y"].to_numpy())
+        assert got[c] == pytest.approx(expected, abs=1e-9), c
     assert got["signal"] > got["noise"] and got["tied"] > 0.01 and got["same"] < 0.01
+    few = spark.createDataFrame(
+        [(1, 0.0, 0), (2, 1.0, 0), (3, 2.5, 0), (4, 9.0, 1), (5, None, 2), (6, 0.5, 2)], "k int, x double, y int"
+    )
+    used = few.where("y <> 1")  # a class of one row has no neighbours
+    cells = association._grid(used, "k", ["x"], "y", "s").toPandas()
+    got = association.mi_knn(few, "k", ["x"], "y", "s").first()["mi"]
+    assert got == pytest.approx(brute_neighbor_mi(cells["v"].to_numpy(), cells["y"].to_numpy()), abs=1e-9)
+
+
+def test_spearman_leaves_nulls_out_pair_by_pair(spark):
+    rng = np.random.default_rng(8)
+    frame = pd.DataFrame({c: np.round(rng.normal(size=300), 1) for c in "abcd"})
+    frame.loc[::7, "b"] = None
+    frame.loc[::5, "c"] = None
+    frame["k"] = range(300)
+    frame["e"] = 1.0
+    rows = [tuple(None if pd.isna(v) else v for v in r) for r in frame.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, k int, e double")
+    matrix = association.spearman(df, "k", list("abcde")).collect()
+    expected = frame[list("abcde")].corr(method="spearman")
+    assert len(matrix) == 25
+    for r in matrix:
+        rho = expected.loc[r["col1"], r["col2"]]
+        assert r["rho"] is None if np.isnan(rho) else r["rho"] == pytest.approx(rho, abs=1e-12)
 
 
 def test_screening(spark):

@@ -128,13 +128,14 @@ def test_metrics_and_zero_guards(spark):
 
 
 def test_tiers_are_strict(spark):
-    df = spark.createDataFrame([(0.6, 1), (0.61, 1), (0.48, 0), (0.49, 0)], "s double, y int")
+    rows = [(0.6, 1), (0.61, 1), (0.48, 0), (0.49, 0), (None, 1)]
+    df = spark.createDataFrame(rows, "s double, y int")
     t = 0.6
     got = df.select(
         decisions.three_tier("s", t).alias("d"), decisions.agreement("s", t, "y").alias("a")
     ).collect()
-    assert [r["d"] for r in got] == ["review", "block", "approve", "review"]
-    assert [r["a"] for r in got] == [0, 1, 1, 1]
+    assert [r["d"] for r in got] == ["review", "block", "approve", "review", "error"]
+    assert [r["a"] for r in got] == [0, 1, 1, 1, None]
     assert decisions.REVIEW_SHARE * t == 0.48
 
 

@@ -3,11 +3,12 @@ import pytest
 from rarescan.config import BANK_APPLICATIONS as ROLES
 from rarescan.operators import sampling
 from rarescan.plans import jobs, training
-from rarescan.plans.queries import QUICK
 from rarescan.sources.applications import applications
 from rarescan.sources.store import Store
 from rarescan.sources.tables import RAW_COLUMNS, raw_schema
 
+from quick import QUICK
+
 
 @pytest.fixture(scope="module")
 def store(spark, sf_dir, tmp_path_factory):
@@ -66,6 +67,21 @@ def test_train_evaluate_decide(spark, store):
     assert store.load_threshold("xgb") == threshold
 
 
+def test_stack_of_models_trained_before(spark, store, monkeypatch):
+    """Bases from one run, the stack from a later one: trained, saved, loaded, evaluated, logged."""
+    monkeypatch.setattr(training, "STACK_FOLDS", 2)
+    quick = {"rf": [{**QUICK["rf"], "n_estimators": 4}], "xgb": [{**QUICK["xgb"], "n_estimators": 3}]}
+    jobs.train_models(store, ["xgb", "rf"], "20260201", candidates=quick)
+    assert store.best_params("rf") == quick["rf"][0] and store.best_params("nobody") is None
+    assert jobs.train_models(store, ["stacking"], "20260202") == ["stacking"]
+    run = store.experiments().where("model = 'stacking'").first()
+    assert run["best_cv_score"] > 0.5 and "rf" in run["best_params"]["bases"]
+    tables = jobs.evaluate_model(store, "stacking", "20260202", "t2")
+    assert {r["feature"] for r in tables["importances"].collect()} == {"xgb", "rf"}
+    logged = store.evaluations().where("model = 'stacking'").first()
+    assert sum(logged["confusion"].values()) == store.read_split("test").count()
+
+
 def test_no_committee(spark, tmp_path, store):
     with pytest.raises(ValueError, match="no committee model"):
         jobs.decide(Store(spark, str(tmp_path)), store.read_split("test"))

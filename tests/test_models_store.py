@@ -1,17 +1,19 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from rarescan.config import BANK_APPLICATIONS as ROLES
 from rarescan.operators import explain, isolation, preprocess
 from rarescan.plans import models, training
-from rarescan.plans.queries import QUICK
 from rarescan.sources import store as stores
 from rarescan.sources import tables
 from rarescan.sources.applications import applications, applications_view
 
+from quick import QUICK
+
 
 @pytest.fixture(scope="module")
 def train_rows(spark, sf_dir):
@@ -170,8 +172,8 @@ def test_stack_round_trip(spark, sf_dir, train_rows, tmp_path):
     bases = {"xgb": {**QUICK["xgb"], "n_estimators": 2}, "rf": {**QUICK["rf"], "n_estimators": 3}}
     stack, auc = training.fit_stack(train_rows, bases, folds=2)
     assert 0.4 < auc <= 1
-    stack.save(str(tmp_path / "stack"))
-    again = training.load_stack(str(tmp_path / "stack"), list(bases))
+    stack.write().save(str(tmp_path / "stack"))
+    again = PipelineModel.load(str(tmp_path / "stack"))
     test = applications(spark, sf_dir, "test")
     p = "stacking__probability"
     one = {r[0]: r[1] for r in stack.transform(test).select(ROLES.key, p).collect()}

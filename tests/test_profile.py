@@ -95,13 +95,33 @@ def test_box_stats(spark):
 def test_domain_lists_or_ranks(spark):
     many = [(f"v{i:02d}",) for i in range(31)] + [("v07",)] * 3 + [("v20",)] * 3
     got = profile.category_domain(spark.createDataFrame(many, "w string"), ["w"]).first()
-    assert got["n_values"] == 31 and got["domain"] == "v07,v20,v00,v01,v02"
+    assert got["n_values"] == 31 and got["domain"] == ["v07", "v20", "v00", "v01", "v02"]
     few = spark.createDataFrame([("b",), ("a",), (None,)], "w string")
     got = profile.category_domain(few, ["w"]).first()
-    assert got["n_values"] == 3 and got["domain"] == ",a,b"
+    assert got["n_values"] == 3 and got["domain"] == [None, "a", "b"]
 
 
-def test_risk_leaves_out_nulls_and_wide_columns(table):
+def test_domain_keeps_odd_values_apart(spark):
+    rows = [("a,b",), ("a",), ("b",), ("",), (None,)]
+    got = profile.category_domain(spark.createDataFrame(rows, "w string"), ["w"]).first()
+    assert got["domain"] == [None, "", "a", "a,b", "b"]
+
+
+def test_all_columns_have_boxes(spark):
+    wide = spark.range(20).select(*[(F.col("id") * i).alias(f"c{i}") for i in range(30)], F.lit(1).alias("y"))
+    got = profile.box_stats(wide, [f"c{i}" for i in range(30)], "y").collect()
+    assert len(got) == 30
+
+
+def test_duplicates_by_hash_and_row(spark):
+    rows = [(None, 5), (5, None), (5, None), (1, 1), (1, 1), (1, 1)]
+    got = profile.duplicate_rows(spark.createDataFrame(rows, "a int, b int")).first()
+    assert (got["n_rows"], got["n_duplicates"]) == (6, 3)
+    none = spark.createDataFrame([], "a int, b int")
+    assert profile.duplicate_rows(none).first()["n_duplicates"] == 0
+
+
+def test_risk_leaves_out_nulls(table):
     got = profile.categorical_risk(table, ["word"], "y").collect()
     assert [(r["value"], r["n"], r["pos_rate"]) for r in got] == [("b", 1, 1), ("a", 2, 0), ("c", 2, 0)]
     assert profile.categorical_risk(table, ["word"], "y", max_values=2).count() == 0

@@ -73,6 +73,8 @@ def test_undersample(rows):
     assert got[1] == 500 and 850 < got[0] < 1150
     with pytest.raises(ValueError, match="more negatives"):
         sampling.undersample(rows, "k", "y", 0.05, "u")
+    with pytest.raises(ValueError, match="more negatives"):
+        sampling.undersample(rows.where("y = 1"), "k", "y", 0.5, "u")
 
 
 def test_replicate_minority_keeps_every_row(rows):
