@@ -10,7 +10,8 @@ a few, then those of many, each by hash.
 - Contraction: on the first places of the prefixes, each list's members are compared
   with one leader only.  Groups of near copies become one component in this step, whatever their size.
 - The rest: lists that still touch several components give the pairs between
-  different components, filtered by size and place.
+  different components. Sizes, places and parity bits (one flip per n-gram, so two sets
+  differ in at least as many n-grams as bits) rule most others out inside the join.
 - Pairs are verified fragment by fragment: the other fragments (ranges of the
   hash order) are joined on (node, fragment), overlaps are counted apart, and summed
   per pair.
@@ -46,6 +47,7 @@ PERCENT = 85
 FREQUENT = 30  # texts from which on an n-gram goes to the end of the order
 LEADERS = 4  # n-grams of a prefix whose lists are compared with a leader
 FRAGMENTS = 8
+SIGNATURE = 16  # longs of parity bits per set
 BYTES_PER_SHARED = 48  # of text, for the size of the bitmaps
 CHUNK = 1 << 22
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -138,6 +140,12 @@ def shared_prefix(grams: np.ndarray, levels: list[Bitmap], percent: int):
     return found, np.arange(alone, alone + len(found), dtype=np.int32)
 
 
+def parity(grams: np.ndarray) -> np.ndarray:
+    """Bits that each n-gram flips: two sets differ in at least as many n-grams as bits."""
+    bits = np.bincount((grams & np.uint64(64 * SIGNATURE - 1)).astype(np.int64), minlength=64 * SIGNATURE)
+    return np.packbits((bits & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _lists(rows: list[np.ndarray], kind) -> pa.ListArray:
     ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
     flat = np.concatenate(rows) if rows else np.zeros(0)
@@ -145,8 +153,8 @@ def _lists(rows: list[np.ndarray], kind) -> pa.ListArray:
 
 
 def _prefixes(texts: DataFrame, first, levels, words: int, percent: int) -> DataFrame:
-    """(class, node, size, grams, places) of the first row of every class."""
-    names = ["class", "node", "size", "grams", "places"]
+    """(class, node, size, grams, places, bits) of the first row of every class."""
+    names = ["class", "node", "size", "grams", "places", "bits"]
 
     def run(batches):
         known, bits = first.value, levels.value
@@ -162,24 +170,37 @@ def _prefixes(texts: DataFrame, first, levels, words: int, percent: int) -> Data
                     pa.array([len(s) for s in sets], pa.int64()),
                     _lists([f[0].view(np.int64) for f in found], np.int64),
                     _lists([f[1] for f in found], np.int32),
+                    _lists([parity(s) for s in sets], np.int64),
                 ],
                 names,
             )
 
-    schema = "class binary, node binary, size bigint, grams array<bigint>, places array<int>"
+    schema = (
+        "class binary, node binary, size bigint, grams array<bigint>, places array<int>, bits array<bigint>"
+    )
     return bounded_batches(texts.select("key", "class", "text")).mapInArrow(run, schema)
 
 
 def _postings(prefixes: DataFrame) -> DataFrame:
-    """(gram, place, rank, node, size): one row per node and n-gram."""
+    """(gram, place, rank, node, size, bits...): one row per node and n-gram."""
     both = F.arrays_zip("grams", "places")
-    rows = prefixes.select("node", "size", F.posexplode(both).alias("rank", "both"))
+    bits = [F.col("bits")[i].alias(f"bits{i}") for i in range(SIGNATURE)]
+    rows = prefixes.select("node", "size", *bits, F.posexplode(both).alias("rank", "both"))
     rows = rows.select(
-        F.col("both.grams").alias("gram"), F.col("both.places").alias("place"), "rank", "node", "size"
-    )
+        F.col("both.grams").alias("gram"), F.col("both.places").alias("place"), "rank", "node", "size",
+        *(f"bits{i}" for i in range(SIGNATURE)),
+    )
     return rows.dropDuplicates(["gram", "node"])
 
 
+def _near_enough(percent: int) -> Column:
+    """The parity bits do not rule the pair out: it differs in few enough n-grams."""
+    flipped = F.lit(0)
+    for i in range(SIGNATURE):
+        flipped = flipped + F.bit_count(F.col(f"bits{i}_a").bitwiseXOR(F.col(f"bits{i}_b")))
+    return (100 + percent) * flipped <= (100 - percent) * (F.col("size_a") + F.col("size_b"))
+
+
 def _fragments(texts: DataFrame, first, wanted, words: int) -> DataFrame:
     """(node, fragment, part): the cut sets of the wanted nodes."""
     shift = np.uint64(64 - (FRAGMENTS.bit_length() - 1))
@@ -248,26 +269,41 @@ def _long_enough(percent: int) -> Column:
     return 100 * small >= percent * large
 
 
+COLUMNS = ("node", "size", "place", "rank", *(f"bits{i}" for i in range(SIGNATURE)))
+
+
 def _leader_pairs(postings: DataFrame, percent: int) -> DataFrame:
     """Each list of the prefixes' first shared n-grams: its members with one of them."""
-    few = postings.where(F.col("rank") < LEADERS).select("gram", "node", "size")
+    few = postings.where(F.col("rank") < LEADERS).select("gram", *COLUMNS)
     leaders = few.groupBy("gram").agg(
-        F.min(F.struct("node", "size")).alias("leader"), F.count(F.lit(1)).alias("n")
-    )
-    leaders = leaders.where("n > 1").select(
-        "gram", F.col("leader.node").alias("a"), F.col("leader.size").alias("size_a")
+        F.min(F.struct(*COLUMNS)).alias("leader"), F.count(F.lit(1)).alias("n")
     )
-    met = few.join(leaders, "gram").withColumnsRenamed({"node": "b", "size": "size_b"})
-    return met.where((F.col("a") != F.col("b")) & _long_enough(percent)).select(
-        "a", "b", "size_a", "size_b"
+    leaders = leaders.where("n > 1").select("gram", *(F.col(f"leader.{c}").alias(f"{c}_a") for c in COLUMNS))
+    met = few.select("gram", *(F.col(c).alias(f"{c}_b") for c in COLUMNS)).join(leaders, "gram")
+    return _possible(met.where("node_a != node_b"), percent)
+
+
+def _possible(met: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs that sizes, places and parity bits allow.
+
+    What lies before the first shared n-gram of a set is in no other set, so the
+    pair can share what it shares before this n-gram and what is left from it on.
+    """
+    ahead = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    most = F.least("rank_a", "rank_b") + ahead
+    enough = (100 + percent) * most >= percent * (F.col("size_a") + F.col("size_b"))
+    kept = met.where(_long_enough(percent) & enough & _near_enough(percent))
+    return kept.select(
+        F.least("node_a", "node_b").alias("a"),
+        F.greatest("node_a", "node_b").alias("b"),
+        F.when(F.col("node_a") < F.col("node_b"), F.col("size_a")).otherwise(F.col("size_b")).alias("size_a"),
+        F.when(F.col("node_a") < F.col("node_b"), F.col("size_b")).otherwise(F.col("size_a")).alias("size_b"),
     ).distinct()
 
 
 def _other_pairs(postings: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of a list that lie in different components so far."""
-    named = postings.join(groups, "node", "left").withColumn(
-        "group", F.coalesce("group", "node")
-    )
+    named = postings.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
     several = (
         named.groupBy("gram")
         .agg(F.min("group").alias("low"), F.max("group").alias("high"))
@@ -276,20 +312,10 @@ def _other_pairs(postings: DataFrame, groups: DataFrame, percent: int) -> DataFr
     )
     rows = named.join(several, "gram", "left_semi")
     one, two = (
-        rows.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "size", "place", "group")))
-        for s in "ab"
-    )
-    # what both sets can share before and from this n-gram on, against what they must
-    ahead = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
-    most = F.least("place_a", "place_b") + ahead
-    enough = (100 + percent) * most >= percent * (F.col("size_a") + F.col("size_b"))
-    return (
-        one.join(two, "gram")
-        .where("node_a < node_b and group_a != group_b")
-        .where(_long_enough(percent) & enough)
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "size_a", "size_b")
-        .distinct()
+        rows.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in (*COLUMNS, "group"))) for s in "ab"
     )
+    met = one.join(two, "gram").where("node_a < node_b and group_a != group_b")
+    return _possible(met, percent)
 
 
 # ---- components -----------------------------------------------------------------
