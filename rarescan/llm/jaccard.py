@@ -47,7 +47,8 @@ PERCENT = 85
 FREQUENT = 30  # texts from which on an n-gram goes to the end of the order
 LEADERS = 4  # n-grams of a prefix whose lists are compared with a leader
 FRAGMENTS = 8
-SIGNATURE = 16  # longs of parity bits per set
+LARGE_SET = 1 << 16  # n-grams above which a set's fragments are rows of their own
+SIGNATURE = 8  # longs of parity bits per set
 BYTES_PER_SHARED = 48  # of text, for the size of the bitmaps
 CHUNK = 1 << 22
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -181,16 +182,15 @@ def _prefixes(texts: DataFrame, first, levels, words: int, percent: int) -> Data
     return bounded_batches(texts.select("key", "class", "text")).mapInArrow(run, schema)
 
 
-def _postings(prefixes: DataFrame) -> DataFrame:
-    """(gram, place, rank, node, size, bits...): one row per node and n-gram."""
+def _postings(nodes: DataFrame, *more: str) -> DataFrame:
+    """(gram, place, rank, node, size, bits..., more...): one row per node and n-gram."""
     both = F.arrays_zip("grams", "places")
     bits = [F.col("bits")[i].alias(f"bits{i}") for i in range(SIGNATURE)]
-    rows = prefixes.select("node", "size", *bits, F.posexplode(both).alias("rank", "both"))
-    rows = rows.select(
+    rows = nodes.select("node", "size", *more, *bits, F.posexplode(both).alias("rank", "both"))
+    return rows.select(
         F.col("both.grams").alias("gram"), F.col("both.places").alias("place"), "rank", "node", "size",
-        *(f"bits{i}" for i in range(SIGNATURE)),
+        *(f"bits{i}" for i in range(SIGNATURE)), *more,
     )
-    return rows.dropDuplicates(["gram", "node"])
 
 
 def _near_enough(percent: int) -> Column:
@@ -202,33 +202,43 @@ def _near_enough(percent: int) -> Column:
 
 
 def _fragments(texts: DataFrame, first, wanted, words: int) -> DataFrame:
-    """(node, fragment, part): the cut sets of the wanted nodes."""
+    """(node, cut, block, parts): the wanted sets, cut into FRAGMENTS ranges of the hash order.
+
+    A set's fragments are one row (cut 1), those of a very large one a row each (cut
+    FRAGMENTS); sets of about LARGE_SET have both, so that any two of a pair have one in common.
+    """
     shift = np.uint64(64 - (FRAGMENTS.bit_length() - 1))
 
     def run(batches):
         known, keep = first.value, wanted.value
         for batch in batches:
             at = np.flatnonzero(known.has(mixed(batch.column(0).to_numpy(zero_copy_only=False))))
-            nodes, numbers, parts = [], [], []
+            nodes, cuts, blocks, rows = [], [], [], []
             for text in batch.column(1).take(pa.array(at)).to_pylist():
                 grams = ngrams(text, words)
                 node = node_of(grams)
                 if not keep.has(mixed(np.array([int.from_bytes(node[:7], "big")])))[0]:
                     continue
-                cuts = np.searchsorted(grams >> shift, np.arange(FRAGMENTS + 1, dtype=np.uint64))
-                for n, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                    if hi > lo:
-                        nodes.append(node)
-                        numbers.append(n)
-                        parts.append(grams[lo:hi].view(np.int64))
+                edges = np.searchsorted(grams >> shift, np.arange(FRAGMENTS + 1, dtype=np.uint64))
+                parts = np.split(grams.view(np.int64), edges[1:-1])
+                if len(grams) <= LARGE_SET:
+                    nodes, cuts, blocks = [*nodes, node], [*cuts, 1], [*blocks, 0]
+                    rows.append(parts)
+                if 2 * len(grams) > LARGE_SET:
+                    for n, part in enumerate(parts):
+                        nodes, cuts, blocks = [*nodes, node], [*cuts, FRAGMENTS], [*blocks, n]
+                        rows.append([part])
+            inner = _lists([part for row in rows for part in row], np.int64)
+            ends = np.concatenate([[0], np.cumsum([len(row) for row in rows])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.binary()), pa.array(numbers, pa.int32()), _lists(parts, np.int64)],
-                ["node", "fragment", "part"],
-            )
+                [pa.array(nodes, pa.binary()), pa.array(cuts, pa.int32()), pa.array(blocks, pa.int32()),
+                 pa.ListArray.from_arrays(pa.array(ends), inner)],
+                ["node", "cut", "block", "parts"],
+            )
 
-    schema = "node binary, fragment int, part array<bigint>"
+    schema = "node binary, cut int, block int, parts array<array<bigint>>"
     rows = bounded_batches(texts.select("key", "text")).mapInArrow(run, schema)
-    return rows.dropDuplicates(["node", "fragment"])
+    return rows.dropDuplicates(["node", "cut", "block"])
 
 
 # ---- pairs --------------------------------------------------------------------
@@ -246,18 +256,18 @@ def verified(texts: DataFrame, first, pairs: DataFrame, words: int, percent: int
     if pairs.isEmpty():
         return pairs.select("a", "b")
     parts = materialize(_fragments(texts, first, _wanted(pairs), words), "fragments")
-    left = parts.select(F.col("node").alias("a"), "fragment", F.col("part").alias("part_a"))
-    right = parts.select(F.col("node").alias("b"), "fragment", F.col("part").alias("part_b"))
+    left = parts.select(F.col("node").alias("a"), "cut", "block", F.col("parts").alias("parts_a"))
+    right = parts.select(F.col("node").alias("b"), "cut", "block", F.col("parts").alias("parts_b"))
+    cut = F.when(F.greatest("size_a", "size_b") <= LARGE_SET, 1).otherwise(FRAGMENTS)
+    overlaps = F.zip_with("parts_a", "parts_b", lambda x, y: F.size(F.array_intersect(x, y)))
     counted = (
-        pairs.join(left, "a")
-        .join(right, ["b", "fragment"])
-        .select(
-            "a", "b", "size_a", "size_b",
-            F.size(F.array_intersect("part_a", "part_b")).alias("common"),
-        )
+        pairs.withColumn("cut", cut)
+        .join(left, ["a", "cut"])
+        .join(right, ["b", "cut", "block"])
+        .select("a", "b", "size_a", "size_b", F.aggregate(overlaps, F.lit(0), lambda t, n: t + n).alias("common"))
         .groupBy("a", "b", "size_a", "size_b")
         .agg(F.sum("common").alias("common"))
-    )
+    )
     union = F.col("size_a") + F.col("size_b") - F.col("common")
     links = materialize(counted.where(100 * F.col("common") >= percent * union).select("a", "b"), "links")
     discard(parts)
@@ -272,15 +282,21 @@ def _long_enough(percent: int) -> Column:
 COLUMNS = ("node", "size", "place", "rank", *(f"bits{i}" for i in range(SIGNATURE)))
 
 
-def _leader_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Each list of the prefixes' first shared n-grams: its members with one of them."""
-    few = postings.where(F.col("rank") < LEADERS).select("gram", *COLUMNS)
+def _leader_pairs(nodes: DataFrame, percent: int) -> DataFrame:
+    """Each list of the prefixes' first shared n-grams: its members with one of them.
+
+    A node keeps one leader: more would only verify again what one already links.
+    """
+    few = nodes.withColumns({c: F.slice(c, 1, LEADERS) for c in ("grams", "places")})
+    few = _postings(few).select("gram", *COLUMNS)
     leaders = few.groupBy("gram").agg(
         F.min(F.struct(*COLUMNS)).alias("leader"), F.count(F.lit(1)).alias("n")
     )
     leaders = leaders.where("n > 1").select("gram", *(F.col(f"leader.{c}").alias(f"{c}_a") for c in COLUMNS))
     met = few.select("gram", *(F.col(c).alias(f"{c}_b") for c in COLUMNS)).join(leaders, "gram")
-    return _possible(met.where("node_a != node_b"), percent)
+    found = _possible(met.where("node_a != node_b"), percent)
+    one = found.groupBy(F.col("b").alias("member")).agg(F.min(F.struct(*found.columns)).alias("pair"))
+    return one.select("pair.*")
 
 
 def _possible(met: DataFrame, percent: int) -> DataFrame:
@@ -301,21 +317,25 @@ def _possible(met: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
-def _other_pairs(postings: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+def _other_pairs(nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of a list that lie in different components so far."""
-    named = postings.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    grouped = nodes.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    grouped = materialize(grouped, "grouped")
     several = (
-        named.groupBy("gram")
+        grouped.select(F.explode("grams").alias("gram"), "group")
+        .groupBy("gram")
         .agg(F.min("group").alias("low"), F.max("group").alias("high"))
         .where("low < high")
         .select("gram")
     )
-    rows = named.join(several, "gram", "left_semi")
+    rows = materialize(_postings(grouped, "group").join(several, "gram", "left_semi"), "postings")
     one, two = (
         rows.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in (*COLUMNS, "group"))) for s in "ab"
     )
     met = one.join(two, "gram").where("node_a < node_b and group_a != group_b")
-    return _possible(met, percent)
+    pairs = materialize(_possible(met, percent), "pairs")
+    discard(grouped, rows)
+    return pairs
 
 
 # ---- components -----------------------------------------------------------------
@@ -366,16 +386,15 @@ def join(
     )
     prefixes = materialize(_prefixes(source, first, levels, words, percent), "prefixes")
     levels.destroy()
-    postings = materialize(_postings(prefixes), "postings")
+    nodes = materialize(prefixes.drop("class").dropDuplicates(["node"]), "nodes")
 
-    pairs = materialize(_leader_pairs(postings, percent), "pairs")
+    pairs = materialize(_leader_pairs(nodes, percent), "pairs")
     links = verified(source, first, pairs, words, percent)
     groups = components(links)
-    pairs = materialize(_other_pairs(postings, groups, percent), "pairs")
-    more = verified(source, first, pairs, words, percent)
+    more = verified(source, first, _other_pairs(nodes, groups, percent), words, percent)
     if not more.isEmpty():
         groups = components(links.unionByName(more))
-    discard(postings)
+    discard(nodes)
 
     of_class = prefixes.select("class", "node", "size").dropDuplicates(["class"])
     nodes = facts.join(of_class, "class").select("doc_id", "node", "size")
