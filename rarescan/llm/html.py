@@ -189,6 +189,9 @@ def content(lines: list[Line]) -> list[str]:
     whole = {x.container for x, c in zip(lines, chosen, strict=True) if c and x.container}
     if whole:  # a region in an article stands for it, and what lies outside is not the article
         return [x.text for x in lines if x.container in whole]
+    inside = [False, *chosen, False]
+    for i, ratio in enumerate(ratios):  # links alone count between text, not at a region's end
+        chosen[i] = chosen[i] and (ratio > 0 or (inside[i] and inside[i + 2]))
     for i in range(len(lines) - 1, 0, -1):
         if chosen[i] and lines[i - 1].heading:
             chosen[i - 1] = True

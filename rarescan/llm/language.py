@@ -68,7 +68,7 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         keep[1:] = ~(blank[1:] & blank[:-1])
         x = x[keep]
         keys = _chunk_keys(x, len(before))
-        if len(lowered) < BUCKETS // 4:
+        if len(lowered) < min(CHUNK, BUCKETS // 4):
             found, counts = np.unique(keys, return_counts=True)
         else:
             here = np.bincount(keys, minlength=BUCKETS)
