@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import materialize
+from ..sources.shared import discard, materialize
 from .common import let, narrow, words_of
 
 RISK = 0.02  # share of the good documents that a stratum may lose
@@ -114,9 +114,9 @@ def _count_of(text: Column, characters: str) -> Column:
     return (F.char_length(text) - F.char_length(rest)).cast("long")
 
 
-def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The input with a struct column ``facts`` of base counts and shares."""
-    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+def facts_of(text: Column) -> Column:
+    """A struct of base counts and shares of a whole text."""
+    whole = F.coalesce(text.cast("string"), F.lit(""))
     facts = F.struct(
         _word_facts(words_of(whole)).alias("w"),
         _count_of(whole, SYMBOLS).alias("n_symbols"),
@@ -140,7 +140,12 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
             (f["stress"] / words).alias("stress_per_word"),
         )
 
-    return docs.withColumn("facts", let(facts, shares))
+    return let(facts, shares)
+
+
+def measures(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The input with a struct column ``facts`` of base counts and shares."""
+    return docs.withColumn("facts", facts_of(F.col(f"`{text}`")))
 
 
 def base_failed(facts: Column) -> Column:
@@ -227,8 +232,8 @@ def thresholds(
     return counts.withColumn("strata", strata).withColumn("passed", passed).drop("strata")
 
 
-def verdicts(facts: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
-    """``facts`` with base_failed and kept.
+def _with_levels(rows: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
+    """The rows with the number of proven levels of their stratum as ``_passed``.
 
     ``cutoffs`` has a row per stratum; it is counted, and sent to all tasks
     while it is small, since a stratum may hold most of the rows.
@@ -236,14 +241,25 @@ def verdicts(facts: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
     limits = cutoffs.select(F.col("stratum").alias("_stratum"), F.col("passed").alias("_passed"))
     if limits.count() <= BROADCAST_STRATA:
         limits = F.broadcast(limits)
+    joined = rows.join(limits, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    return joined.drop("_stratum")
+
+
+def is_kept(facts: Column, passed: Column) -> Column:
+    """Neither the base rule nor the strictest proven level rejects the text."""
     above = F.lit(False)
     for i in range(LEVELS):
-        above = above | ((F.col("_passed") == i + 1) & _rejected(F.col("facts"), i))
-    joined = facts.join(limits, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+        above = above | ((passed == i + 1) & _rejected(facts, i))
+    return ~base_failed(facts) & ~F.coalesce(above, F.lit(False))
+
+
+def verdicts(facts: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
+    """``facts`` with base_failed and kept."""
+    joined = _with_levels(facts, cutoffs, stratum)
     return (
         joined.withColumn("base_failed", base_failed(F.col("facts")))
-        .withColumn("kept", ~F.col("base_failed") & ~F.coalesce(above, F.lit(False)))
-        .drop("_stratum", "_passed")
+        .withColumn("kept", is_kept(F.col("facts"), F.col("_passed")))
+        .drop("_passed")
     )
 
 
@@ -262,11 +278,15 @@ def filter_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang")
     takes the measures of each row again and filters it, so no text is shuffled.
     """
     facts = measures(narrow(docs, doc_id="bigint", text="string", **{stratum: "string"}))
-    cutoffs = materialize(thresholds(facts.drop("text"), labels, stratum), "cutoffs")
+    facts = materialize(facts.drop("text"), "quality")
+    cutoffs = materialize(thresholds(facts, labels, stratum), "cutoffs")
+    discard(facts)
     rows = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
         F.col("text").cast("string").alias("text"),
         F.col(f"`{stratum}`").cast("string").alias("group"),
     )
-    kept = verdicts(measures(rows), cutoffs, "group").where("kept")
+    # one expression: the measures of a row are taken once, wherever the filter goes
+    keep = let(facts_of(F.col("text")), lambda f: is_kept(f, F.col("_passed")))
+    kept = _with_levels(rows, cutoffs, "group").where(keep)
     return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
