@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rarescan.llm import decontaminate, jaccard, quality, queries, suffix
+from rarescan.llm import bitmaps, decontaminate, jaccard, quality, queries, suffix
 
 DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 CLASHES = ("node", "size", "prefix", "class", "ord", "kept", "spans", "group", "key", "item_id")
@@ -243,6 +243,16 @@ def test_repeats_odd_rows(spark, monkeypatch):
     assert found_repeats(suffix.remove_repeats(docs)) == expected
 
 
+def test_repeats_with_a_full_bitmap(spark, monkeypatch):
+    """Later copies that pass the bitmap of first rows cut nothing out of the first."""
+    monkeypatch.setattr(bitmaps, "LEAST_BITS", 512)
+    monkeypatch.setattr(bitmaps, "MOST_BITS", 512)
+    rows = [(k * 100 + i, story(40 * i, 30)) for i in range(60) for k in range(6)]
+    rows += [(1000 + i, f"{story(40 * i, 12)} tail {i}") for i in range(20)] + repeat_rows()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert found_repeats(suffix.remove_repeats(docs)) == brute_repeats(rows, 50)
+
+
 def test_equal_runs_by_brute_force():
     rng = np.random.default_rng(5)
     for length in (3, 7, 20):
