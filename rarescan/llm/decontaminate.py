@@ -1,22 +1,29 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: word pair seeds, then Smith-Waterman alignment.
 
 The benchmark is the stated query set; it is read in blocks of a bounded number
-of words and each block is held against all whole documents.  A first pass counts
-in how many documents each n-gram of the block occurs.  Seeds are an item's n-grams
-except those more than ``COMMON`` times as frequent as the item's median: at least
-half of every item's n-grams stay, at any corpus size.  The second pass aligns an
-item with the words around each seed it shares with a document; the score is the
-local alignment's share of the item's perfect score, so edited, cut and paraphrased
-copies score by how much of the item, in order, is left.
+of words and each block is held against all whole documents.  Seeds lose no match:
+an alignment with m matches and e edits scores 2m - e, so at ``least`` of an item's
+perfect 2L it has e <= 2(m - least L), and of its m - 1 pairs of neighbouring matches
+at most e / 2 have more than one edit between them.  So ``needed`` = least L - 1 pairs
+or more (rounded up) have at most one: both words are neighbours or one place further
+apart, in the item and in the document.  A first pass counts in how many documents each
+pair occurs; an item's ``needed`` - 1 most frequent places seed nothing, as one of the
+others must be met.  The second pass takes the words around each seed met, keeps
+what holds ``needed`` pairs of any frequency near each other, and aligns the item with
+it.  Frequencies choose the work, never the result.  The score is the local alignment's
+share of the item's perfect score, so edited, cut and paraphrased copies score by how
+much of the item, in order, is left.
 
 Words are runs of letters, digits and underscores, lowered.  Defined cases: a null or
-empty text matches nothing; an item of fewer than ``SEED_WORDS`` words cannot be
-told from chance and is left out; repeated items and documents are matched each;
-without a benchmark nothing matches; further columns of documents are kept.
+empty text matches nothing; an item of fewer than ``ITEM_WORDS`` words cannot be
+told from chance and is left out; a match shares one pair at least, whatever ``least``;
+repeated items and documents are matched each; without a benchmark nothing matches;
+further columns of documents are kept.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -28,15 +35,14 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, narrow
 
-SEED_WORDS = 4
-COMMON = 10
+ITEM_WORDS = 4
 LEAST_SCORE = 0.5
 BLOCK_WORDS = 500_000
 CHUNK = 1 << 20
+HITS = 4096  # places of seeds that are widened to items at a time
 MATCH, MISMATCH, GAP = 2, -1, 1
 
 WORD = re.compile(r"\w+")
-FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> Iterator[list[str]]:
@@ -51,16 +57,19 @@ def words_of(text: str | None) -> Iterator[list[str]]:
         at = end
 
 
-def gram_keys(ids: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each run of SEED_WORDS word numbers."""
-    count = len(ids) - SEED_WORDS + 1
-    if count <= 0:
-        return np.zeros(0, np.uint64)
-    key = np.zeros(count, np.uint64)
-    for k in range(SEED_WORDS):
-        key = (key ^ ids[k : k + count].astype(np.uint64)) * FACTOR
-        key ^= key >> np.uint64(29)
-    return key
+def needed(size: int, least: float) -> int:
+    """How many places of an item of ``size`` words a match meets at least."""
+    return max(1, math.ceil(least * size - 1e-9) - 1)
+
+
+def pairs_of(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of a word and the next, or the one after, and their keys; 0 is no word."""
+    places, keys = [], []
+    for step in (1, 2):
+        at = np.flatnonzero((ids[:-step] > 0) & (ids[step:] > 0))
+        places.append(at)
+        keys.append(ids[at] * base + ids[at + step])
+    return np.concatenate(places), np.concatenate(keys)
 
 
 def alignment(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
@@ -94,12 +103,21 @@ class Block:
             (item_id, np.array([number(w, len(self.vocabulary) + 1) for w in words], np.int64))
             for item_id, words in items
         ]
-        grams = [gram_keys(ids) for _, ids in self.items]
-        self.keys = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.uint64)
-        self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for n, row in enumerate(grams):
-            for at, key in enumerate(row.tolist()):
-                self.places[key].append((n, at))
+        self.base = len(self.vocabulary) + 1
+        pairs = [pairs_of(ids, self.base) for _, ids in self.items]
+        self.pairs = [np.unique(keys) for _, keys in pairs]
+        self._seed(
+            np.concatenate([keys for _, keys in pairs]),
+            np.repeat(np.arange(len(pairs)), [len(keys) for _, keys in pairs]),
+            np.concatenate([at for at, _ in pairs]),
+        )
+
+    def _seed(self, keys: np.ndarray, items: np.ndarray, places: np.ndarray) -> None:
+        """Keys that are looked for, and per key the items and places they stand for."""
+        order = np.argsort(keys, kind="stable")
+        self.keys, starts = np.unique(keys[order], return_index=True)
+        self.starts = np.append(starts, len(keys))
+        self.of_item, self.at = items[order], places[order]
 
     def ids(self, text: str | None) -> np.ndarray:
         """Word numbers of a whole text, 0 for words of no item."""
@@ -108,67 +126,98 @@ class Block:
         return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
     def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the n-grams that are in ``keys``, and their keys."""
-        keys = gram_keys(ids)
-        if not len(keys) or not len(self.keys):
-            return np.zeros(0, np.int64), keys[:0]
+        """Places of the pairs that are in ``keys``, and which they are."""
+        places, keys = pairs_of(ids, self.base)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         found = np.flatnonzero(self.keys[at] == keys)
-        return found, keys[found]
-
-    def keep_rare(self, frequency: dict[int, int]) -> None:
-        """Leave out an item's n-grams that are common beside its own median."""
-        seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        rows: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for key, places in self.places.items():
-            for n, at in places:
-                rows[n].append((key, at))
-        for n, grams in rows.items():
-            counts = [frequency.get(key, 0) for key, _ in grams]
-            limit = COMMON * max(1, sorted(counts)[len(counts) // 2])
-            for (key, at), count in zip(grams, counts, strict=True):
-                if count <= limit:
-                    seeds[key].append((n, at))
-        self.places = seeds
-        self.keys = np.array(sorted(seeds), np.uint64)
+        return places[found], at[found]
+
+    def keep_rare(self, frequency: np.ndarray, least: float) -> None:
+        """Leave out the ``needed`` - 1 most frequent places of each item, by the frequency of each key."""
+        counts = np.repeat(frequency, np.diff(self.starts))
+        keys = np.repeat(self.keys, np.diff(self.starts))
+        sizes = np.array([len(ids) for _, ids in self.items])
+        begins = np.cumsum(sizes) - sizes
+        place = begins[self.of_item] + self.at
+        weight = np.bincount(place, counts, sizes.sum())
+        keep = np.ones(len(weight), bool)
+        for begin, size in zip(begins.tolist(), sizes.tolist(), strict=True):
+            often = np.argsort(-weight[begin : begin + size - 1], kind="stable")
+            keep[begin + often[: needed(size, least) - 1]] = False
+        rows = keep[place]
+        self._seed(keys[rows], self.of_item[rows], self.at[rows])
+
+    def windows(self, ids: np.ndarray, least: float) -> dict[int, list[list[int]]]:
+        """Per item the words around the seeds met, wide enough for a match's insertions."""
+        spans: dict[int, list[list[int]]] = defaultdict(list)
+        places, which = self.hits(ids)
+        order = np.argsort(places, kind="stable")
+        for cut in range(0, len(order), HITS):
+            some = order[cut : cut + HITS]
+            counts = self.starts[which[some] + 1] - self.starts[which[some]]
+            shift = self.starts[which[some]] - np.cumsum(counts) + counts
+            rows = np.arange(counts.sum()) + np.repeat(shift, counts)
+            begins = np.repeat(places[some], counts) - self.at[rows]
+            for n, begin in zip(self.of_item[rows].tolist(), begins.tolist(), strict=True):
+                size = len(self.items[n][1])
+                slack = _edits(size, least)
+                lo, hi = max(0, begin - slack), min(len(ids), begin + size + slack)
+                mine = spans[n]
+                if mine and lo <= mine[-1][1] and mine[-1][0] <= hi:
+                    mine[-1][0] = min(mine[-1][0], lo)
+                    mine[-1][1] = max(mine[-1][1], hi)
+                else:
+                    mine.append([lo, hi])
+        return spans
+
+    def dense(self, n: int, window: np.ndarray, least: float) -> list[tuple[int, int]]:
+        """Parts of a window with enough pairs of the item for a match, which lies in one of them."""
+        size = len(self.items[n][1])
+        width, count = size + _edits(size, least), needed(size, least)
+        places, keys = pairs_of(window, self.base)
+        at = np.minimum(np.searchsorted(self.pairs[n], keys), len(self.pairs[n]) - 1)
+        good = np.unique(places[self.pairs[n][at] == keys])
+        first, last = good[: max(0, len(good) - count + 1)], good[count - 1 :]
+        near = last - first < width
+        parts: list[tuple[int, int]] = []
+        for a, b in zip(first[near].tolist(), last[near].tolist(), strict=True):
+            lo, hi = max(0, b - width), min(len(window), a + width)
+            if parts and lo <= parts[-1][1]:
+                parts[-1] = (parts[-1][0], hi)
+            else:
+                parts.append((lo, hi))
+        return parts
 
     def matches(self, text: str | None, least: float) -> list[tuple[int, float, int, int]]:
-        """(item number, score, first and last word of the passage) of each item found."""
+        """(item number, score, first word of the passage, word after its last) of each item found."""
         ids = self.ids(text)
-        windows: dict[int, list[list[int]]] = defaultdict(list)
-        for place, key in zip(*(x.tolist() for x in self.hits(ids)), strict=True):
-            for n, at in self.places[key]:
-                size = len(self.items[n][1])
-                slack = size // 4 + 2
-                lo, hi = max(0, place - at - slack), min(len(ids), place - at + size + slack)
-                spans = windows[n]
-                if spans and lo <= spans[-1][1]:
-                    spans[-1][0] = min(spans[-1][0], lo)
-                    spans[-1][1] = max(spans[-1][1], hi)
-                else:
-                    spans.append([lo, hi])
         found = []
-        for n, spans in windows.items():
+        for n, spans in self.windows(ids, least).items():
             item = self.items[n][1]
-            perfect = MATCH * len(item)
-            best = (0.0, 0, 0)
+            best = (0, 0, 0)
             for lo, hi in spans:
-                window = ids[lo:hi]
-                if MATCH * int(np.isin(window, item).sum()) < least * perfect:
-                    continue  # even with every common word aligned
-                score, end = alignment(item, window)
-                best = max(best, (score / perfect, lo, lo + end))
-            if best[0] >= least:
-                found.append((n, *best))
+                for begin, end in self.dense(n, ids[lo:hi], least):
+                    score, stop = alignment(item, ids[lo + begin : lo + end])
+                    if score > best[0]:
+                        best = (score, lo + begin, lo + begin + stop)
+            score, lo, hi = best
+            if score >= least * MATCH * len(item) - 1e-9:
+                back = alignment(item[::-1], ids[lo:hi][::-1])[1]
+                found.append((n, score / (MATCH * len(item)), hi - back, hi))
         return found
 
 
+def _edits(size: int, least: float) -> int:
+    """How many words a match can have inserted at most, see the module's text."""
+    return math.ceil(2 * size * (1 - least))
+
+
 def blocks(benchmark: DataFrame) -> Iterator[Block]:
     """The items in blocks of about BLOCK_WORDS words; one block at a time is on the driver."""
     items, size = [], 0
     for item_id, text in narrow(benchmark, item_id="bigint", text="string").toLocalIterator():
         words = [w for some in words_of(text) for w in some]
-        if len(words) >= SEED_WORDS:
+        if len(words) >= ITEM_WORDS:
             items.append((item_id, words))
             size += len(words)
         if size >= BLOCK_WORDS:
@@ -178,7 +227,7 @@ def blocks(benchmark: DataFrame) -> Iterator[Block]:
         yield Block(items)
 
 
-def seeded(texts: DataFrame, block: Block):
+def seeded(texts: DataFrame, block: Block, least: float):
     """The block with its rare seeds, counted over all rows of ``texts``, sent to the tasks."""
     context = texts.sparkSession.sparkContext
     whole = context.broadcast(block)  # bounded by BLOCK_WORDS
@@ -188,16 +237,15 @@ def seeded(texts: DataFrame, block: Block):
         total = np.zeros(len(b.keys), np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                _, keys = b.hits(b.ids(text))
-                total[np.searchsorted(b.keys, np.unique(keys))] += 1
+                total[np.unique(b.hits(b.ids(text))[1])] += 1
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(b.keys[at].view(np.int64)), pa.array(total[at])], ["key", "n"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(b.keys[at]), pa.array(total[at])], ["key", "n"])
 
     counts = bounded_batches(texts).mapInArrow(count, "key bigint, n bigint")
-    rows = counts.groupBy("key").agg(F.sum("n").alias("n")).collect()  # n-grams of the block
-    block.keep_rare({r["key"] % (1 << 64): r["n"] for r in rows})
+    rows = counts.groupBy("key").agg(F.sum("n").alias("n")).collect()  # pairs of the block
+    frequency = np.zeros(len(block.keys), np.int64)
+    frequency[np.searchsorted(block.keys, [r["key"] for r in rows])] = [r["n"] for r in rows]
+    block.keep_rare(frequency, least)
     whole.unpersist()
     return context.broadcast(block)
 
@@ -212,7 +260,7 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> D
     )
     found = docs.sparkSession.createDataFrame([], schema)
     for block in blocks(benchmark):
-        shared = seeded(texts.select("text"), block)
+        shared = seeded(texts.select("text"), block, least)
 
         def run(batches, shared=shared):
             b = shared.value
@@ -236,7 +284,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) ->
     text_at = docs.columns.index("text")
     kept = docs
     for block in blocks(benchmark):
-        shared = seeded(docs.select(F.col("text").cast("string")), block)
+        shared = seeded(docs.select(F.col("text").cast("string")), block, least)
 
         def run(batches, shared=shared):
             b = shared.value

@@ -150,6 +150,18 @@ def test_decontamination(spark):
     assert decontaminate.find(docs.where("false"), benchmark(spark)).collect() == []
 
 
+@pytest.mark.parametrize("copies", (1, 11, 1000))
+def test_decontamination_of_repeated_edits(spark, copies):
+    """An edited or cut item is found however many documents hold it."""
+    edited = " ".join("new" if i % 7 == 3 else w for i, w in enumerate(story(3100, 60).split()))
+    cut = " ".join(story(3000, 30).split()[:16])
+    rows = [(i, f"{story(0, 20)} {edited} {story(i % 900, 5)} {cut}") for i in range(copies)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = Counter(r.item_id for r in decontaminate.find(docs, benchmark(spark)).collect())
+    assert found == Counter({1: copies, 4: 2 * copies})
+    assert decontaminate.remove(docs, benchmark(spark)).count() == 0
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     docs = spark.createDataFrame(leaks(), "doc_id bigint, text string")
     whole = Counter(decontaminate.find(docs, benchmark(spark)).collect())
