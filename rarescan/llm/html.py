@@ -2,7 +2,9 @@
 
 The standard library's parser streams events; they become lines, one per block,
 with their text, tags and whether they lie in a part that never is content
-(menus, forms, adverts, comments, ...).  The ratio of text to tags per line is
+(menus, forms, adverts, comments, ...).  A form, or a class that names such a part,
+does not drop what holds the page's ``main`` or its longest ``article``, nor a form
+outside which the page has no text.  The ratio of text to tags per line is
 smoothed by a Gaussian; lines above a threshold taken from the ratios' spread
 cluster into content regions.  A region found inside an ``article`` or ``main``
 stands for the whole element, so that short paragraphs and titles between long
@@ -37,9 +39,10 @@ BLOCKS = frozenset(
     "section summary table tbody td tfoot th thead tr ul".split()
 )
 DROPPED = frozenset(
-    "aside button canvas datalist dialog embed footer form head iframe input label map menu "
+    "aside button canvas datalist dialog embed footer head iframe input label map menu "
     "nav noscript object script select style svg template textarea video audio".split()
 )
+HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 CONTAINERS = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 # Words of class, id and role values whose element holds no content.
@@ -66,31 +69,42 @@ class Open:
     tag: str
     dropped: bool
     container: int
+    holder: int  # number of the innermost article or main, -1 if none
+    doubts: frozenset[int]  # forms and elements of a noise class that are open
+
+
+@dataclass
+class Part:
+    text: str
+    link: bool
+    holder: int
+    doubts: frozenset[int]
 
 
 @dataclass
 class Lines(HTMLParser):
     """Parser events to the lines of a page that are not dropped."""
 
-    lines: list[Line] = field(default_factory=list)
+    lines: list[tuple[list[Part], int, int, bool]] = field(default_factory=list)
 
     def __post_init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[Open] = [Open("", False, 0)]
-        self.containers = 0
+        self.open: list[Open] = [Open("", False, 0, -1, frozenset())]
+        self.containers = self.doubts = 0
+        self.holders: list[tuple[str, frozenset[int]]] = []
+        self.forms: set[int] = set()
         self._begin()
 
     def _begin(self):
-        self.parts: list[str] = []
-        self.tags = self.links = 0
+        self.parts: list[Part] = []
+        self.tags = 0
 
     def _break(self):
         """End the current line; it belongs to what is open now."""
-        text = " ".join("".join(self.parts).split())
-        if text:
+        if self.parts:
             at = self.open[-1]
             heading = any(o.tag in HEADINGS for o in self.open[-3:])
-            self.lines.append(Line(text, self.tags, self.links, at.container, heading))
+            self.lines.append((self.parts, self.tags, at.container, heading))
         self._begin()
 
     def _close(self, depth: int):
@@ -107,36 +121,60 @@ class Lines(HTMLParser):
                 return None
         return None
 
+    def _leave_head(self, tag: str):
+        """What cannot stand in a head ends it; a body ends it at any depth."""
+        if tag != "body" and (self.open[-1].tag != "head" or tag in HEAD):
+            return
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth].tag == "head":
+                return self._close(depth)
+
     def handle_starttag(self, tag, attrs):
+        self._leave_head(tag)
         self.tags += 1
         if tag in BLOCKS:
             self._implied(tag)
             self._break()
             self.tags += 1
         elif tag == "br":
-            self.parts.append(" ")
+            self._space()
         if tag in VOID:
             return
         above = self.open[-1]
         dropped = above.dropped or tag in DROPPED or (tag == "header" and not above.container)
+        doubtful = tag == "form"
         if not dropped and tag not in ("html", "body"):
             for name, value in attrs:
-                if name in ("class", "id", "role") and value and NOISE.search(value):
+                if name in ("class", "id") and value and NOISE.search(value):
+                    doubtful = True
+                elif name == "role" and value and NOISE.search(value):
                     dropped = True
                 elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                     dropped = True
-        container = above.container
+        doubts = above.doubts
+        if doubtful and not dropped:
+            self.doubts += 1
+            doubts |= {self.doubts}
+            if tag == "form":
+                self.forms.add(self.doubts)
+        container, holder = above.container, above.holder
         if tag in CONTAINERS and not dropped:
             self.containers += 1
             container = container or self.containers
-        self.open.append(Open(tag, dropped, container))
+            holder = len(self.holders)
+            self.holders.append((tag, doubts))
+        self.open.append(Open(tag, dropped, container, holder, doubts))
+
+    def _space(self):
+        self.parts.append(Part(" ", False, -1, frozenset()))
 
     def handle_startendtag(self, tag, attrs):
+        self._leave_head(tag)
         self.tags += 1
         if tag in BLOCKS:
             self._break()
         elif tag == "br":
-            self.parts.append(" ")
+            self._space()
         elif tag not in VOID:  # HTML ignores the slash
             self.handle_starttag(tag, attrs)
 
@@ -153,17 +191,42 @@ class Lines(HTMLParser):
                 return  # an inline end tag does not reach over a block
 
     def handle_data(self, data):
+        if self.open[-1].tag == "head" and not data.isspace():
+            self._close(len(self.open) - 1)
         at = self.open[-1]
-        if at.dropped:
-            return
-        self.parts.append(data)
-        if any(o.tag == "a" for o in self.open[-4:]):
-            self.links += len(data)
+        if not at.dropped:
+            link = any(o.tag == "a" for o in self.open[-4:])
+            self.parts.append(Part(data, link, at.holder, at.doubts))
+
+    def _cleared(self) -> frozenset[int]:
+        """The doubtful elements that hold a main or the longest article."""
+        sizes = [0] * len(self.holders)
+        for parts, *_ in self.lines:
+            for part in parts:
+                if part.holder >= 0:
+                    sizes[part.holder] += len(part.text.strip())
+        articles = [n for n, (tag, _) in enumerate(self.holders) if tag == "article" and sizes[n]]
+        held = [doubts for tag, doubts in self.holders if tag == "main"]
+        if articles:
+            held.append(self.holders[max(articles, key=lambda n: sizes[n])][1])
+        return frozenset().union(*held)
+
+    def _without(self, cleared: frozenset[int]) -> list[Line]:
+        """The lines, without the text inside doubtful elements that are not ``cleared``."""
+        out = []
+        for parts, tags, container, heading in self.lines:
+            parts = [x for x in parts if x.doubts <= cleared]
+            text = " ".join("".join(x.text for x in parts).split())
+            if text:
+                links = sum(len(x.text) for x in parts if x.link)
+                out.append(Line(text, tags, links, container, heading))
+        return out
 
     def done(self) -> list[Line]:
         self.close()
         self._break()
-        return self.lines
+        cleared = self._cleared()
+        return self._without(cleared) or self._without(cleared | self.forms)
 
 
 def smoothed(values: list[float], sigma: float = SIGMA, radius: int = RADIUS) -> list[float]:

@@ -299,6 +299,24 @@ def test_html_boilerplate():
     assert html.main_text("just text") == "just text"
 
 
+NOISY = ("no-sidebar", "has-comments", "article review", "with-menu")
+
+
+def test_html_articles_in_doubtful_elements():
+    long = " ".join(["A sentence of the story, long enough to count as text."] * 8)
+    for head in (f"<html><head><title>T</title><body><p>{long}", f"<head><meta charset=x><link rel=y><p>{long}"):
+        assert html.main_text(head) == long
+    article = f"<article><p>{long}</p><div class=comments><p>{long}</div></article>"
+    comments = "<section class=comments><article><p>A comment.</p></article></section>"
+    for name in NOISY:
+        for page in (f"<div class='{name}'>{article}</div>", f"<div class='{name}'><main>{article}</main></div>",
+                     f"<main><div id='{name}'>{article}</div></main>", article.replace("<article", f"<article class='{name}'")):
+            assert html.main_text(f"<body><nav>Home</nav>{page}{comments}") == long
+    assert html.main_text(f"<form><input><select><option>x</select>{article}</form>") == long
+    assert html.main_text(f"<form><input><p>{long}</p></form>") == long
+    assert html.main_text(f"<p>{long}</p><form><label>Mail</label><p>{long}</p></form>") == long
+
+
 def test_html_odd_rows(spark):
     schema = "page_id bigint, url string, html string, text string"
     long = "<p>" + "word " * 50_000
