@@ -181,6 +181,37 @@ def test_decontamination_of_the_table(spark, sf_dir):
     assert len(found - expected) <= 0.1 * len(expected)
 
 
+def test_seeds_by_brute_force():
+    """Whatever the score accepts is found, also without four unchanged words in a row."""
+    rng = np.random.default_rng(11)
+    for least in (0.5, 0.7):
+        for _ in range(300):
+            size, letters = int(rng.integers(4, 40)), int(rng.integers(3, 60))
+            words = [[f"v{k}" for k in rng.integers(0, letters, size)] for _ in range(3)]
+            block = decontaminate.Block(list(enumerate(words)))
+            block.keep_rare(rng.integers(0, 50, len(block.keys)), least)
+            text = [f"v{k}" for k in rng.integers(0, 80, rng.integers(0, 30))]
+            for w in words[0]:
+                edit = rng.integers(0, rng.integers(3, 9))
+                text += [[], ["x"], ["x", w], [w]][edit] if edit < 3 else [w]
+            text += [f"v{k}" for k in rng.integers(0, 80, rng.integers(0, 30))]
+            ids = block.ids(" ".join(text))
+            whole = [decontaminate.alignment(item, ids)[0] / (2 * len(item)) for _, item in block.items]
+            expected = {n: score for n, score in enumerate(whole) if score >= least}
+            assert {n: s for n, s, _, _ in block.matches(" ".join(text), least)} == expected
+
+
+def test_decontamination_of_edited_items(spark):
+    """Every fourth word replaced, and a word put in after every second one."""
+    words = story(3100, 60).split()
+    replaced = " ".join("new" if i % 4 == 3 else w for i, w in enumerate(words))
+    longer = " ".join(w + " new" if i % 2 else w for i, w in enumerate(words))
+    rows = [(i, f"{story(0, 20)} {text} {story(40, 20)}") for i, text in enumerate((replaced, longer))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = decontaminate.find(docs, benchmark(spark).where("item_id = 4").distinct()).collect()
+    assert {(r.doc_id, r.score, r.first_word) for r in found} == {(0, (90 - 14) / 120, 20), (1, (120 - 29) / 120, 20)}
+
+
 def test_alignment_by_brute_force():
     rng = np.random.default_rng(3)
     for _ in range(50):
