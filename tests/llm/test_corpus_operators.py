@@ -354,6 +354,16 @@ def test_pipeline_stages(spark, sf_dir):
     assert digest(whole) == digest(packed)
 
 
+def test_pipeline_near_copies(spark, sf_dir):
+    """Two separate words of 100 changed: 0.811 of the runs of five words, 0.848 of those of four."""
+    base = story(0, 100)
+    rows = [(1, base), (2, base.replace("w30 ", "x ").replace("w60 ", "y ")), (3, base.replace("w30 ", "x ").replace("w50 ", "y ").replace("w70 ", "z "))]
+    docs = spark.createDataFrame(rows[:2], "doc_id bigint, text string")
+    assert [r.doc_id for r in corpus_pipeline.keep_distinct(spark, docs, sf_dir).collect()] == [1]
+    docs = spark.createDataFrame(rows[::2], "doc_id bigint, text string")
+    assert corpus_pipeline.keep_distinct(spark, docs, sf_dir).count() == 2
+
+
 def test_pipeline_of_nothing(spark, tmp_path, sf_dir):
     for name in ("documents", "labels", "benchmark"):
         table = spark.read.parquet(f"{sf_dir}/{name}.parquet").where("false")
