@@ -201,11 +201,12 @@ def _near_enough(percent: int) -> Column:
     return (100 + percent) * flipped <= (100 - percent) * (F.col("size_a") + F.col("size_b"))
 
 
-def _fragments(texts: DataFrame, first, wanted, words: int) -> DataFrame:
+def _fragments(texts: DataFrame, first, wanted, words: int, percent: int) -> DataFrame:
     """(node, cut, block, parts): the wanted sets, cut into FRAGMENTS ranges of the hash order.
 
     A set's fragments are one row (cut 1), those of a very large one a row each (cut
-    FRAGMENTS); sets of about LARGE_SET have both, so that any two of a pair have one in common.
+    FRAGMENTS); sets that may meet a very large one have both, so that any two of a pair
+    have one in common.
     """
     shift = np.uint64(64 - (FRAGMENTS.bit_length() - 1))
 
@@ -224,7 +225,7 @@ def _fragments(texts: DataFrame, first, wanted, words: int) -> DataFrame:
                 if len(grams) <= LARGE_SET:
                     nodes, cuts, blocks = [*nodes, node], [*cuts, 1], [*blocks, 0]
                     rows.append(parts)
-                if 2 * len(grams) > LARGE_SET:
+                if 100 * len(grams) > percent * LARGE_SET:
                     for n, part in enumerate(parts):
                         nodes, cuts, blocks = [*nodes, node], [*cuts, FRAGMENTS], [*blocks, n]
                         rows.append([part])
@@ -255,7 +256,7 @@ def verified(texts: DataFrame, first, pairs: DataFrame, words: int, percent: int
     """The written pairs (a, b, size_a, size_b) that are similar enough, as (a, b)."""
     if pairs.isEmpty():
         return pairs.select("a", "b")
-    parts = materialize(_fragments(texts, first, _wanted(pairs), words), "fragments")
+    parts = materialize(_fragments(texts, first, _wanted(pairs), words, percent), "fragments")
     left = parts.select(F.col("node").alias("a"), "cut", "block", F.col("parts").alias("parts_a"))
     right = parts.select(F.col("node").alias("b"), "cut", "block", F.col("parts").alias("parts_b"))
     cut = F.when(F.greatest("size_a", "size_b") <= LARGE_SET, 1).otherwise(FRAGMENTS)

@@ -101,6 +101,14 @@ def test_jaccard_chains_and_hot_groups(spark):
         assert found_components(jaccard.join(docs, frequent_from=often)) == brute_components(rows)
 
 
+def test_jaccard_of_unlike_sizes(spark, monkeypatch):
+    """A small set meets one whose fragments are rows of their own, at any percentage."""
+    monkeypatch.setattr(jaccard, "LARGE_SET", 64)
+    docs = spark.createDataFrame([(1, story(0, 33)), (2, story(0, 83))], "doc_id bigint, text string")
+    assert {r.component_id for r in jaccard.join(docs, percent=30).collect()} == {1}
+    assert {r.component_id for r in jaccard.join(docs, percent=40).collect()} == {1, 2}
+
+
 def test_jaccard_odd_rows(odd):
     rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
     assert found_components(jaccard.join(odd)) == brute_components(rows)
