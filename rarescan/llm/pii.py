@@ -1,8 +1,9 @@
 """Format-preserving pseudonyms for personal data.
 
 E-mail addresses, network addresses, telephone, social security and card numbers and dates are
-found in whole texts, validated, and replaced by a keyed permutation within their
-own format: a Feistel network over the digits (or letters, or days) of the value.
+found in whole texts, validated (social security numbers by their form alone), and
+replaced by a keyed permutation within their own format: a Feistel network over the
+digits (or letters, or days) of the value.
 Equal values become equal pseudonyms in every document, different values of one
 format different ones; nothing is looked up, so nothing is shuffled.
 
@@ -28,14 +29,14 @@ ROUNDS = 8
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "date": r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}([-/])[0-9]{2}\1[0-9]{2}"
+    "date": r"(?<![0-9])(?<![0-9][./-])(?:(?:19|20)[0-9]{2}([-/])[0-9]{2}\1[0-9]{2}"
     r"|[0-9]{2}([./-])[0-9]{2}\2(?:19|20)[0-9]{2})(?![0-9]|[./-][0-9])",
     "address": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9])(?:[0-9]{4}([\x20-])[0-9]{4}\3[0-9]{4}\3[0-9]{4}"
     r"|[0-9]{4}([\x20-])[0-9]{6}\4[0-9]{5}|[0-9]{13,19})(?![0-9])",
     "social": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "phone": r"(?:(?<![0-9A-Za-z+])\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?(?:[\x20.-]?[0-9]{2,4}){2,3}"
-    r"|(?<![0-9])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4})(?![0-9])",
+    r"|(?<![0-9])(?:\([0-9]{3}\)[\x20.-]?|\(?[0-9]{3}\)?[\x20.-])[0-9]{3}[\x20.-][0-9]{4})(?![0-9])",
 }
 KINDS = tuple(PATTERNS)
 # One scan for addresses with an @, where there is one, and one for all numbers, which

@@ -181,6 +181,15 @@ def test_pii_formats(spark):
     assert not any(value in rows[1].text for value in found)
 
 
+def test_pii_beside_punctuation(spark):
+    values = ("(555)123-4567", "12/03/1980", "1980-03-12")
+    text = "call (555)123-4567, born.12/03/1980 or -1980-03-12; not 1.12/03/1980"
+    row = pii.replace_personal(spark.createDataFrame([(text,)], "text string"), "k").first()
+    assert {(p.kind, p.value) for p in row.personal} == set(zip(("phone", "date", "date"), values))
+    assert re.search(r"call \(\d{3}\)\d{3}-\d{4}, born\.\d\d/\d\d/\d{4} or -\d{4}-\d\d-\d\d;", row.text)
+    assert row.text.endswith("not 1.12/03/1980")
+
+
 def test_pii_is_a_permutation(spark):
     digits = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
     assert digits.select(pii.permuted_digits(F.col("d"), "k", "x").alias("p")).distinct().count() == 1000
