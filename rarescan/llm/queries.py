@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, jaccard, language, oracles, packing, pii, quality, secrets, suffix
+from . import (
+    chat, decontaminate, html, jaccard, language, manifest, oracles, packing, pii, quality, secrets, suffix,
+)
 from .common import table
 
 
@@ -125,6 +127,29 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of all documents, and whether a tampered half still folds to the root."""
+    docs = table(spark, sf_dir, "documents")
+    fields = {name: F.col(name) for name in FIELDS}
+    tampered = fields | {"text": F.translate("text", "\n", "")}
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    rows = docs.select(
+        F.col("source").alias("tree"),
+        F.col("doc_id").alias("key"),
+        manifest.leaf(list(fields.values())).alias("leaf"),
+        F.when(even, manifest.leaf(list(tampered.values()))).alias("other"),
+    )
+    found = manifest.manifest(rows)
+    folded = manifest.fold(F.coalesce("other", "leaf"), F.col("path"))
+    return found.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+        manifest.proof(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_jaccard": op2_jaccard,
@@ -136,6 +161,7 @@ QUERIES = {
     "op8_html": op8_html,
     "op9_chat": op9_chat,
     "op10_secrets": op10_secrets,
+    "op11_manifest": op11_manifest,
 }
 # Tokens, alignments, fitted models, keyed permutations, suffixes and parser events have no
 # SQL; the tests hold those queries against brute force.
