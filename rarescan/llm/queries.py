@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import (
     chat, decontaminate, html, jaccard, language, manifest, oracles, packing, pii, quality, secrets, suffix,
+    variants,
 )
 from .common import table
 
@@ -150,6 +151,11 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their neighbours, forms and roots; every 199th run loses a letter."""
+    return variants.group(table(spark, sf_dir, "documents"), edit_every=199)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_jaccard": op2_jaccard,
@@ -162,6 +168,7 @@ QUERIES = {
     "op9_chat": op9_chat,
     "op10_secrets": op10_secrets,
     "op11_manifest": op11_manifest,
+    "op13_variants": op13_variants,
 }
 # Tokens, alignments, fitted models, keyed permutations, suffixes and parser events have no
 # SQL; the tests hold those queries against brute force.
