@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, decontaminate, html, jaccard, language, manifest, oracles, packing, pii, quality, secrets, suffix,
+    chat, decontaminate, html, jaccard, katz, language, manifest, oracles, packing, pii, quality, secrets, suffix,
     variants,
 )
 from .common import table
@@ -151,6 +151,14 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of six sevenths of them."""
+    docs = table(spark, sf_dir, "documents")
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    found = katz.score(docs.select("doc_id", "text"), rest == 2)
+    return found.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
+
+
 def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with their neighbours, forms and roots; every 199th run loses a letter."""
     return variants.group(table(spark, sf_dir, "documents"), edit_every=199)
@@ -168,6 +176,7 @@ QUERIES = {
     "op9_chat": op9_chat,
     "op10_secrets": op10_secrets,
     "op11_manifest": op11_manifest,
+    "op12_katz": op12_katz,
     "op13_variants": op13_variants,
 }
 # Tokens, alignments, fitted models, keyed permutations, suffixes and parser events have no
