@@ -186,4 +186,7 @@ ORACLES: dict[str, str] = {
     "op7_quality": oracles.QUALITY,
     "op9_chat": oracles.CHAT,
     "op10_secrets": oracles.SECRETS,
+    "op11_manifest": oracles.MANIFEST,
+    "op12_katz": oracles.KATZ,
+    "op13_variants": oracles.VARIANTS,
 }
