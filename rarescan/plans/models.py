@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 import math
 import random
 from collections.abc import Callable, Mapping
@@ -10,12 +11,12 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
-    GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 
+from rarescan.operators.boosting import HistogramBooster
 from rarescan.operators.isolation import IsolationForest
 
 NO_DEPTH_LIMIT = 30  # the deepest tree MLlib grows
@@ -83,12 +84,17 @@ def _common(name: str, ctx: FitContext) -> dict:
     return {"featuresCol": "features", "labelCol": ctx.label, **weight, **_outputs(name)}
 
 
-def _boosted(name: str, ctx: FitContext, **settings) -> Estimator:
-    # the constructor does not take these two columns, the setters do
+def _boosted(name: str, ctx: FitContext, p: Mapping, **settings) -> Estimator:
+    settings |= {
+        "rounds": p["n_estimators"],
+        "learning_rate": p["learning_rate"],
+        "max_depth": p["max_depth"],
+        "reg_alpha": p.get("reg_alpha", 0.0),
+        "subsample": p["subsample"],
+        "colsample": p["colsample"],
+    }
     common = _common(name, ctx)
-    probability, raw = common.pop("probabilityCol"), common.pop("rawPredictionCol")
-    booster = GBTClassifier(**settings, **common)
-    return booster.setProbabilityCol(probability).setRawPredictionCol(raw)
+    return HistogramBooster(keyCol=ctx.key, settings=json.dumps(settings), **common)
 
 
 def _logreg(p: Mapping, ctx: FitContext) -> Estimator:
@@ -135,30 +141,23 @@ def _boost_a(p: Mapping, ctx: FitContext) -> Estimator:
     return _boosted(
         "xgb",
         ctx,
-        stepSize=p["learning_rate"],
-        maxIter=p["n_estimators"],
-        maxDepth=p["max_depth"],
-        minInstancesPerNode=p["min_child_weight"],
-        subsamplingRate=p["subsample"],
-        featureSubsetStrategy=str(p["colsample"]),
-        minInfoGain=p["min_gain"],
+        p,
+        min_child_weight=p["min_child_weight"],
+        min_gain=p["min_gain"],
+        reg_lambda=p.get("reg_lambda", 1.0),
         seed=ctx.seed,
     )
 
 
 def _boost_b(p: Mapping, ctx: FitContext) -> Estimator:
-    # a tree with L leaves needs about log2(L) levels
-    levels = math.ceil(math.log2(p["num_leaves"]))
-    depth = levels if p["max_depth"] < 0 else min(p["max_depth"], levels)
     return _boosted(
         "lgbm",
         ctx,
-        stepSize=p["learning_rate"],
-        maxIter=p["n_estimators"],
-        maxDepth=depth,
-        minInstancesPerNode=p["min_child_samples"],
-        subsamplingRate=p["subsample"],
-        featureSubsetStrategy=str(p["colsample"]),
+        p,
+        num_leaves=p["num_leaves"],
+        min_child_rows=p["min_child_samples"],
+        min_child_weight=1e-3,
+        reg_lambda=p.get("reg_lambda", 0.0),
         seed=ctx.seed + 1,
     )
 
@@ -244,6 +243,8 @@ MODELS: dict[str, ModelSpec] = {
                 "subsample": (0.6, 0.7, 0.8, 0.9, 1.0),
                 "colsample": (0.6, 0.7, 0.8, 0.9, 1.0),
                 "min_gain": (0.0, 0.1, 0.3, 0.5, 1.0),
+                "reg_alpha": (0, 0.01, 0.1, 1.0),
+                "reg_lambda": (0.1, 0.5, 1.0, 5.0),
             },
             defaults={
                 "learning_rate": 0.1,
@@ -253,6 +254,8 @@ MODELS: dict[str, ModelSpec] = {
                 "subsample": 0.8,
                 "colsample": 0.8,
                 "min_gain": 0.0,
+                "reg_alpha": 0.0,
+                "reg_lambda": 1.0,
             },
             search="random",
             draws=60,
@@ -297,6 +300,8 @@ MODELS: dict[str, ModelSpec] = {
                 "min_child_samples": (5, 10, 20, 50),
                 "subsample": (0.6, 0.7, 0.8, 0.9, 1.0),
                 "colsample": (0.6, 0.7, 0.8, 0.9, 1.0),
+                "reg_alpha": (0, 0.01, 0.1, 1.0),
+                "reg_lambda": (0, 0.1, 1.0, 5.0),
             },
             defaults={
                 "learning_rate": 0.05,
@@ -306,6 +311,8 @@ MODELS: dict[str, ModelSpec] = {
                 "min_child_samples": 20,
                 "subsample": 0.8,
                 "colsample": 0.8,
+                "reg_alpha": 0.0,
+                "reg_lambda": 0.0,
             },
             search="random",
             draws=60,
@@ -313,6 +320,9 @@ MODELS: dict[str, ModelSpec] = {
     )
 }
 
+# Models whose folds and candidates share their passes.
+BOOSTED = ("xgb", "lgbm")
+
 # The stacking ensemble.
 STACKING = "stacking"
 STACK_REQUIRED = ("xgb", "rf")

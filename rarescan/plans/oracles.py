@@ -700,6 +700,45 @@ ORACLES["rf_importance"] = "SELECT 20 AS n_listed, TRUE AS is_sorted, 1e0 AS tot
 ORACLES["lr_explanations"] = f"WITH {TEST} SELECT application_id, TRUE AS all_terms, TRUE AS adds_up FROM test"
 ORACLES["tuned_threshold"] = "SELECT TRUE AS is_threshold, TRUE AS is_f1"
 
+# One tree per fold left out (and of all rows, -1), best leaf first: four times the best split of all leaves.
+_LONG = " UNION ALL ".join(
+    f"SELECT application_id AS id, {i} AS f, '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM train"
+    for i, c in enumerate(
+        ("month", "prev_address_months_count", "customer_age", "date_of_birth_distinct_emails_4w", "keep_alive_session")
+    )
+)
+
+
+def _gain(g: str, h: str) -> str:
+    return f"power(greatest(abs({g}) - 0.5, 0), 2) / ({h} + 2)"
+
+
+def _step(k: int) -> str:
+    """Rows n{k} to n{k + 1}: the best split s{k} of each model divides one leaf."""
+    return f"""
+a{k} AS (SELECT m, path, f, feature, x, sum(g) AS g, sum(h) AS h, count(*) AS c FROM n{k} JOIN long USING (id) GROUP BY ALL),
+b{k} AS (SELECT *, sum(g) OVER l AS gl, sum(h) OVER l AS hl, sum(c) OVER l AS cl, sum(g) OVER w AS gw, sum(h) OVER w AS hw, sum(c) OVER w AS cw
+  FROM a{k} WINDOW w AS (PARTITION BY m, path, f), l AS (PARTITION BY m, path, f ORDER BY x)),
+c{k} AS (SELECT *, {_gain('gl', 'hl')} + {_gain('(gw - gl)', '(hw - hl)')} - {_gain('gw', 'hw')} AS gain FROM b{k}
+  WHERE least(hl, hw - hl) >= 5 AND least(cl, cw - cl) >= 30),
+s{k} AS (SELECT m, path, f, feature, x AS cut, gain FROM c{k} WHERE gain > 1e-6
+  QUALIFY row_number() OVER (PARTITION BY m ORDER BY gain DESC, path, f, x) = 1),
+n{k + 1} AS (SELECT n.m, n.id, g, h, n.path || CASE WHEN s.path IS NULL THEN '' WHEN x <= cut THEN 'L' ELSE 'R' END AS path
+  FROM n{k} n LEFT JOIN s{k} s ON s.m = n.m AND s.path = n.path LEFT JOIN long ON long.id = n.id AND long.f = s.f)"""
+
+
+ORACLES["boost_leafwise_trees"] = f"""
+WITH {TRAIN}, long AS ({_LONG}),
+w AS (SELECT m, application_id AS id, fraud_bool AS y, CASE fraud_bool WHEN 1 THEN 3e0 ELSE 1e0 END AS w
+  FROM train, (VALUES (0), (1), (2), (-1)) AS v(m) WHERE application_id % 3 <> m),
+p AS (SELECT m, sum(w * y) / sum(w) AS p FROM w GROUP BY m),
+n0 AS (SELECT m, id, '' AS path, w * (p - y) AS g, w * p * (1 - p) AS h FROM w JOIN p USING (m)),
+{','.join(map(_step, range(4)))},
+leaves AS (SELECT m, path, sum(g) AS g, sum(h) AS h FROM n4 GROUP BY m, path)
+SELECT m AS without_fold, path, feature, cut, round(gain, 6) AS value FROM
+  ({' UNION ALL '.join(f'SELECT m, path, feature, cut, gain FROM s{k}' for k in range(4))})
+UNION ALL SELECT m, path, NULL, NULL, round(-0.3 * sign(g) * greatest(abs(g) - 0.5, 0) / (h + 2), 6) FROM leaves"""
+
 ORACLES["report_sections"] = f"""
 WITH {APPS}, t AS (SELECT fraud_bool, count(*) AS n, count(*) * 100e0 / sum(count(*)) OVER () AS pct FROM apps GROUP BY 1),
 m AS (SELECT month, count(*) AS n, CAST(sum(fraud_bool) AS BIGINT) AS pos, sum(fraud_bool) * 1e0 / count(*) AS pos_rate

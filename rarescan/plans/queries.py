@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import wraps
 
+import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,7 @@ from rarescan.config import BANK_APPLICATIONS as ROLES
 from rarescan.config import SETTINGS
 from rarescan.operators import (
     association,
+    boosting,
     curves,
     decisions,
     explain,
@@ -683,6 +686,43 @@ def stacked_scores(spark, sf):
     return _checked(training.score(stack, test, models.STACKING, [KEY, LABEL]))
 
 
+# Whole numbers with few values: every value is a cut.
+TREE_FEATURES = {
+    "month": range(8), "prev_address_months_count": range(-1, 8), "customer_age": range(10, 100, 10),
+    "date_of_birth_distinct_emails_4w": range(40), "keep_alive_session": range(2),
+}
+TREE = boosting.Boost(
+    rounds=1, learning_rate=0.3, max_depth=0, num_leaves=5, min_child_weight=5.0, min_child_rows=30,
+    reg_alpha=0.5, reg_lambda=2.0, class_weights=(1.0, 3.0),
+)
+
+
+@query
+def boost_leafwise_trees(spark, sf):
+    """First trees of three folds and of all rows, grown together best leaf first: splits and leaves."""
+    rows = applications(spark, sf, "train").select(
+        KEY, LABEL, (F.col(KEY) % 3).cast("int").alias("fold"),
+        array_to_vector(F.array(*(F.col(c).cast("double") for c in TREE_FEATURES))).alias("features"),
+    )
+    models_of = [*range(3), None]
+    hows = [replace(TREE, without_fold=fold) for fold in models_of]
+    cuts = [np.array(values, float) for values in TREE_FEATURES.values()]
+    found = []
+    for fold, model in zip(models_of, boosting.fit(rows, hows, LABEL, KEY, fold="fold", cuts=cuts)):
+        nodes, paths = model.nodes().to_dict("records"), {0: ""}
+        for n in nodes:
+            path, split = paths[n["node"]], n["feature"] >= 0
+            if split:
+                paths[n["left"]], paths[n["right"]] = path + "L", path + "R"
+            name = list(TREE_FEATURES)[n["feature"]] if split else None
+            value = n["gain"] if split else n["value"]
+            found.append(
+                (-1 if fold is None else fold, path, name, n["cut"] if split else None, round(value, DIGITS))
+            )
+    schema = "without_fold int, path string, feature string, cut double, value double"
+    return profile.small_table(spark, found, schema)
+
+
 @query
 def tuned_threshold(spark, sf):
     """The threshold of a hold-out: its F1 is that of its precision and recall."""

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -17,9 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rarescan.config import BANK_APPLICATIONS, SETTINGS, Roles, Settings
-from rarescan.operators import curves, sampling
+from rarescan.operators import boosting, curves, sampling
 from rarescan.operators.preprocess import preprocessor
 from rarescan.plans.models import (
+    BOOSTED,
     MODELS,
     STACK_C,
     STACK_FOLDS,
@@ -273,53 +275,93 @@ def _record(store, trained, run_id, logged_at, undersampling_ratio=None, extra=N
 # ---- stacking -----------------------------------------------------------------------
 
 
-def _fit_bases(df, bases, roles, settings) -> PipelineModel:
-    """One preprocessing and every base model, fitted on the same rows.
+def _class_weights(spec: ModelSpec, counts: Mapping) -> tuple[float, float]:
+    if spec.balance is None or spec.balance == "replicate":
+        return 1.0, 1.0
+    weights = (
+        sampling.balanced_weights(counts)
+        if spec.balance == "balanced"
+        else sampling.positive_weight(float(spec.balance))
+    )
+    return tuple(float(weights.get(c, 1.0)) for c in (0, 1))
 
-    The last stages leave each base's probability of class 1 as ``<name>__p``.
-    """
-    prep = preprocessor(roles, df.columns).fit(df)
-    ready = _prepared(df, prep, roles).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
 
-        def fit(item):
-            spec, params = MODELS[item[0]], item[1]
-            rows, ctx = balanced_fit_input(ready, spec, roles, settings, None)
-            return spec.build(params, ctx).fit(rows)
+def _boost_members(ready, spec, candidates, folds, roles, settings) -> list[boosting.Boosted]:
+    """Models of a boosting spec, per candidate one without each of ``folds`` (None: all rows).
 
-        with ThreadPool(min(PARALLEL_FITS, len(bases))) as pool:
-            models = pool.map(fit, list(bases.items()))
-    finally:
-        ready.unpersist()
-    chosen = [
+    All grow in the same passes over ``ready`` (key, label, fold, features).
+    """
+    counts = ready.groupBy("fold", F.col(roles.label).cast("int").alias("y")).count().collect()
+    ctx = FitContext(roles.label, roles.key, 0.0, _width(ready), None, settings.seed)
+    hows = []
+    for params in candidates:
+        how = spec.build(params, ctx).how()
+        for fold in folds:
+            left = Counter()
+            for f, y, n in counts:
+                left[y] += n if fold is None or f != fold else 0
+            weights = _class_weights(spec, +left)
+            hows.append(replace(how, without_fold=fold, class_weights=weights))
+    return boosting.fit(ready, hows, roles.label, roles.key, fold="fold")
+
+
+def _fit_bases(ready, bases, folds, roles, settings) -> dict[str, list]:
+    """Per base one model without each fold, and at last one of all rows.
+
+    Boosting fits them in shared passes; other models fit side by side.
+    """
+    parts = [*range(folds), None]
+
+    def boosted(name):
+        spec = MODELS[name]
+        ctx = FitContext(roles.label, roles.key, 0.0, _width(ready), None, settings.seed)
+        estimator = spec.build(bases[name], ctx)
+        found = _boost_members(ready, spec, [bases[name]], parts, roles, settings)
+        return [(name, part, estimator.model_of(model)) for part, model in zip(parts, found)]
+
+    def single(name, part):
+        rows = ready if part is None else ready.where(F.col("fold") != part)
+        rows, ctx = balanced_fit_input(rows, MODELS[name], roles, settings, None)
+        return [(name, part, MODELS[name].build(bases[name], ctx).fit(rows))]
+
+    jobs = [(boosted, (n,)) for n in bases if n in BOOSTED]
+    jobs += [(single, (n, part)) for n in bases if n not in BOOSTED for part in parts]
+    with ThreadPool(min(PARALLEL_FITS, len(jobs))) as pool:
+        done = pool.map(lambda job: job[0](*job[1]), jobs, chunksize=1)
+    fitted = {(name, part): model for models in done for name, part, model in models}
+    return {name: [fitted[name, part] for part in parts] for name in bases}
+
+
+def _chosen(bases) -> list[VectorSlicer]:
+    """Each base's probability of class 1 as ``<name>__p``."""
+    return [
         VectorSlicer(inputCol=f"{n}__probability", outputCol=f"{n}__p", indices=[1]) for n in bases
     ]
-    return PipelineModel([*prep.stages, *models, *chosen])
 
 
-def out_of_fold_scores(
-    df: DataFrame,
-    bases: Mapping[str, Mapping],
-    roles: Roles = BANK_APPLICATIONS,
-    settings: Settings = SETTINGS,
-    folds: int | None = None,
-) -> DataFrame:
-    """(key, label, one probability per base), each row scored by models that did
-    not see it.  All bases add their column to the same row, so nothing is joined.
+def _stack_bases(df, bases, roles, settings, folds) -> tuple[PipelineModel, DataFrame]:
+    """Bases of all rows as one pipeline, and the out-of-fold scores (key, label, ``<name>__p``).
 
-    The table is written once by fold; one fold is fitted, and cached, at a time.
+    Preprocessing, which sees no label, is fitted once on all rows; the prepared table is
+    written once by fold.  All bases add their column to the same row, so nothing is joined.
     """
     folds = folds or STACK_FOLDS
+    prep = preprocessor(roles, df.columns).fit(df)
     folded = sampling.with_folds(df, roles.key, folds, f"{settings.seed}-stack")
-    written = materialize(folded, "folds", ("fold",))
+    # the fold travels beside the features: preprocessing does not know the column
+    ready = prep.transform(folded).select(roles.key, roles.label, F.col("fold").cast("int"), "features")
+    written = materialize(ready, "folds", ("fold",))
+    fitted = _fit_bases(written, bases, folds, roles, settings)
+    columns = [roles.key, roles.label, *[f"{n}__p" for n in bases]]
     parts = []
     for fold in range(folds):
-        fitted = _fit_bases(written.where(F.col("fold") != fold), bases, roles, settings)
-        scored = fitted.transform(written.where(F.col("fold") == fold))
-        columns = [roles.key, roles.label, *[f"{n}__p" for n in bases]]
-        parts.append(materialize(scored.select(*columns), "out-of-fold"))
+        stages = [*(fitted[n][fold] for n in bases), *_chosen(bases)]
+        scored = PipelineModel(stages).transform(written.where(F.col("fold") == fold))
+        parts.append(scored.select(*columns))
+    scores = materialize(reduce(DataFrame.unionByName, parts), "out-of-fold")
     discard(written)
-    return reduce(DataFrame.unionByName, parts)
+    whole = PipelineModel([*prep.stages, *(fitted[n][-1] for n in bases), *_chosen(bases)])
+    return whole, scores
 
 
 def _fit_meta(scores: DataFrame, names: Sequence[str], roles: Roles) -> PipelineModel:
@@ -356,12 +398,11 @@ def fit_stack(
     missing = [n for n in STACK_REQUIRED if n not in bases]
     if missing or len(bases) < 2:
         raise ValueError(f"a stack needs {STACK_REQUIRED} and at least two models")
-    scores = out_of_fold_scores(df, bases, roles, settings, folds)
+    fitted, scores = _stack_bases(df, bases, roles, settings, folds)
     meta = _fit_meta(scores, list(bases), roles)
     judged = meta.transform(scores)
     judged = judged.select(roles.label, score_column(STACKING, judged.columns).alias("score"))
     auc = exact_auc(judged, roles.label)
-    fitted = _fit_bases(df, bases, roles, settings)
     return PipelineModel([*fitted.stages, *meta.stages]), auc
 
 
