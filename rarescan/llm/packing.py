@@ -52,9 +52,13 @@ def _classes() -> tuple[str, str]:
 
 
 LETTERS, NUMBERS = _classes()
+# Capitals whose small letter lies beyond those letters.
+FAR_CAPITALS = "".join(c for c in map(chr, range(0x250)) if len(c.lower()) > 1 or c.lower() > "\u024f")
 BLANKS = r"\t-\r \x85\xa0"
 # Latin letters and general punctuation: canonical as they stand, lowered one by one.
-UNUSUAL = re.compile(r"[^\x00-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e\u20ac]|<\|")
+UNUSUAL = re.compile(
+    rf"[^\x00-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e\u20ac]|[{FAR_CAPITALS}]|<\|"
+)
 # The parts of a lowered usual text, which a word vocabulary encodes one by one, and blanks.
 PARTS = re.compile(rf" |'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{NUMBERS}]|[^{BLANKS}{LETTERS}{NUMBERS}]+")
 

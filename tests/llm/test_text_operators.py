@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import struct
 import zlib
@@ -10,6 +11,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -88,6 +90,18 @@ def test_packing_keeps_every_id_once(odd, documents):
             assert windows * capacity <= 1.08 * used
 
 
+def test_ids_of_all_latin_letters():
+    """Texts of any letters up to U+024F, capitals with far small letters among them."""
+    pick, points = random.Random(2), [chr(i) for i in range(0x250)]
+    texts = ["".join(pick.choices(points, k=pick.choice((1, 3, 9, 40)))) for _ in range(3000)]
+    texts += [f"a{c}b {c}{c} x" for c in points]
+    whole = Tokenizer.from_file(VOCABULARY)
+    expected = [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    encode = packing.Encoder(VOCABULARY)
+    found = [list(struct.unpack(f"<{len(b) // 4}I", b)) for b in encode(pa.array(texts))]
+    assert [t for t, a, b in zip(texts, found, expected) if a != b] == []
+
+
 def test_packing_of_nothing(none):
     assert packing.pack(none, VOCABULARY).collect() == []
 
