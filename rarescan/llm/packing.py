@@ -35,7 +35,7 @@ CAPACITY = 2048
 END_ID = 1
 BATCH_WINDOWS = 64
 PADDING = 0.02  # share of padding above which pieces are halved
-CACHED_PARTS = 1_000_000
+CACHED_PARTS = 250_000  # of a worker, which keeps them from task to task: about 40 MB
 WIDTH = 4  # bytes of an id
 MARK = b"\xff" * WIDTH  # no id
 
@@ -101,8 +101,6 @@ class Encoder:
         odd = {c for c in chunks if UNUSUAL.search(c)} if UNUSUAL.search(" ".join(chunks)) else ()
         rows = " ".join(["" if c in odd else c for c in chunks] if odd else chunks)
         parts = PARTS.findall(rows.lower())
-        if len(self.parts) > CACHED_PARTS:
-            self.parts = {" ": MARK}
         self._learn(list(set(parts).difference(self.parts)))
         found = b"".join(map(self.parts.__getitem__, parts)).split(MARK)
         for n, chunk in enumerate(chunks) if odd else ():
@@ -111,6 +109,11 @@ class Encoder:
                 found[n] = _bytes(ids)
         return found
 
+    def trim(self) -> None:
+        """Forget the parts when they are many: a worker outlives its tasks."""
+        if len(self.parts) > CACHED_PARTS:
+            self.parts = {" ": MARK}
+
     def _learn(self, missing: list[str]) -> None:
         ids = self.single.encode_batch_fast([" ".join(missing)], add_special_tokens=False)[0].ids
         packed = _bytes(ids)
@@ -265,6 +268,8 @@ def pack(
             found = encode(batch.column(1))
             for key, ids in zip(batch.column(0).to_pylist(), found, strict=True):
                 yield key, ids + end
+            encode.trim()
+            pa.default_memory_pool().release_unused()
 
     def run(batches):
         partition = TaskContext.get().partitionId()
@@ -274,5 +279,5 @@ def pack(
                 [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
             )
 
-    source = bounded_batches(narrow(docs, doc_id="bigint", text="string"))
+    source = bounded_batches(narrow(docs, doc_id="bigint", text="string"), "6m")
     return source.mapInArrow(run, SCHEMA)

@@ -436,3 +436,11 @@ def test_secrets_ownership_and_odd_rows(spark, odd, none):
     assert rows[13].more == [] and all(s.n_owners == 3 for s in rows[13].base if s.kind == "assign" and s.start > 5)
     assert secrets.scan(odd).count() == len(ODD)
     assert secrets.scan(none).collect() == []
+
+
+def test_an_encoder_forgets_when_it_holds_much():
+    encode = packing.Encoder(VOCABULARY)
+    before = encode(pa.array(["some words", None]))
+    encode.parts |= {str(i): b"" for i in range(packing.CACHED_PARTS)}
+    encode.trim()
+    assert len(encode.parts) == 1 and encode(pa.array(["some words", None])) == before
