@@ -2,18 +2,23 @@
 
 The standard library's parser streams events; they become lines, one per block,
 with their text, tags and whether they lie in a part that never is content
-(menus, forms, adverts, comments, ...).  A form, or a class that names such a part,
-does not drop what holds the page's ``main`` or its longest ``article``, nor a form
-outside which the page has no text.  The ratio of text to tags per line is
-smoothed by a Gaussian; lines above a threshold taken from the ratios' spread
-cluster into content regions.  A region found inside an ``article`` or ``main``
-stands for the whole element, so that short paragraphs and titles between long
-ones are kept; elsewhere the region's lines, and a heading just above, count.
+(menus, forms, adverts, comments, ...).  A class or id only raises a doubt: alone or
+beside neutral words (``site-header``) it drops the element, in other compounds
+(``share-price``) only if links are most of its text.  A doubt is cleared where the
+element holds the page's ``main`` or its longest ``article``, or, on pages without
+them, twice the text that is beyond doubt; adverts, comments and notices are never
+cleared by their size.  A form counts if the page has no other text.
+
+The ratio of text to tags per line is smoothed by a Gaussian; lines above a threshold
+taken from the ratios' spread cluster into content regions.  Short lines between or,
+inside an ``article`` or ``main``, beside the clusters are kept unless links are most
+of them; elsewhere a heading just above a cluster counts too.  Further articles that
+are teasers (a link for a title or an end, or a quarter of links) are left out.
 
 Defined cases: a null, empty or markup-free page gives its plain text, empty if
-there is none; elements may stay open, and close with what encloses them;
-repeated rows are extracted alike; an empty table gives no rows; further columns
-are ignored.
+there is none; elements may stay open, and close with what encloses them, in time
+linear in the page; repeated rows are extracted alike; an empty table gives no rows;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,7 +50,7 @@ DROPPED = frozenset(
 HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 CONTAINERS = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
-# Words of class, id and role values whose element holds no content.
+# Words of class, id and role values whose element holds no content ...
 NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer"
     r"|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|notifications?"
@@ -53,6 +58,34 @@ NOISE = re.compile(
     r"|signup|social|sponsor\w*|subscribe|taboola|toolbar|widget)(?=$|[\s_-]|\d)",
     re.IGNORECASE,
 )
+# ... of these, the ones that no compound and no size makes content, ...
+NEVER = re.compile(
+    r"ads?|advert\w*|comments?|consent|cookies?|disqus|gdpr|newsletter|outbrain|promo\w*|sponsor\w*"
+    r"|subscribe|taboola"
+)
+# ... words beside which the others stay sure, and first words that only tell what a page has.
+NEUTRAL = frozenset(
+    "area bar block body bottom box btn button buttons center col container content fixed group icons "
+    "inner item items left link links list main mobile outer page panel primary right secondary section "
+    "site slot sticky title top unit user wrap wrapper".split()
+)
+TELLING = frozenset("has have no show with without".split())
+
+
+def doubt_of(value: str) -> str:
+    """What a class or id says of its element: "never" content, "part", "word", or nothing."""
+    found = ""
+    for token in value.lower().split():
+        words = [w for w in (x.strip("0123456789") for x in re.split("[-_]+", token)) if w]
+        noisy = [w for w in words if NOISE.fullmatch(w)]
+        if not noisy or words[0] in TELLING:
+            continue
+        if any(NEVER.fullmatch(w) for w in noisy):
+            return "never"
+        if all(w in noisy or w in NEUTRAL for w in words):
+            found = "part"
+        found = found or "word"
+    return found
 
 
 @dataclass
@@ -60,9 +93,13 @@ class Line:
     text: str
     tags: int
     links: int  # characters inside links
-    container: int  # number of the innermost article or main, 0 if none
+    container: int  # number of the outermost article or main, 0 if none
     heading: bool
 
+    @property
+    def linked(self) -> bool:
+        return 2 * self.links > len(self.text)
+
 
 @dataclass
 class Open:
@@ -70,7 +107,18 @@ class Open:
     dropped: bool
     container: int
     holder: int  # number of the innermost article or main, -1 if none
-    doubts: frozenset[int]  # forms and elements of a noise class that are open
+    doubt: int  # number of the innermost doubtful element, 0 if none
+    block: int  # depth of the innermost block, itself included
+    link: bool
+    heading: bool
+
+
+@dataclass
+class Doubt:
+    above: int  # the doubtful element around it
+    sort: str
+    chars: int = 0
+    links: int = 0
 
 
 @dataclass
@@ -78,7 +126,7 @@ class Part:
     text: str
     link: bool
     holder: int
-    doubts: frozenset[int]
+    doubt: int
 
 
 @dataclass
@@ -89,10 +137,11 @@ class Lines(HTMLParser):
 
     def __post_init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[Open] = [Open("", False, 0, -1, frozenset())]
-        self.containers = self.doubts = 0
-        self.holders: list[tuple[str, frozenset[int]]] = []
-        self.forms: set[int] = set()
+        self.open: list[Open] = [Open("", False, 0, -1, 0, 0, False, False)]
+        self.depths: dict[str, list[int]] = {}  # of the open elements, by tag
+        self.containers = 0
+        self.holders: list[tuple[str, int]] = []
+        self.doubts: list[Doubt] = [Doubt(0, "")]
         self._begin()
 
     def _begin(self):
@@ -103,31 +152,44 @@ class Lines(HTMLParser):
         """End the current line; it belongs to what is open now."""
         if self.parts:
             at = self.open[-1]
-            heading = any(o.tag in HEADINGS for o in self.open[-3:])
-            self.lines.append((self.parts, self.tags, at.container, heading))
+            self.lines.append((self.parts, self.tags, at.container, at.heading))
         self._begin()
 
+    def _cut(self, depth: int):
+        for element in self.open[depth:]:
+            self.depths[element.tag].pop()
+        del self.open[depth:]
+
     def _close(self, depth: int):
         self._break()
-        del self.open[depth:]
+        self._cut(depth)
 
     def _implied(self, tag: str):
         """A block ends an open paragraph; an item ends the item before it."""
-        for depth in range(len(self.open) - 1, 0, -1):
-            inner = self.open[depth].tag
-            if inner == "p" or (inner == tag and tag in ("li", "dd", "dt", "td", "tr", "option")):
-                return self._close(depth)
-            if inner in BLOCKS:
-                return None
-        return None
+        depth = self.open[-1].block
+        inner = self.open[depth].tag
+        if inner == "p" or (inner == tag and tag in ("li", "dd", "dt", "td", "tr")):
+            self._close(depth)
 
     def _leave_head(self, tag: str):
         """What cannot stand in a head ends it; a body ends it at any depth."""
-        if tag != "body" and (self.open[-1].tag != "head" or tag in HEAD):
-            return
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == "head":
-                return self._close(depth)
+        if self.depths.get("head") and (tag == "body" or (self.open[-1].tag == "head" and tag not in HEAD)):
+            self._close(self.depths["head"][-1])
+
+    def _doubt(self, tag: str, attrs) -> tuple[bool, str]:
+        """Whether the element is dropped, and the doubt that it raises."""
+        sort = "form" if tag == "form" else ""
+        if tag in ("html", "body"):
+            return False, ""
+        for name, value in attrs:
+            if name in ("class", "id") and value:
+                said = doubt_of(value)
+                sort = said if said and sort != "never" else sort
+            elif name == "role" and value and NOISE.search(value):
+                return True, ""
+            elif name == "hidden" or (name == "aria-hidden" and value == "true"):
+                return True, ""
+        return False, sort
 
     def handle_starttag(self, tag, attrs):
         self._leave_head(tag)
@@ -142,31 +204,28 @@ class Lines(HTMLParser):
             return
         above = self.open[-1]
         dropped = above.dropped or tag in DROPPED or (tag == "header" and not above.container)
-        doubtful = tag == "form"
-        if not dropped and tag not in ("html", "body"):
-            for name, value in attrs:
-                if name in ("class", "id") and value and NOISE.search(value):
-                    doubtful = True
-                elif name == "role" and value and NOISE.search(value):
-                    dropped = True
-                elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-                    dropped = True
-        doubts = above.doubts
-        if doubtful and not dropped:
-            self.doubts += 1
-            doubts |= {self.doubts}
-            if tag == "form":
-                self.forms.add(self.doubts)
+        doubt = above.doubt
+        if not dropped:
+            dropped, sort = self._doubt(tag, attrs)
+            if sort:
+                doubt = len(self.doubts)
+                self.doubts.append(Doubt(above.doubt, sort))
         container, holder = above.container, above.holder
         if tag in CONTAINERS and not dropped:
             self.containers += 1
             container = container or self.containers
             holder = len(self.holders)
-            self.holders.append((tag, doubts))
-        self.open.append(Open(tag, dropped, container, holder, doubts))
+            self.holders.append((tag, doubt))
+        depth = len(self.open)
+        block = depth if tag in BLOCKS else above.block
+        link, heading = above.link or tag == "a", above.heading or tag in HEADINGS
+        if tag in BLOCKS:
+            heading = tag in HEADINGS
+        self.open.append(Open(tag, dropped, container, holder, doubt, block, link, heading))
+        self.depths.setdefault(tag, []).append(depth)
 
     def _space(self):
-        self.parts.append(Part(" ", False, -1, frozenset()))
+        self.parts.append(Part(" ", False, -1, 0))
 
     def handle_startendtag(self, tag, attrs):
         self._leave_head(tag)
@@ -180,42 +239,65 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                if any(o.tag in BLOCKS for o in self.open[depth:]):
-                    self._close(depth)
-                else:
-                    del self.open[depth:]
-                return
-            if self.open[depth].tag in BLOCKS and tag not in BLOCKS:
-                return  # an inline end tag does not reach over a block
+        depths = self.depths.get(tag)
+        if not depths:
+            return
+        depth, block = depths[-1], self.open[-1].block
+        if block >= depth and tag in BLOCKS:
+            self._close(depth)
+        elif block < depth:
+            self._cut(depth)
+        # an inline end tag does not reach over a block
 
     def handle_data(self, data):
         if self.open[-1].tag == "head" and not data.isspace():
             self._close(len(self.open) - 1)
         at = self.open[-1]
         if not at.dropped:
-            link = any(o.tag == "a" for o in self.open[-4:])
-            self.parts.append(Part(data, link, at.holder, at.doubts))
+            self.parts.append(Part(data, at.link, at.holder, at.doubt))
 
-    def _cleared(self) -> frozenset[int]:
-        """The doubtful elements that hold a main or the longest article."""
+    def _around(self, doubt: int):
+        while doubt:
+            yield doubt
+            doubt = self.doubts[doubt].above
+
+    def _cleared(self) -> set[int]:
+        """The doubtful elements that hold the page's content after all."""
         sizes = [0] * len(self.holders)
         for parts, *_ in self.lines:
             for part in parts:
+                size = len(part.text.strip())
+                self.doubts[part.doubt].chars += size
+                self.doubts[part.doubt].links += size * part.link
                 if part.holder >= 0:
-                    sizes[part.holder] += len(part.text.strip())
+                    sizes[part.holder] += size
+        sure = self.doubts[0].chars - self.doubts[0].links
+        for doubt in reversed(self.doubts[1:]):  # an element comes after what encloses it
+            if doubt.above and doubt.sort != "never":
+                self.doubts[doubt.above].chars += doubt.chars
+                self.doubts[doubt.above].links += doubt.links
         articles = [n for n, (tag, _) in enumerate(self.holders) if tag == "article" and sizes[n]]
-        held = [doubts for tag, doubts in self.holders if tag == "main"]
+        held = [doubt for tag, doubt in self.holders if tag == "main"]
         if articles:
             held.append(self.holders[max(articles, key=lambda n: sizes[n])][1])
-        return frozenset().union(*held)
-
-    def _without(self, cleared: frozenset[int]) -> list[Line]:
+        cleared = {n for doubt in set(held) for n in self._around(doubt)}
+        bare = not any(sizes)
+        for n, doubt in enumerate(self.doubts[1:], 1):
+            prose = doubt.chars - doubt.links
+            if doubt.sort == "word" and prose >= doubt.links:
+                cleared.add(n)
+            elif doubt.sort == "part" and bare and prose > max(2 * sure, doubt.links):
+                cleared.add(n)
+        return cleared
+
+    def _without(self, cleared: set[int]) -> list[Line]:
         """The lines, without the text inside doubtful elements that are not ``cleared``."""
+        kept = [True] * len(self.doubts)
+        for n, doubt in enumerate(self.doubts[1:], 1):
+            kept[n] = n in cleared and kept[doubt.above]
         out = []
         for parts, tags, container, heading in self.lines:
-            parts = [x for x in parts if x.doubts <= cleared]
+            parts = [x for x in parts if kept[x.doubt]]
             text = " ".join("".join(x.text for x in parts).split())
             if text:
                 links = sum(len(x.text) for x in parts if x.link)
@@ -226,7 +308,8 @@ class Lines(HTMLParser):
         self.close()
         self._break()
         cleared = self._cleared()
-        return self._without(cleared) or self._without(cleared | self.forms)
+        forms = {n for n, doubt in enumerate(self.doubts) if doubt.sort == "form"}
+        return self._without(cleared) or self._without(cleared | forms)
 
 
 def smoothed(values: list[float], sigma: float = SIGMA, radius: int = RADIUS) -> list[float]:
@@ -240,21 +323,57 @@ def smoothed(values: list[float], sigma: float = SIGMA, radius: int = RADIUS) ->
     return out
 
 
-def content(lines: list[Line]) -> list[str]:
-    """The texts of the content regions, in page order."""
-    if not lines:
-        return []
-    ratios = [(len(x.text) - x.links) / max(1, x.tags) for x in lines]
+def regions(lines: list[Line]) -> list[bool]:
+    """Which lines lie in a cluster of a high smoothed text-to-tag ratio.
+
+    Links alone count between text, not at a cluster's end.
+    """
+    ratios = [max(0, len(x.text) - x.links) / max(1, x.tags) for x in lines]
     smooth = smoothed(ratios)
     mean = sum(smooth) / len(smooth)
     deviation = math.sqrt(sum((v - mean) ** 2 for v in smooth) / len(smooth))
     chosen = [v > 0 and v >= mean - SPREAD * deviation for v in smooth]
+    for ends in (range(len(lines)), range(len(lines) - 1, -1, -1)):
+        before = False  # whether the line before lies in a cluster
+        for i in ends:
+            before = chosen[i] = chosen[i] and (ratios[i] > 0 or before)
+    return chosen
+
+
+def stories(lines: list[Line], found: set[int]) -> dict[int, list[Line]]:
+    """The lines of the outermost containers ``found``, without teasers beside the longest."""
+    held: dict[int, list[Line]] = {n: [] for n in found}
+    for line in lines:
+        if line.container in held:
+            held[line.container].append(line)
+    longest = max(held, key=lambda n: sum(len(x.text) - x.links for x in held[n]))
+
+    def teaser(mine: list[Line]) -> bool:
+        links, chars = sum(x.links for x in mine), sum(len(x.text) for x in mine)
+        titles = any(x.heading and x.linked for x in mine)
+        return titles or mine[-1].linked or 4 * links >= chars
+
+    return {n: mine for n, mine in held.items() if n == longest or not teaser(mine)}
+
+
+def content(lines: list[Line]) -> list[str]:
+    """The texts of the content regions, in page order."""
+    if not lines:
+        return []
+    chosen = regions(lines)
     whole = {x.container for x, c in zip(lines, chosen, strict=True) if c and x.container}
-    if whole:  # a region in an article stands for it, and what lies outside is not the article
-        return [x.text for x in lines if x.container in whole]
-    inside = [False, *chosen, False]
-    for i, ratio in enumerate(ratios):  # links alone count between text, not at a region's end
-        chosen[i] = chosen[i] and (ratio > 0 or (inside[i] and inside[i + 2]))
+    if whole:  # what lies outside is not the article
+        out = []
+        for _, mine in sorted(stories(lines, whole).items()):
+            inside = regions(mine)
+            kept = [x.text for x, c in zip(mine, inside, strict=True) if c or x.heading or not x.linked]
+            out += kept or [x.text for x in mine]
+        return out
+    places = [i for i, c in enumerate(chosen) if c]
+    if not places:
+        return []
+    for i in range(places[0], places[-1]):
+        chosen[i] = chosen[i] or not lines[i].linked
     for i in range(len(lines) - 1, 0, -1):
         if chosen[i] and lines[i - 1].heading:
             chosen[i - 1] = True

@@ -340,6 +340,46 @@ def test_html_articles_in_doubtful_elements():
     assert html.main_text(f"<p>{long}</p><form><label>Mail</label><p>{long}</p></form>") == long
 
 
+def test_html_doubtful_words():
+    long = " ".join(["A sentence of the story, long enough to count as text."] * 8)
+    for name in ("page with-sidebar", "sidebar-right", "widget", "share-price"):  # wrappers of bare pages
+        page = f"<nav><a href=1>Home</a></nav><div class='{name}'><p>{long}<p>{long}</div><div class=comments><p>{long}</div>"
+        assert html.main_text(page) == f"{long}\n\n{long}"
+    head = "<div class='article-header'><h1>Title</h1></div>"
+    price = "<p class='share-price'>The share price rose.</p><section id='search-results'><p>Nothing was found.</p></section>"
+    links = "<div class='related-stories'><a href=1>One</a> <a href=2>Two</a></div><div class='ad-box'>Buy</div>"
+    page = f"<article>{head}<p>{long}</p>{price}<p>{long}</p>{links}</article>"
+    assert html.main_text(page) == "\n\n".join(["Title", long, "The share price rose.", "Nothing was found.", long])
+    assert html.main_text(f"<div class=comments><p>{long}</div><div class='cookie-notice'>{long}</div>") == ""
+
+
+def test_html_short_lines_links_and_teasers():
+    long = " ".join(["A sentence of the story, long enough to count as text."] * 8)
+    said = "<p>Yes.</p><p>He said no.</p><ul><li>One</li><li>Two</li></ul>"
+    short = ["Yes.", "He said no.", "One", "Two"]
+    for page in (f"<div><p>{long}</p>{said}<p>{long}</p></div>", f"<main><p>{long}</p>{said}<p>{long}</p></main>"):
+        assert html.main_text(page) == "\n\n".join([long, *short, long])
+    deep = "<div><a href=1><b><i><span><em><u>Home and all that is new here</u></em></span></i></b></a></div>" * 6
+    title = "<h1><a href=1><b><i><u><em>Title</em></u></i></b></a></h1>"
+    assert html.main_text(f"{deep}<div>{title}<p>{long}</p></div>{deep}") == f"Title\n\n{long}"
+    card = "<article><h3><a href=1>Another story</a></h3><p>A summary of it.</p></article>"
+    more = "<article><h3>Another story</h3><p>A summary of it, in a line.</p><p><a href=1>Read more</a></p></article>"
+    article = f"<article>{title}<p>{long}</p><p>The end.</p></article>"
+    assert html.main_text(article + card + more) == f"Title\n\n{long}\n\nThe end."
+
+
+def test_html_time_is_linear():
+    import time
+
+    long = "A sentence of the story, long enough to count as text. " * 8
+    pages = ["<p>" + "<i>" * 20_000 + "</b>" * 20_000, "<b><div>" + "<i>" * 20_000 + "</b>" * 20_000,
+             "<i>" * 20_000 + "<hr>" * 20_000, "<div class=widget>" * 20_000]
+    for page in pages:
+        start = time.perf_counter()
+        assert html.main_text(f"{page}<p>{long}") == long.strip()
+        assert time.perf_counter() - start < 3  # a walk of all open elements per tag takes a minute
+
+
 def test_html_odd_rows(spark):
     schema = "page_id bigint, url string, html string, text string"
     long = "<p>" + "word " * 50_000
