@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from fractions import Fraction
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
@@ -21,6 +23,7 @@ from rarescan.operators.sampling import class_counts, class_quota_sample
 from rarescan.sources.shared import materialize
 
 SIGNIFICANT = 0.05
+EXACT_ROWS = 8  # of the smaller class, up to which Mann-Whitney p-values are exact
 MI_BINS = 10
 MI_NEIGHBORS = 3
 
@@ -148,6 +151,55 @@ def two_sided_p(z: pd.Series) -> pd.Series:
     return z.map(lambda v: min(1.0, math.erfc(v / math.sqrt(2.0))))
 
 
+@lru_cache
+def _ways(m: int) -> tuple[int, list[int]]:
+    """How often parts of 1, 1, 2, ..., m add up to r, as a period and the numerator over (1 - q^period)^(m + 1)."""
+    period = math.lcm(*range(1, m + 1))
+    top = [1]
+    for part in (1, *range(1, m + 1)):
+        # times 1 + q^part + q^(2 part) + ... below the period
+        grown = [0] * (len(top) + period - part)
+        for at, ways in enumerate(top):
+            grown[at] += ways
+            if at + period < len(grown):
+                grown[at + period] -= ways
+        for at in range(part, len(grown)):
+            grown[at] += grown[at - part]
+        top = grown
+    return period, top
+
+
+def exact_p(n1: int, n2: int, u: int) -> float:
+    """Two-sided p-value of U without ties, from how many of all orders give each U.
+
+    The orders are counted by the Gaussian binomial coefficient: as a product over the
+    smaller class it takes the same few sums of whole numbers whatever the other's size.
+    """
+    m, n = min(n1, n2), max(n1, n2)
+    if m == 0:
+        return 1.0
+    most = min(u, n1 * n2 - u)  # U at or below it is as far out
+    (period, top), shifts = _ways(m), {0: 1}
+    for i in range(1, m + 1):  # the numerator, a product of 1 - q^(n + i)
+        for at, sign in list(shifts.items()):
+            shifts[at + n + i] = shifts.get(at + n + i, 0) - sign
+    orders = 0
+    for shift, sign in shifts.items():
+        for turn in range((most - shift) // period, -1, -1) if most >= shift else ():
+            at = most - shift - turn * period
+            if at >= len(top):
+                break
+            orders += sign * top[at] * math.comb(turn + m, m)
+    return min(1.0, float(Fraction(2 * orders, math.comb(n + m, m))))
+
+
+@F.pandas_udf(T.DoubleType())
+def exact_p_value(n1: pd.Series, n2: pd.Series, u: pd.Series) -> pd.Series:
+    """One row per feature; null where the normal form holds."""
+    rows = zip(n1, n2, u)
+    return pd.Series([None if pd.isna(c) else exact_p(int(a), int(b), int(c)) for a, b, c in rows], dtype=float)
+
+
 def mann_whitney(
     df: DataFrame,
     columns: Sequence[str],
@@ -157,8 +209,9 @@ def mann_whitney(
 ) -> DataFrame:
     """Mann-Whitney U of positives against negatives per feature, two-sided.
 
-    Normal approximation with tie and continuity correction; p = 1 when all
-    values are tied.
+    The p-value is exact where a class has at most ``EXACT_ROWS`` rows and no values are
+    tied, else from the normal approximation with tie and continuity correction; p = 1 when
+    all values are tied or a class is empty.
     """
     table = running_counts(df, columns, label, by=by, **rank_args)
     size = F.col("n").cast("double")
@@ -175,6 +228,7 @@ def mann_whitney(
     u = (F.col("rank_sum") - least).cast("double") / 2
     variance = n1 * n2 / 12 * ((n + 1) - F.coalesce(F.try_divide(F.col("ties"), n * (n - 1)), F.lit(0.0)))
     larger = F.greatest(F.col("u_stat"), n1 * n2 - F.col("u_stat"))
+    small = (F.col("ties") == 0) & F.least("n1", "n2").between(1, EXACT_ROWS)
     z = F.when(
         F.col("variance") > 1e-9, (larger - n1 * n2 / 2 - 0.5) / F.sqrt("variance")
     ).otherwise(F.lit(0.0))
@@ -182,7 +236,8 @@ def mann_whitney(
         sums.withColumn("u_stat", u)
         .withColumn("variance", variance)
         .withColumn("z", z)
-        .withColumn("p_value", two_sided_p("z"))
+        .withColumn("exact", exact_p_value("n1", "n2", F.when(small, F.col("u_stat"))))
+        .withColumn("p_value", F.when(small, F.col("exact")).otherwise(two_sided_p("z")))
         .select(
             *by,
             "feature",

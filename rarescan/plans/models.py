@@ -12,12 +12,12 @@ from dataclasses import dataclass, field
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 
 from rarescan.operators.boosting import HistogramBooster
 from rarescan.operators.isolation import IsolationForest
+from rarescan.operators.perceptron import PerceptronClassifier
 
 NO_DEPTH_LIMIT = 30  # the deepest tree MLlib grows
 
@@ -163,15 +163,9 @@ def _boost_b(p: Mapping, ctx: FitContext) -> Estimator:
 
 
 def _perceptron(p: Mapping, ctx: FitContext) -> Estimator:
-    common = _common("mlp", ctx)
-    common.pop("weightCol", None)
-    return MultilayerPerceptronClassifier(
-        layers=[ctx.n_features, *p["hidden"], 2],
-        maxIter=p.get("max_iter", 500),
-        blockSize=p.get("block", 256),
-        seed=ctx.seed,
-        **common,
-    )
+    names = ("hidden", "activation", "alpha", "learning_rate", "batch", "epochs", "patience")
+    settings = {n: p[n] for n in names if n in p} | {"seed": ctx.seed}
+    return PerceptronClassifier(keyCol=ctx.key, settings=json.dumps(settings), **_common("mlp", ctx))
 
 
 def _isolation(p: Mapping, ctx: FitContext) -> Estimator:
@@ -274,12 +268,20 @@ MODELS: dict[str, ModelSpec] = {
                     (64, 32),
                     (128, 64, 32),
                 ),
-                "block": (256, 512),
+                "activation": ("relu", "tanh"),
+                "alpha": (0.0001, 0.001, 0.01, 0.1),
+                "learning_rate": (0.0005, 0.001, 0.005, 0.01),
+                "batch": (256, 512),
+            },
+            defaults={
+                "hidden": (64, 32),
+                "activation": "relu",
+                "alpha": 0.0001,
+                "learning_rate": 0.001,
+                "batch": 256,
             },
-            defaults={"hidden": (64, 32), "block": 256},
             search="random",
             draws=20,
-            balance="replicate",
             balance_yields=True,
         ),
         ModelSpec(

@@ -10,6 +10,7 @@ from rarescan.plans.queries import (
     MIX,
     PER_CLASS,
     SAMPLE_ROWS,
+    SEGMENT_ROWS,
     THRESHOLDS,
     TIER_THRESHOLD,
     UNDERSAMPLING_RATIO,
@@ -305,14 +306,14 @@ _P = """CASE WHEN z <= 0 THEN 1e0 WHEN z > 7 THEN 0e0 ELSE greatest(0e0, 1 - 2 /
   (lgamma(2 * k + 2e0) - k * ln(2e0) - lgamma(k + 1e0))) FOR k IN range(0, 200)])) END"""
 
 
-def _tests(source: str) -> str:
-    return f"""v AS ({long_sql(NUMERIC, source, ', fraud_bool AS y')}),
-r AS (SELECT *, rank() OVER (PARTITION BY feature ORDER BY value) + (count(*) OVER (PARTITION BY feature, value) - 1) / 2e0 AS r,
-  count(*) OVER (PARTITION BY feature, value) AS t FROM v),
-s AS (SELECT feature, CAST(sum(y) AS BIGINT) AS n1, CAST(sum(1 - y) AS BIGINT) AS n2, sum(CASE WHEN y = 1 THEN r END) AS rs,
-  sum(CAST(t AS DOUBLE) * t - 1) AS ties, count(*) * 1e0 AS n FROM r GROUP BY feature),
+def _tests(source: str, by: str = "") -> str:
+    return f"""v AS ({long_sql(NUMERIC, source, f', {by}fraud_bool AS y')}),
+r AS (SELECT *, rank() OVER (PARTITION BY {by}feature ORDER BY value) + (count(*) OVER (PARTITION BY {by}feature, value) - 1) / 2e0 AS r,
+  count(*) OVER (PARTITION BY {by}feature, value) AS t FROM v),
+s AS (SELECT {by}feature, CAST(sum(y) AS BIGINT) AS n1, CAST(sum(1 - y) AS BIGINT) AS n2, sum(CASE WHEN y = 1 THEN r ELSE 0 END) AS rs,
+  sum(CAST(t AS DOUBLE) * t - 1) AS ties, count(*) * 1e0 AS n FROM r GROUP BY {by}feature),
 u AS (SELECT *, rs - n1 * (n1 + 1) / 2e0 AS u_stat, n1 * 1e0 * n2 / 12 * ((n + 1) - ties / (n * (n - 1))) AS var FROM s),
-tests AS (SELECT feature, n1, n2, u_stat, CASE WHEN var > 1e-9 THEN
+tests AS (SELECT {by}feature, n1, n2, u_stat, CASE WHEN var > 1e-9 THEN
   (greatest(u_stat, n1 * 1e0 * n2 - u_stat) - n1 * 1e0 * n2 / 2 - 0.5) / sqrt(var) ELSE 0e0 END AS z FROM u),
 tested AS (SELECT *, {_P} AS p FROM tests)"""
 
@@ -323,6 +324,23 @@ SELECT feature, n1, n2, u_stat, round(z, 6) AS z, round(p, 6) AS p_value,
   CASE WHEN p < 0.05 THEN 'significant' ELSE 'not significant' END AS conclusion FROM tested"""
 
 ORACLES["mann_whitney_buckets"] = ORACLES["mann_whitney_u"]
+
+# All subsets of the ranks 1 to k, counted by size and sum.
+_SUBSETS = ["d0 AS (SELECT 0 AS j, 0 AS s, 1e0 AS c)"] + [
+    f"d{k} AS (SELECT j, s, sum(c) AS c FROM (FROM d{k - 1} UNION ALL SELECT j + 1, s + {k}, c FROM d{k - 1}) GROUP BY j, s)"
+    for k in range(1, SEGMENT_ROWS + 1)
+]
+ORACLES["mann_whitney_segments"] = f"""
+WITH {APPS}, cut AS (SELECT *, application_id // {SEGMENT_ROWS} AS segment FROM apps), {_tests('cut', 'segment, ')},
+{', '.join(_SUBSETS)},
+d AS ({' UNION ALL '.join(f'SELECT {k} AS n, j, s - j * (j + 1) / 2e0 AS u, c FROM d{k}' for k in range(1, SEGMENT_ROWS + 1))}),
+sides AS (SELECT segment, feature, least(u_stat, n1 * 1e0 * n2 - u_stat) AS most FROM u),
+exact AS (SELECT u.segment, u.feature, least(1e0, 2 * sum(CASE WHEN d.u <= most THEN c ELSE 0e0 END) / sum(c)) AS p
+  FROM u JOIN sides USING (segment, feature) JOIN d ON d.n = u.n1 + u.n2 AND d.j = u.n1
+  WHERE ties = 0 AND least(n1, n2) BETWEEN 1 AND 8 GROUP BY 1, 2),
+answers AS (SELECT t.* EXCLUDE (p), coalesce(e.p, t.p) AS p FROM tested t LEFT JOIN exact e USING (segment, feature))
+SELECT segment, feature, n1, n2, u_stat, round(z, 6) AS z, round(p, 6) AS p_value,
+  CASE WHEN p < 0.05 THEN 'significant' ELSE 'not significant' END AS conclusion FROM answers"""
 ORACLES["mann_whitney_sampled"] = f"""
 WITH {APPS},
 picked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fraud_bool ORDER BY {hash_sql('ranktest')}, application_id) AS k
@@ -739,6 +757,18 @@ SELECT m AS without_fold, path, feature, cut, round(gain, 6) AS value FROM
   ({' UNION ALL '.join(f'SELECT m, path, feature, cut, gain FROM s{k}' for k in range(4))})
 UNION ALL SELECT m, path, NULL, NULL, round(-0.3 * sign(g) * greatest(abs(g) - 0.5, 0) / (h + 2), 6) FROM leaves"""
 
+_SLOPES = ["e * a * s1", "e * a * s2", "e * b * s1", "e * b * s2", "e * s1", "e * s2", "w * (p - y) * h1", "w * (p - y) * h2", "w * (p - y)"]
+ORACLES["mlp_gradient"] = f"""
+WITH {TRAIN}, x AS (SELECT 'weighted' AS rows, 1 + 2 * fraud_bool AS w, fraud_bool AS y, coalesce(month, 0) / 4e0 AS a,
+    coalesce(customer_age, 0) / 50e0 AS b FROM train),
+r AS (FROM x UNION ALL SELECT 'repeated', 1, y, a, b FROM (SELECT *, unnest(range(0, w)) FROM x)),
+h AS (SELECT *, tanh(0.3e0 * a + 0.1e0 * b + 0.05e0) AS h1, tanh(-0.2e0 * a + 0.4e0 * b - 0.1e0) AS h2 FROM r),
+m AS (SELECT *, 0.7e0 * h1 - 0.5e0 * h2 + 0.2e0 AS m FROM h),
+e AS (SELECT *, 1 / (1 + exp(-m)) AS p, w * (1 / (1 + exp(-m)) - y) AS e,
+  0.7e0 * (1 - h1 * h1) AS s1, -0.5e0 * (1 - h2 * h2) AS s2 FROM m)
+SELECT rows, -1 AS place, round(sum(w * (ln(1 + exp(m)) - y * m)) / sum(w), 6) AS value FROM e GROUP BY rows
+{' '.join(f'UNION ALL SELECT rows, {k}, round(sum({v}) / sum(w), 6) FROM e GROUP BY rows' for k, v in enumerate(_SLOPES))}"""
+
 ORACLES["report_sections"] = f"""
 WITH {APPS}, t AS (SELECT fraud_bool, count(*) AS n, count(*) * 100e0 / sum(count(*)) OVER () AS pct FROM apps GROUP BY 1),
 m AS (SELECT month, count(*) AS n, CAST(sum(fraud_bool) AS BIGINT) AS pos, sum(fraud_bool) * 1e0 / count(*) AS pos_rate

@@ -23,6 +23,7 @@ from rarescan.operators import (
     explain,
     features,
     metrics,
+    perceptron,
     preprocess,
     profile,
     sampling,
@@ -52,6 +53,7 @@ MEMBERS = {s.removeprefix("score_"): (s, t) for s, t in THRESHOLDS.items()}
 TIER_THRESHOLD = 0.60
 MIX = {0: 5_000, 1: 300}
 PER_CLASS = 500
+SEGMENT_ROWS = 24
 SAMPLE_ROWS = 10_000
 UNDERSAMPLING_RATIO = 0.5
 
@@ -336,6 +338,13 @@ def mann_whitney_u(spark, sf):
     return tests
 
 
+@query
+def mann_whitney_segments(spark, sf):
+    """Tests per segment of a few rows: exact p-values where nothing is tied."""
+    rows = applications(spark, sf).withColumn("segment", F.floor(F.col(KEY) / SEGMENT_ROWS))
+    return association.mann_whitney(rows, NUMERIC, LABEL, by=["segment"])
+
+
 @query
 def mann_whitney_sampled(spark, sf):
     df = association.mann_whitney_sample(applications(spark, sf), KEY, LABEL, "ranktest", PER_CLASS)
@@ -697,6 +706,26 @@ TREE = boosting.Boost(
 )
 
 
+NETWORK = perceptron.Perceptron(hidden=(2,), activation="tanh")
+NETWORK_WEIGHTS = (0.3, -0.2, 0.1, 0.4, 0.05, -0.1, 0.7, -0.5, 0.2)
+
+
+@query
+def mlp_gradient(spark, sf):
+    """Loss (place -1) and gradient of a small network over all train rows, weighted and repeated."""
+    x = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) / s for c, s in (("month", 4), ("customer_age", 50))]
+    rows = applications(spark, sf, "train").select(
+        KEY, LABEL, (1 + 2 * F.col(LABEL)).alias("w"), array_to_vector(F.array(*x)).alias("features")
+    )
+    copies = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("w").cast("int"))))
+    nets = [(NETWORK, np.array(NETWORK_WEIGHTS))]
+    found = []
+    for name, table, weight in (("weighted", rows, F.col("w")), ("repeated", copies, None)):
+        ((loss, slope),) = perceptron.gradients(table, nets, LABEL, KEY, weight=weight)
+        found += [(name, place, round(float(v), DIGITS)) for place, v in enumerate([loss, *slope], -1)]
+    return profile.small_table(spark, found, "rows string, place int, value double")
+
+
 @query
 def boost_leafwise_trees(spark, sf):
     """First trees of three folds and of all rows, grown together best leaf first: splits and leaves."""

@@ -18,5 +18,5 @@ QUICK = {
         "colsample": 0.8,
         "min_gain": 0.0,
     },
-    "mlp": {"hidden": (16,), "block": 256, "max_iter": 30},
+    "mlp": {"hidden": (16,), "learning_rate": 0.01, "batch": 256, "epochs": 8},
 }

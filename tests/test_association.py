@@ -164,3 +164,30 @@ def test_screening(spark):
         ("c", "keep", ""),
         ("d", "drop", "no signal"),
     ]
+
+
+def test_exact_mann_whitney_against_enumeration():
+    from itertools import combinations
+    from math import comb
+
+    for n1, n2 in ((1, 1), (1, 9), (3, 4), (5, 3), (4, 8)):
+        m, n = min(n1, n2), n1 + n2
+        found = [sum(c) - m * (m + 1) // 2 for c in combinations(range(1, n + 1), m)]
+        for u in range(n1 * n2 + 1):
+            far = max(u, n1 * n2 - u)
+            want = min(1.0, 2 * sum(x >= far for x in found) / comb(n, m))
+            assert association.exact_p(n1, n2, u) == pytest.approx(want, rel=1e-12), (n1, n2, u)
+    assert association.exact_p(0, 5, 0) == 1.0
+    # as many rows as one likes on the other side: near the normal form
+    n2 = 10**9
+    u = int(8 * n2 / 2 + 1.5 * (8 * n2 * (n2 + 9) / 12) ** 0.5)
+    assert association.exact_p(8, n2, u) == pytest.approx(0.1336, abs=0.01)
+
+
+def test_mann_whitney_is_exact_for_few_untied_rows(spark):
+    rows = [("a", 1, 9.0), ("a", 1, 8.0), *(("a", 0, float(v)) for v in range(6))]
+    rows += [("b", 1, 1.0), ("b", 1, 2.0), ("b", 0, 1.0), ("b", 0, 0.0), ("c", 0, 1.0), ("c", 0, 2.0)]
+    df = spark.createDataFrame(rows, "g string, y int, x double")
+    got = {r.g: r for r in association.mann_whitney(df, ["x"], "y", by=["g"]).collect()}
+    assert got["a"].u_stat == 12 and got["a"].p_value == pytest.approx(2 / 28)
+    assert got["b"].p_value == pytest.approx(0.4142, abs=1e-3) and got["c"].p_value == 1.0

@@ -156,7 +156,7 @@ def test_undersampling_touches_the_fit_only(train_rows):
     prep = preprocess.preprocessor().fit(train_rows)
     ready = training._prepared(train_rows, prep, ROLES)
     plain, _ = training.balanced_fit_input(ready, spec, ROLES, training.SETTINGS, None)
-    assert plain.count() > ready.count()  # positives repeated
+    assert plain.count() == ready.count() and "weight" in plain.columns  # weighted, not repeated
     under, ctx = training.balanced_fit_input(ready, spec, ROLES, training.SETTINGS, 0.5)
     assert under.count() < ready.count() and ctx.weight_col is None
     tree, ctx = training.balanced_fit_input(ready, models.MODELS["dt"], ROLES, training.SETTINGS, 0.5)
