@@ -653,6 +653,20 @@ def lr_search(spark, sf):
     return profile.small_table(spark, rows, "n_tried int, in_grid boolean, auc_reached boolean")
 
 
+def _random_search(spark, sf, model, space):
+    """A random search of 40 draws, all candidates and folds in the same passes."""
+    spec = replace(models.MODELS[model], space=models.MODELS[model].space | space, draws=40)
+    drawn = spec.candidates(SETTINGS.seed)
+    best, auc, _ = training.search(applications(spark, sf, "train"), spec)
+    rows = [(len(drawn), best in drawn, auc >= AUC_FLOOR)]
+    return profile.small_table(spark, rows, "n_tried int, in_space boolean, auc_reached boolean")
+
+
+@query
+def gbt_random_search(spark, sf):
+    return _random_search(spark, sf, "xgb", {"n_estimators": (4, 6, 8), "max_depth": (3, 4)})
+
+
 @query
 def undersampled_scores(spark, sf):
     return _checked(_fitted_scores(spark, sf, "logreg", undersampling_ratio=0.2)[1])

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rarescan.config import BANK_APPLICATIONS, SETTINGS, Roles, Settings
-from rarescan.operators import boosting, curves, sampling
+from rarescan.operators import boosting, curves, perceptron, sampling
 from rarescan.operators.preprocess import preprocessor
 from rarescan.plans.models import (
     BOOSTED,
@@ -35,6 +35,9 @@ from rarescan.sources.store import Store
 
 WEIGHT = "weight"
 PARALLEL_FITS = 4
+# Models whose candidates and folds are fitted in the same passes.
+SHARED_FITS = {**dict.fromkeys(BOOSTED, boosting.fit), "mlp": perceptron.fit}
+JUDGED_AT_ONCE = 20  # candidates whose scores are columns of one table
 
 
 @dataclass
@@ -151,12 +154,17 @@ def search(
 ) -> tuple[Mapping, float | None, float | None]:
     """Best parameters by mean cross-validated ROC-AUC; also the train/CV gap.
 
-    Preprocessing has nothing to search, so it is fitted once per fold and
-    shared by all candidates; candidates of a fold run side by side.
+    Boosting and perceptrons fit all candidates and folds in the same passes.  For other
+    models, and with undersampling, preprocessing, which has nothing to search, is fitted
+    once per fold and shared by all candidates; candidates of a fold run side by side.
     """
     candidates = spec.candidates(settings.seed) if candidates is None else list(candidates)
     if not candidates:
         return dict(spec.defaults), None, None
+    if spec.name in SHARED_FITS and undersampling_ratio is None:
+        means = shared_scores(df, spec, candidates, roles, settings)
+        best = max(range(len(candidates)), key=lambda i: means[i][0])
+        return dict(candidates[best]), means[best][0], means[best][1] - means[best][0]
     # written once: each fold reads its rows, not what they came from
     folded = sampling.with_folds(df, roles.key, spec.folds, f"{settings.seed}-cv")
     folded = materialize(folded, "search", ("fold",))
@@ -187,6 +195,43 @@ def search(
     return dict(candidates[best]), means[best][0], means[best][1] - means[best][0]
 
 
+def shared_scores(
+    df: DataFrame, spec: ModelSpec, candidates: Sequence[Mapping], roles: Roles, settings: Settings
+) -> list[tuple[float, float]]:
+    """Per candidate the mean ROC-AUC over the folds, held out and on what was fitted.
+
+    Preprocessing sees no label and is fitted once; the prepared table is written by fold.
+    All candidates of all folds are an axis of the passes that fit them, and one table of
+    running counts judges many of them.  A part of one class counts as 0.5.
+    """
+    prep = preprocessor(roles, df.columns).fit(df)
+    folded = sampling.with_folds(df, roles.key, spec.folds, f"{settings.seed}-cv")
+    ready = prep.transform(folded).select(roles.key, roles.label, F.col("fold").cast("int"), "features")
+    written = materialize(ready, "search", ("fold",))
+    ctx = FitContext(roles.label, roles.key, 0.0, _width(ready), None, settings.seed)
+    fitted = _shared_members(written, spec, candidates, range(spec.folds), roles, settings)
+    sums: list[list[float]] = [[0.0, 0.0] for _ in candidates]
+    for first in range(0, len(candidates), JUDGED_AT_ONCE):
+        chosen = range(first, min(first + JUDGED_AT_ONCE, len(candidates)))
+        parts = []
+        for fold in range(spec.folds):
+            scored = written.withColumn("held", (F.col("fold") == fold).cast("int"))
+            for c in chosen:
+                model = spec.build(candidates[c], ctx).model_of(fitted[c * spec.folds + fold])
+                out = model.transform(scored)
+                scored = out.select(*scored.columns, score_column(spec.name, out.columns).alias(f"c{c}"))
+            parts.append(scored.select(F.lit(fold).alias("judged"), "held", roles.label, *(f"c{c}" for c in chosen)))
+        judged = materialize(reduce(DataFrame.unionByName, parts), "judged")
+        by = ["judged", "held"]
+        points = curves.curve_points(judged, [f"c{c}" for c in chosen], roles.label, by=by)
+        for row in curves.areas(points, by).select("model", "held", "roc_auc").collect():
+            auc = 0.5 if row["roc_auc"] is None else row["roc_auc"]
+            sums[int(row["model"][1:])][1 - row["held"]] += auc / spec.folds
+        discard(judged)
+    discard(written)
+    return [tuple(s) for s in sums]
+
+
 def tune_threshold(
     df: DataFrame,
     spec: ModelSpec,
@@ -286,10 +331,10 @@ def _class_weights(spec: ModelSpec, counts: Mapping) -> tuple[float, float]:
     return tuple(float(weights.get(c, 1.0)) for c in (0, 1))
 
 
-def _boost_members(ready, spec, candidates, folds, roles, settings) -> list[boosting.Boosted]:
-    """Models of a boosting spec, per candidate one without each of ``folds`` (None: all rows).
+def _shared_members(ready, spec, candidates, folds, roles, settings) -> list:
+    """Models of a spec of ``SHARED_FITS``, per candidate one without each of ``folds`` (None: all rows).
 
-    All grow in the same passes over ``ready`` (key, label, fold, features).
+    All are fitted in the same passes over ``ready`` (key, label, fold, features).
     """
     counts = ready.groupBy("fold", F.col(roles.label).cast("int").alias("y")).count().collect()
     ctx = FitContext(roles.label, roles.key, 0.0, _width(ready), None, settings.seed)
@@ -302,7 +347,7 @@ def _boost_members(ready, spec, candidates, folds, roles, settings) -> list[boos
                 left[y] += n if fold is None or f != fold else 0
             weights = _class_weights(spec, +left)
             hows.append(replace(how, without_fold=fold, class_weights=weights))
-    return boosting.fit(ready, hows, roles.label, roles.key, fold="fold")
+    return SHARED_FITS[spec.name](ready, hows, roles.label, roles.key, fold="fold")
 
 
 def _fit_bases(ready, bases, folds, roles, settings) -> dict[str, list]:
@@ -316,7 +361,7 @@ def _fit_bases(ready, bases, folds, roles, settings) -> dict[str, list]:
         spec = MODELS[name]
         ctx = FitContext(roles.label, roles.key, 0.0, _width(ready), None, settings.seed)
         estimator = spec.build(bases[name], ctx)
-        found = _boost_members(ready, spec, [bases[name]], parts, roles, settings)
+        found = _shared_members(ready, spec, [bases[name]], parts, roles, settings)
         return [(name, part, estimator.model_of(model)) for part, model in zip(parts, found)]
 
     def single(name, part):

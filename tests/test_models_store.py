@@ -104,6 +104,33 @@ def test_search_candidates():
     assert models.scoring_model(["rf", "dt"]) == "rf"
 
 
+def _auc(score, y):
+    ranks = pd.Series(score).rank().to_numpy()
+    ones = int(y.sum())
+    return (ranks[y == 1].sum() - ones * (ones + 1) / 2) / (ones * (len(y) - ones))
+
+
+@pytest.mark.parametrize("name", ["xgb", "mlp"])
+def test_shared_search_scores_each_candidate_as_if_alone(train_rows, name):
+    spec = models.MODELS[name]
+    change = {"xgb": {"max_depth": 2, "n_estimators": 3}, "mlp": {"activation": "tanh", "epochs": 2}}[name]
+    sets = [QUICK[name], {**QUICK[name], **change}]
+    both = training.shared_scores(train_rows, spec, sets, ROLES, training.SETTINGS)
+    alone = training.shared_scores(train_rows, spec, sets[1:], ROLES, training.SETTINGS)
+    assert both[1] == pytest.approx(alone[0]) and both[0] != pytest.approx(both[1])
+    prep = preprocess.preprocessor().fit(train_rows)
+    folded = training.sampling.with_folds(train_rows, ROLES.key, spec.folds, f"{training.SETTINGS.seed}-cv")
+    ready = prep.transform(folded).select(ROLES.key, ROLES.label, F.col("fold").cast("int"), "features").cache()
+    ctx = training.FitContext(ROLES.label, ROLES.key, 0.0, 1, None, training.SETTINGS.seed)
+    found = []
+    for fold in range(spec.folds):
+        (fitted,) = training._shared_members(ready, spec, sets[1:], [fold], ROLES, training.SETTINGS)
+        scored = spec.build(sets[1], ctx).model_of(fitted).transform(ready)
+        p = scored.select("fold", ROLES.label, training.score_column(name, scored.columns).alias("p")).toPandas()
+        found.append([_auc(part["p"], part[ROLES.label].to_numpy()) for part in (p[p.fold == fold], p[p.fold != fold])])
+    assert both[1] == pytest.approx(tuple(np.mean(found, axis=0)), abs=1e-9)
+
+
 @pytest.mark.parametrize("name", list(models.MODELS))
 def test_every_model_builds(name):
     spec = models.MODELS[name]
