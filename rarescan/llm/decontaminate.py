@@ -14,9 +14,11 @@ it.  Frequencies choose the work, never the result.  The score is the local alig
 share of the item's perfect score, so edited, cut and paraphrased copies score by how
 much of the item, in order, is left.
 
-Words are runs of letters, digits and underscores, lowered.  Defined cases: a null or
-empty text matches nothing; an item of fewer than ``ITEM_WORDS`` words cannot be
-told from chance and is left out; a match shares one pair at least, whatever ``least``;
+Words are runs of letters, digits and underscores, lowered; in scripts written without
+spaces every letter is a word.  Defined cases: a null or empty text matches nothing; an
+item of fewer than ``ITEM_WORDS`` words cannot be told from chance inside other text: with
+``short`` it is found, at score 1, where a line of a document has its words and no other,
+else it is left out; a match shares one pair at least, whatever ``least``;
 repeated items and documents are matched each; without a benchmark nothing matches;
 further columns of documents are kept.
 """
@@ -42,18 +44,25 @@ CHUNK = 1 << 20
 HITS = 4096  # places of seeds that are widened to items at a time
 MATCH, MISMATCH, GAP = 2, -1, 1
 
-WORD = re.compile(r"\w+")
+# Blocks of scripts that put no spaces between words (Thai and Lao, Myanmar, Khmer,
+# ideographic marks, kana, ideographs, their compatibility forms, half-width kana, supplements).
+UNSPACED = "\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005-\u3007\u3041-\u30FF\u31F0-\u31FF" + (
+    "\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\U00020000-\U0003FFFF"
+)
+ASCII_WORD = re.compile(r"\w+")
+WORD = re.compile(rf"[^\W{UNSPACED}]+|(?=\w)[{UNSPACED}]")
 
 
 def words_of(text: str | None) -> Iterator[list[str]]:
     """The words of a whole text, some at a time."""
     text = text or ""
+    word = ASCII_WORD if text.isascii() else WORD
     at = 0
     while at < len(text):
         end = at + CHUNK
         while end < len(text) and (text[end].isalnum() or text[end] == "_"):
             end += 1
-        yield WORD.findall(text[at:end].lower())
+        yield word.findall(text[at:end].lower())
         at = end
 
 
@@ -97,6 +106,11 @@ class Block:
     """Some benchmark items, and what of a document is like them."""
 
     def __init__(self, items: list[tuple[int | None, list[str]]]):
+        self.short: dict[tuple[str, ...], list[int | None]] = defaultdict(list)
+        for item_id, words in items:
+            if len(words) < ITEM_WORDS:
+                self.short[tuple(words)].append(item_id)
+        items = [(item_id, words) for item_id, words in items if len(words) >= ITEM_WORDS]
         self.vocabulary: dict[str, int] = {}
         number = self.vocabulary.setdefault
         self.items = [
@@ -106,10 +120,11 @@ class Block:
         self.base = len(self.vocabulary) + 1
         pairs = [pairs_of(ids, self.base) for _, ids in self.items]
         self.pairs = [np.unique(keys) for _, keys in pairs]
+        none = [np.zeros(0, np.int64)]
         self._seed(
-            np.concatenate([keys for _, keys in pairs]),
+            np.concatenate([keys for _, keys in pairs] or none),
             np.repeat(np.arange(len(pairs)), [len(keys) for _, keys in pairs]),
-            np.concatenate([at for at, _ in pairs]),
+            np.concatenate([at for at, _ in pairs] or none),
         )
 
     def _seed(self, keys: np.ndarray, items: np.ndarray, places: np.ndarray) -> None:
@@ -128,6 +143,8 @@ class Block:
     def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the pairs that are in ``keys``, and which they are."""
         places, keys = pairs_of(ids, self.base)
+        if not len(self.keys):
+            return places[:0], places[:0]
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         found = np.flatnonzero(self.keys[at] == keys)
         return places[found], at[found]
@@ -188,9 +205,27 @@ class Block:
                 parts.append((lo, hi))
         return parts
 
+    def lines(self, text: str | None) -> list[tuple[int | None, float, int, int]]:
+        """The short items that are all the words of a line, at the first such line of the text."""
+        first: dict[tuple[str, ...], int] = {}
+        begin = 0
+        for line in (text or "").split("\n") if self.short else ():
+            words = [w for some in words_of(line) for w in some]
+            if len(words) < ITEM_WORDS and tuple(words) in self.short:
+                first.setdefault(tuple(words), begin)
+            begin += len(words)
+        return [
+            (item_id, 1.0, at, at + len(words)) for words, at in first.items() for item_id in self.short[words]
+        ]
+
+    def found(self, text: str | None, least: float) -> list[tuple[int | None, float, int, int]]:
+        """Like ``matches``, short items included, with the items' ids."""
+        long = [(self.items[n][0], *rest) for n, *rest in self.matches(text, least)]
+        return long + self.lines(text)
+
     def matches(self, text: str | None, least: float) -> list[tuple[int, float, int, int]]:
         """(item number, score, first word of the passage, word after its last) of each item found."""
-        ids = self.ids(text)
+        ids = self.ids(text) if self.items else np.zeros(0, np.int64)
         found = []
         for n, spans in self.windows(ids, least).items():
             item = self.items[n][1]
@@ -212,12 +247,12 @@ def _edits(size: int, least: float) -> int:
     return math.ceil(2 * size * (1 - least))
 
 
-def blocks(benchmark: DataFrame) -> Iterator[Block]:
+def blocks(benchmark: DataFrame, short: bool = False) -> Iterator[Block]:
     """The items in blocks of about BLOCK_WORDS words; one block at a time is on the driver."""
     items, size = [], 0
     for item_id, text in narrow(benchmark, item_id="bigint", text="string").toLocalIterator():
         words = [w for some in words_of(text) for w in some]
-        if len(words) >= ITEM_WORDS:
+        if len(words) >= (1 if short else ITEM_WORDS):
             items.append((item_id, words))
             size += len(words)
         if size >= BLOCK_WORDS:
@@ -230,6 +265,8 @@ def blocks(benchmark: DataFrame) -> Iterator[Block]:
 def seeded(texts: DataFrame, block: Block, least: float):
     """The block with its rare seeds, counted over all rows of ``texts``, sent to the tasks."""
     context = texts.sparkSession.sparkContext
+    if not block.items:
+        return context.broadcast(block)
     whole = context.broadcast(block)  # bounded by BLOCK_WORDS
 
     def count(batches):
@@ -250,7 +287,9 @@ def seeded(texts: DataFrame, block: Block, least: float):
     return context.broadcast(block)
 
 
-def find(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+def find(
+    docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, short: bool = False
+) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word): each item a document holds."""
     texts = narrow(docs, doc_id="bigint", text="string")
     schema = "doc_id bigint, item_id bigint, score double, first_word bigint, last_word bigint"
@@ -259,16 +298,16 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> D
          ("first_word", pa.int64()), ("last_word", pa.int64())]
     )
     found = docs.sparkSession.createDataFrame([], schema)
-    for block in blocks(benchmark):
+    for block in blocks(benchmark, short):
         shared = seeded(texts.select("text"), block, least)
 
         def run(batches, shared=shared):
             b = shared.value
             for batch in batches:
                 rows = [
-                    (key, b.items[n][0], score, lo, hi)
+                    (key, *match)
                     for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True)
-                    for n, score, lo, hi in b.matches(text, least)
+                    for match in b.found(text, least)
                 ]
                 columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
                 yield pa.RecordBatch.from_arrays(
@@ -279,18 +318,20 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> D
     return found
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+def remove(
+    docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, short: bool = False
+) -> DataFrame:
     """The documents that hold no item of the benchmark, as they came."""
     text_at = docs.columns.index("text")
     kept = docs
-    for block in blocks(benchmark):
+    for block in blocks(benchmark, short):
         shared = seeded(docs.select(F.col("text").cast("string")), block, least)
 
         def run(batches, shared=shared):
             b = shared.value
             for batch in batches:
                 texts = batch.column(text_at).to_pylist()
-                yield batch.filter(pa.array([not b.matches(t, least) for t in texts], pa.bool_()))
+                yield batch.filter(pa.array([not b.found(t, least) for t in texts], pa.bool_()))
 
         kept = bounded_batches(kept).mapInArrow(run, docs.schema)
     return kept

@@ -67,7 +67,8 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents hold which benchmark item, by alignment score."""
-    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.find(docs, benchmark, short=True)
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -189,6 +189,27 @@ def test_decontamination_of_the_table(spark, sf_dir):
     assert len(found - expected) <= 0.1 * len(expected)
 
 
+def test_decontamination_without_spaces_and_of_short_items(spark, monkeypatch):
+    chinese = "水在标准大气压下沸腾时的温度是一百摄氏度"
+    thai = "ประเทศไทยมีเมืองหลวงชื่อกรุงเทพมหานคร"
+    items = [(1, chinese), (2, thai), (3, "Four!"), (4, "a b c"), (5, "河山"), (5, "河山"), (6, " - "), (None, "Four")]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    edited = chinese[:6] + "新" + chinese[7:]
+    rows = [
+        (1, f"他说{chinese}。"), (2, f"เขาพูดว่า{thai}ครับ"), (3, f"{story(0, 50)} {edited}"), (4, "one\n four \nx"),
+        (5, "four a b c"), (6, "A, B, C"), (7, "x\n「河山」"), (8, "河山大"), (9, chinese[:5]), (10, None), (11, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for size in (decontaminate.BLOCK_WORDS, 1):
+        monkeypatch.setattr(decontaminate, "BLOCK_WORDS", size)
+        found = Counter((r.doc_id, r.item_id) for r in decontaminate.find(docs, benchmark, short=True).collect())
+        assert found == Counter([(1, 1), (2, 2), (3, 1), (4, 3), (4, None), (6, 4), (7, 5), (7, 5)])
+        left = sorted(r.doc_id for r in decontaminate.remove(docs, benchmark, short=True).collect())
+        assert left == [5, 8, 9, 10, 11]
+    places = {(r.doc_id, r.item_id): (r.first_word, r.last_word) for r in decontaminate.find(docs, benchmark, short=True).collect()}
+    assert places[1, 1] == (2, 2 + len(chinese)) and places[4, 3] == (1, 2) and places[7, 5] == (1, 3)
+
+
 def test_seeds_by_brute_force():
     """Whatever the score accepts is found, also without four unchanged words in a row."""
     rng = np.random.default_rng(11)
