@@ -33,7 +33,7 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"), short=True)
 
 
 def hide_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
