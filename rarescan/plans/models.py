@@ -10,13 +10,11 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator
-from pyspark.ml.classification import (
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import RandomForestClassifier
 
 from rarescan.operators.boosting import HistogramBooster
 from rarescan.operators.isolation import IsolationForest
+from rarescan.operators.logistic import PenalisedLogistic
 from rarescan.operators.perceptron import PerceptronClassifier
 
 NO_DEPTH_LIMIT = 30  # the deepest tree MLlib grows
@@ -98,14 +96,8 @@ def _boosted(name: str, ctx: FitContext, p: Mapping, **settings) -> Estimator:
 
 
 def _logreg(p: Mapping, ctx: FitContext) -> Estimator:
-    # C multiplies the summed loss; regParam stands before the penalty of the mean loss
-    return LogisticRegression(
-        regParam=1.0 / (p["C"] * ctx.total_weight),
-        elasticNetParam=1.0 if p["penalty"] == "l1" else 0.0,
-        standardization=False,
-        maxIter=p.get("max_iter", 1000),
-        **_common("logreg", ctx),
-    )
+    settings = {n: p[n] for n in ("C", "penalty", "max_iter") if n in p}
+    return PenalisedLogistic(keyCol=ctx.key, settings=json.dumps(settings), **_common("logreg", ctx))
 
 
 def _depth(value) -> int:

@@ -770,6 +770,46 @@ e AS (SELECT *, 1 / (1 + exp(-m)) AS p, w * (1 / (1 + exp(-m)) - y) AS e,
 SELECT rows, -1 AS place, round(sum(w * (ln(1 + exp(m)) - y * m)) / sum(w), 6) AS value FROM e GROUP BY rows
 {' '.join(f'UNION ALL SELECT rows, {k}, round(sum({v}) / sum(w), 6) FROM e GROUP BY rows' for k, v in enumerate(_SLOPES))}"""
 
+
+
+def _det(a: list[list[str]]) -> str:
+    """Determinant of three rows of three expressions."""
+    minor = lambda i, j: f"(({a[1][i]}) * ({a[2][j]}) - ({a[1][j]}) * ({a[2][i]}))"
+    return f"(({a[0][0]}) * {minor(1, 2)} - ({a[0][1]}) * {minor(0, 2)} + ({a[0][2]}) * {minor(0, 1)})"
+
+
+def _newton(k: int, last: str, ridge: int, pull: tuple[str, str, str]) -> str:
+    """Rows ``last`` to n{k}: one Newton step to where the slope of the loss is ``-pull``."""
+    h = [[f"c * h{min(i, j)}{max(i, j)}" + (f" + {ridge}" if i == j else "") for j in range(3)] for i in range(3)]
+    g = [f"c * g{i} + {pull[i]}" for i in range(3)]
+    moved = [
+        f"b{i} - {_det([[g[r] if j == i else h[r][j] for j in range(3)] for r in range(3)])} / {_det(h)} AS b{i}"
+        for i in range(3)
+    ]
+    u = ("u0", "u1", "1e0")
+    sums = [f"sum(w * (p - y) * {u[i]}) AS g{i}" for i in range(3)]
+    sums += [f"sum(w * p * (1 - p) * {u[i]} * {u[j]}) AS h{i}{j}" for i in range(3) for j in range(i, 3)]
+    return f"""
+n{k} AS MATERIALIZED (SELECT m, c, {', '.join(moved)}, s0, s1, s2 FROM (SELECT m, c, b0, b1, b2, s0, s1, s2, {', '.join(sums)}
+  FROM (SELECT *, 1 / (1 + exp(-(b0 * u0 + b1 * u1 + b2))) AS p FROM {last} JOIN r USING (m)) GROUP BY m, c, b0, b1, b2, s0, s1, s2))"""
+
+
+# The l1 minimum has the signs of the l2 one here; there its slope is their negative.
+_NEWTON = 10
+_RIDGE = ("b0", "b1", "b2")
+_SIGNS = ("s0", "s1", "s2")
+ORACLES["lr_coefficients"] = f"""
+WITH {TRAIN},
+r AS MATERIALIZED (SELECT m, coalesce(customer_age, 0) / 50e0 AS u0, CAST(coalesce(keep_alive_session, 0) AS DOUBLE) AS u1,
+  fraud_bool AS y, sum(1e0 + 20 * fraud_bool) AS w
+  FROM train, (VALUES (0), (1), (2), (-1)) AS v(m) WHERE application_id % 3 <> m GROUP BY ALL),
+n0 AS (SELECT m, c, 0e0 AS b0, 0e0 AS b1, 0e0 AS b2, 0e0 AS s0, 0e0 AS s1, 0e0 AS s2
+  FROM (SELECT DISTINCT m FROM r), (VALUES (0.1e0), (1e0), (10e0)) AS v(c)),
+{','.join(_newton(k + 1, f'n{k}', 1, _RIDGE) for k in range(_NEWTON))},
+l AS (SELECT m, c, b0, b1, b2, sign(b0) AS s0, sign(b1) AS s1, sign(b2) AS s2 FROM n{_NEWTON}),
+{','.join(_newton(_NEWTON + k + 1, f'n{_NEWTON + k}' if k else 'l', 0, _SIGNS) for k in range(_NEWTON))}
+{' UNION ALL '.join(f"SELECT m AS without_fold, '{name}' AS penalty, c, {i} AS place, round(b{i}, 6) AS value FROM n{k}" for name, k in (('l2', _NEWTON), ('l1', 2 * _NEWTON)) for i in range(3))}"""
+
 ORACLES["report_sections"] = f"""
 WITH {APPS}, t AS (SELECT fraud_bool, count(*) AS n, count(*) * 100e0 / sum(count(*)) OVER () AS pct FROM apps GROUP BY 1),
 m AS (SELECT month, count(*) AS n, CAST(sum(fraud_bool) AS BIGINT) AS pos, sum(fraud_bool) * 1e0 / count(*) AS pos_rate

@@ -22,6 +22,7 @@ from rarescan.operators import (
     decisions,
     explain,
     features,
+    logistic,
     metrics,
     perceptron,
     preprocess,
@@ -740,6 +741,29 @@ def mlp_gradient(spark, sf):
     return profile.small_table(spark, found, "rows string, place int, value double")
 
 
+LOGISTIC_C = (0.1, 1.0, 10.0)
+
+
+@query
+def lr_coefficients(spark, sf):
+    """Coefficients (the intercept is the last) for both penalties, each fold left out and no fold (-1)."""
+    x = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) / s for c, s in (("customer_age", 50), ("keep_alive_session", 1))]
+    rows = applications(spark, sf, "train").select(
+        KEY, LABEL, (F.col(KEY) % 3).cast("int").alias("fold"), (1 + 20 * F.col(LABEL)).alias("w"),
+        array_to_vector(F.array(*x)).alias("features"),
+    )
+    hows = [
+        logistic.Logistic(C=c, penalty=penalty, without_fold=fold)
+        for fold in (*range(3), None) for penalty in ("l1", "l2") for c in LOGISTIC_C
+    ]
+    found = []
+    for how, model in zip(hows, logistic.fit(rows, hows, LABEL, KEY, weight=F.col("w"), fold="fold")):
+        fold = -1 if how.without_fold is None else how.without_fold
+        values = [*model.coefficients, model.intercept]
+        found += [(fold, how.penalty, how.C, n, round(float(v), DIGITS)) for n, v in enumerate(values)]
+    return profile.small_table(spark, found, "without_fold int, penalty string, c double, place int, value double")
+
+
 @query
 def boost_leafwise_trees(spark, sf):
     """First trees of three folds and of all rows, grown together best leaf first: splits and leaves."""

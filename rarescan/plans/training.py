@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rarescan.config import BANK_APPLICATIONS, SETTINGS, Roles, Settings
-from rarescan.operators import boosting, curves, perceptron, sampling
+from rarescan.operators import boosting, curves, logistic, perceptron, sampling
 from rarescan.operators.preprocess import preprocessor
 from rarescan.plans.models import (
     BOOSTED,
@@ -36,7 +36,7 @@ from rarescan.sources.store import Store
 WEIGHT = "weight"
 PARALLEL_FITS = 4
 # Models whose candidates and folds are fitted in the same passes.
-SHARED_FITS = {**dict.fromkeys(BOOSTED, boosting.fit), "mlp": perceptron.fit}
+SHARED_FITS = {**dict.fromkeys(BOOSTED, boosting.fit), "mlp": perceptron.fit, "logreg": logistic.fit}
 JUDGED_AT_ONCE = 20  # candidates whose scores are columns of one table
 
 
@@ -154,8 +154,8 @@ def search(
 ) -> tuple[Mapping, float | None, float | None]:
     """Best parameters by mean cross-validated ROC-AUC; also the train/CV gap.
 
-    Boosting and perceptrons fit all candidates and folds in the same passes.  For other
-    models, and with undersampling, preprocessing, which has nothing to search, is fitted
+    Boosting, perceptrons and logistic regressions fit all candidates and folds in the same
+    passes.  For other models, and with undersampling, preprocessing, which has nothing to search, is fitted
     once per fold and shared by all candidates; candidates of a fold run side by side.
     """
     candidates = spec.candidates(settings.seed) if candidates is None else list(candidates)
