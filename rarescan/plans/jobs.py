@@ -59,7 +59,7 @@ def prepare(
         numeric = [c for c in roles.numeric if c in df.columns]
         df = profile.narrow_types(df, profile.type_plan(train, [*numeric, roles.label]))
     store.write_splits(df)
-    written = read_table(spark, store.path("splits"))
+    written = store.read_splits()
     return sampling.split_summary(written, roles.label)
 
 

@@ -695,6 +695,7 @@ ORACLES["stream_decisions"] = f"""
 WITH {APPS}, {committee_sql('apps')}
 SELECT decision, outcome, count(*) AS n, CAST(sum(application_id) AS BIGINT) AS key_sum FROM judged GROUP BY 1, 2"""
 ORACLES["stream_running_totals"] = ORACLES["outcome_counts"]
+ORACLES["stream_running_cost"] = ORACLES["cost_report"]
 
 ORACLES["stream_event_tiers"] = """
 WITH e AS (SELECT *, least(value / 500e0, 0.999e0) AS score, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS y FROM events),

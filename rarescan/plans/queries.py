@@ -917,6 +917,17 @@ def stream_running_totals(spark, sf):
     return spark.read.parquet(out)
 
 
+@query
+def stream_running_cost(spark, sf):
+    """The cost report as streaming state, read from its newest version."""
+    source = applications(spark, sf)
+    stream = streams.read_stream(spark, prepared_path(spark, sf), source.schema, files_per_batch=2)
+    out, checkpoint = new_path(spark, "cost"), new_path(spark, "stream")
+    totals = decisions.cost_report(_committee(stream.select(KEY, LABEL, *SCORES)), LABEL)
+    streams.finished(streams.write_versions(totals, out, checkpoint))
+    return streams.read_newest(spark, out)
+
+
 EVENT_THRESHOLD = 0.7
 
 

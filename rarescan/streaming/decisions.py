@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rarescan.operators.decisions import outcome
+from rarescan.sources import versions
+from rarescan.sources.tables import read_table
 
 BATCH = "batch"
 
@@ -84,6 +86,29 @@ def write_running_totals(
     )
 
 
+def write_versions(totals: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
+    """Start a query that publishes each state of a streaming aggregate as the newest version of ``out``.
+
+    ``totals`` is small, as outcome counts or a cost report.  A reader (``read_newest``) sees the totals before
+    or after a batch, never none; a replayed batch publishes what the state gives, which is the same.
+    """
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        versions.publish_table(batch.coalesce(1), out)
+
+    return (
+        totals.writeStream.outputMode("complete")
+        .foreachBatch(publish)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def read_newest(spark: SparkSession, out: str) -> DataFrame:
+    return read_table(spark, versions.newest(spark, out))
+
+
 def finished(query) -> None:
     """Wait for an availableNow query; its error, if any, is raised here."""
     query.awaitTermination()
