@@ -49,14 +49,15 @@ MATCH, MISMATCH, GAP = 2, -1, 1
 UNSPACED = "\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005-\u3007\u3041-\u30FF\u31F0-\u31FF" + (
     "\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\U00020000-\U0003FFFF"
 )
-ASCII_WORD = re.compile(r"\w+")
+SPACED_WORD = re.compile(r"\w+")
 WORD = re.compile(rf"[^\W{UNSPACED}]+|(?=\w)[{UNSPACED}]")
+ANY_UNSPACED = re.compile(f"[{UNSPACED}]")
 
 
 def words_of(text: str | None) -> Iterator[list[str]]:
     """The words of a whole text, some at a time."""
     text = text or ""
-    word = ASCII_WORD if text.isascii() else WORD
+    word = SPACED_WORD if text.isascii() or not ANY_UNSPACED.search(text) else WORD
     at = 0
     while at < len(text):
         end = at + CHUNK
