@@ -81,3 +81,22 @@ def test_odd_tables(rows):
     assert np.isfinite(perceptron.fit(nulls, [how], "y", "k", weight=F.col("w"))[0].flat).all()
     with pytest.raises(ValueError):
         Perceptron(activation="step")
+
+
+def test_written_blocks_and_row_groups_are_small(spark):
+    import pyarrow.parquet as pq
+
+    from rarescan.operators.perceptron import BLOCK_BYTES, Rows
+    from rarescan.sources.shared import ROW_GROUP_BYTES
+
+    x = array_to_vector(F.transform(F.sequence(F.lit(1), F.lit(100)), lambda i: F.rand(7) + i))
+    df = spark.range(40_000, numPartitions=1).select("id", (F.col("id") % 2).alias("y"), x.alias("features"))
+    rows = Rows(df, "y", "id", "features", None, None, 1 << 62, validation=False)
+    assert rows.blocks.agg(F.sum("n"), F.max(F.length("x")) <= BLOCK_BYTES).first()[:] == (40_000, True)
+    groups = [
+        pq.ParquetFile(f.removeprefix("file://")).metadata.row_group(g).total_byte_size
+        for f in rows.blocks.inputFiles()
+        for g in range(pq.ParquetFile(f.removeprefix("file://")).num_row_groups)
+    ]
+    assert sum(groups) > 30_000_000 and max(groups) < 2 * ROW_GROUP_BYTES
+    rows.close()
