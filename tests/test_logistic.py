@@ -121,3 +121,18 @@ def test_estimator_scores_and_saves(rows, tmp_path):
         assert np.allclose([r["rawPrediction"][1] for r in got], margin)
         assert np.allclose([r["probability"][1] for r in got], 1 / (1 + np.exp(-margin)))
         assert [r["prediction"] for r in got] == (margin > 0).astype(float).tolist()
+
+
+def test_l1_step_without_sweeps_where_columns_repeat(monkeypatch):
+    monkeypatch.setattr(logistic, "SWEEPS", 0)
+    random = np.random.default_rng(2)
+    x = random.normal(size=(500, 30))
+    x[:, 20:] = x[:, :10]  # the same columns twice
+    x[:, 15] = 0
+    how, start = Logistic(C=10.0, penalty="l1"), np.zeros(30)
+    start[[0, 20, 4]] = 0.3, -0.1, 2.0
+    slope, gram = x.T @ random.normal(size=500), x.T @ x
+    end = start + logistic.newton_step(how, start, slope, gram)
+    pull = how.C * (slope + gram @ (end - start))
+    used = end != 0
+    assert used.any() and np.allclose(pull[used], -np.sign(end[used]), atol=1e-6) and np.all(np.abs(pull) <= 1 + 1e-6)
