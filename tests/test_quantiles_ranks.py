@@ -111,3 +111,15 @@ def test_no_single_task_under_row_windows(table):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert "hashpartitioning(feature" in plan
+
+
+def test_small_groups_are_shuffled_once_as_whole_rows(spark):
+    rows = [(i % 40 if i % 41 else None, float(i * 7 % 23), None if i % 5 == 0 else i * 0.5, int(i % 3 == 0)) for i in range(800)]
+    df = spark.createDataFrame(rows, "g int, a double, b double, y int")
+    columns = ["a", "b"]
+    whole = ranks.running_counts(df, columns, "y", by=["g"])
+    dealt = ranks.running_counts(df, columns, "y", by=["g"], rows_per_bucket=50)
+    assert sorted(map(str, dealt.select(whole.columns).collect())) == sorted(map(str, whole.collect()))
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("Initial Plan")[-1]
+    assert initial.count("Exchange ") == 1 and "hashpartitioning(g" in initial
