@@ -1,4 +1,5 @@
 import math
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -191,3 +192,45 @@ def test_mann_whitney_is_exact_for_few_untied_rows(spark):
     got = {r.g: r for r in association.mann_whitney(df, ["x"], "y", by=["g"]).collect()}
     assert got["a"].u_stat == 12 and got["a"].p_value == pytest.approx(2 / 28)
     assert got["b"].p_value == pytest.approx(0.4142, abs=1e-3) and got["c"].p_value == 1.0
+
+
+def test_mi_knn_over_many_blocks(spark):
+    rng = np.random.default_rng(21)
+    n = 900
+    y = np.where(rng.random(n) < 0.04, 1, np.where(rng.random(n) < 0.5, 2, 0))
+    gap = np.where(rng.random(n) < 0.5, 0.0, 1000.0) + rng.normal(size=n)
+    rows = [(i, int(c), float(g), float(i % 2), float(v)) for i, (c, g, v) in enumerate(zip(y, gap, y + rng.normal(size=n)))]
+    df = spark.createDataFrame(rows, "k int, y int, gap double, two double, signal double")
+    names = ["gap", "two", "signal"]
+    got = {r["feature"]: r["mi"] for r in association.mi_knn(df, "k", names, "y", "s", rows_per_bucket=11).collect()}
+    one = {r["feature"]: r["mi"] for r in association.mi_knn(df, "k", names, "y", "s").collect()}
+    cells = association._grid(df, "k", names, "y", "s").toPandas()
+    for c, own in cells.groupby("feature"):
+        expected = brute_neighbor_mi(own["v"].to_numpy(), own["y"].to_numpy())
+        assert got[c] == pytest.approx(expected, abs=1e-9) == one[c], c
+
+
+def test_mi_knn_rows_of_one_key_and_class_are_one_term(spark):
+    rng = np.random.default_rng(22)
+    rows = [(None if i % 50 == 0 else i // 2, int(i % 6 < 2), float(rng.normal())) for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, y int, x double")
+    cells = association._grid(df, "k", ["x"], "y", "s").toPandas()
+    v, y = cells["v"].to_numpy(), cells["y"].to_numpy()
+    distance, terms = np.abs(v[:, None] - v[None, :]), {}
+    for i, key in enumerate(cells["key"].astype(object).where(cells["key"].notna(), None)):
+        reach = max(1, np.sort(distance[i, y == y[i]])[3]) - 1
+        terms[key, y[i]] = terms.get((key, y[i]), 0) + (distance[i] <= reach).sum()
+    digamma = lambda n: sum(1.0 / i for i in range(1, int(n))) - np.euler_gamma
+    values = [digamma(3) - digamma((y == c).sum()) - digamma(n) for (_, c), n in terms.items()]
+    for size in (7, 1000):
+        got = association.mi_knn(df, "k", ["x"], "y", "s", rows_per_bucket=size).first()["mi"]
+        assert got == pytest.approx(max(0.0, digamma(len(terms)) + np.mean(values)), abs=1e-9)
+
+
+def test_mi_knn_writes_few_bytes_a_cell(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    size = lambda: sum(f.stat().st_size for f in shared.rglob("*.parquet"))
+    df = spark.range(20_000).select("id", *[F.rand(i).alias(f"c{i}") for i in range(5)], (F.col("id") % 50 == 0).cast("int").alias("y"))
+    before = size()
+    association.mi_knn(df, "id", [f"c{i}" for i in range(5)], "y", "s").collect()
+    assert size() - before < 2 * 100_000  # of 100,000 cells
