@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from rarescan.sources.shared import discard, materialize
 
-from .common import bounded_batches
+from .common import bounded_batches, free_unused
 
 ORDER = 2
 K = 5  # counts up to this have Turing's own estimate
@@ -100,6 +100,19 @@ def _extend(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _mix(context * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``np.unique`` with the inverse, in two thirds of its memory."""
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.ones(len(values), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    found = ordered[new]
+    del ordered
+    of = np.empty(len(values), np.int32)
+    of[order] = np.cumsum(new, dtype=np.int32) - 1
+    return found, of
+
+
 # ---- documents to tokens --------------------------------------------------------------
 
 
@@ -141,10 +154,13 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if held and size + batch.nbytes > BATCH_BYTES:
             yield flush()
             held, size = [], 0
+            free_unused()
         held.append(batch)
         size += batch.nbytes
     if size:
         yield flush()
+    held.clear()
+    free_unused()
 
 
 def encode(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -158,20 +174,25 @@ def encode(docs: DataFrame, held_out: Column) -> DataFrame:
 
 
 class Batch:
-    """A batch's n-grams: per level the distinct keys, and which of them each token ends."""
+    """A batch's tokens, and its n-grams level by level."""
 
-    def __init__(self, row: dict, order: int):
+    def __init__(self, row: dict):
         self.number, self.docs = row["batch"], row["docs"]
         self.held = np.array(row["held"], bool)
         self.lengths = np.array(row["lengths"], np.int64)
-        self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
-        starts = np.cumsum(self.lengths) - self.lengths
-        self.place = np.arange(len(self.doc)) - starts[self.doc]
-        word = np.frombuffer(row["words"], np.uint64)[np.frombuffer(_expand(row["tokens"]), np.uint32)]
-        self.contexts = [self._before(word, level) for level in range(1, order)]
-        keys = [word, *(_extend(context, word) for context in self.contexts)]
-        found = [np.unique(k, return_inverse=True) for k in keys]
-        self.keys, self.of = [k for k, _ in found], [of for _, of in found]
+        self.doc = np.repeat(np.arange(len(self.lengths), dtype=np.int32), self.lengths)
+        starts = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
+        self.place = np.arange(len(self.doc), dtype=np.int32) - starts[self.doc]
+        self.word = np.frombuffer(row["words"], np.uint64)[np.frombuffer(_expand(row["tokens"]), np.uint32)]
+
+    def before(self, level: int) -> np.ndarray:
+        """Key of the ``level`` tokens before each."""
+        return self._before(self.word, level)
+
+    def grams(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct keys of ``level + 1`` tokens, and which of them each token ends."""
+        key = _extend(self.before(level), self.word) if level else self.word
+        return _distinct(key)
 
     def _before(self, word: np.ndarray, count: int) -> np.ndarray:
         """Key of the ``count`` tokens before each; START stands before a document."""
@@ -190,9 +211,8 @@ class Batch:
         out[self.place == 0] = start
         return out
 
-    def occurrences(self, level: int, held: bool) -> np.ndarray:
-        chosen = self.of[level][self.held[self.doc] == held]
-        return np.bincount(chosen, minlength=len(self.keys[level]))
+    def occurrences(self, of: np.ndarray, count: int, held: bool) -> np.ndarray:
+        return np.bincount(of[self.held[self.doc] == held], minlength=count)
 
 
 # ---- counts -------------------------------------------------------------------------
@@ -214,10 +234,11 @@ def _ask(batches: Iterator[pa.RecordBatch], order: int, slices: int) -> Iterator
         + [(n, pa.binary()) for n in ("keys", "counts", "held")]
     )
     for row in (r for b in batches for r in b.to_pylist()):
-        batch = Batch(row, order)
-        for level, keys in enumerate(batch.keys):
-            counts = batch.occurrences(level, False)
-            held = batch.occurrences(level, True) > 0
+        batch = Batch(row)
+        for level in range(order):
+            keys, of = batch.grams(level)
+            counts = batch.occurrences(of, len(keys), False)
+            held = batch.occurrences(of, len(keys), True) > 0
             rows = [
                 (
                     level, number, batch.number, hi - lo,
@@ -228,6 +249,9 @@ def _ask(batches: Iterator[pa.RecordBatch], order: int, slices: int) -> Iterator
             ]
             columns = zip(*rows) if rows else [[]] * len(schema)
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            del keys, of, counts, held, rows, columns  # not beside the next level's or batch's
+        del row, batch
+        free_unused()
 
 
 def _answer(table: pa.Table) -> pa.Table:
@@ -334,31 +358,36 @@ def _score(
     """What a batch knows: its documents' scores but for weights, its shares of the contexts whose
     n-grams it speaks for, and the contexts whose weights its documents need."""
     (row,) = tokens.to_pylist()
-    batch = Batch(row, len(levels))
+    batch = Batch(row)
+    grams = [batch.grams(level) for level in range(len(levels))]
+    keys_of, token_of = [keys for keys, _ in grams], [of for _, of in grams]
     given = {(r["level"], r["slice"]): r for r in answers.to_pylist()}
 
     def read(level, name, how):
-        parts = [given[level, n] for n, *_ in _slices(batch.keys[level], slices)]
+        parts = [given[level, n] for n, *_ in _slices(keys_of[level], slices)]
         return np.concatenate([how(r[name], r["size"]) for r in parts])
 
     counts = [read(level, "counts", _unpack).astype(np.int64) for level in range(len(levels))]
-    words, seen = levels[0], counts[0][batch.of[0]]
+    words, seen = levels[0], counts[0][token_of[0]]
     known = seen > 0
-    base = np.log10((seen + 1) / (words.tokens + words.distinct + 1))
+    total = lambda values: np.bincount(batch.doc, values, len(batch.lengths))
+    base = total(np.log10((seen + 1) / (words.tokens + words.distinct + 1)))
+    n_known = total(known).astype(np.int64)
     value = words.reduced(counts[0]) / max(words.tokens, 1)  # of each distinct n-gram
-    log = np.log10(np.where(known, value[batch.of[0]], unknown))
+    log = np.log10(np.where(known, value[token_of[0]], unknown))
     out = []
     for level in range(1, len(levels)):
-        own, of_key = levels[level], batch.of[level]
+        own, of_key = levels[level], token_of[level]
         size = batch.after(seen, documents)  # how often the context occurs
-        wanted = batch.after(read(level - 1, "held", _bits)[batch.of[level - 1]], True)
+        wanted = batch.after(read(level - 1, "held", _bits)[token_of[level - 1]], True)
         seen = counts[level][of_key]
-        contexts, of = np.unique(batch.contexts[level - 1], return_inverse=True)
-        one = np.unique(of_key, return_index=True)[1]  # a token of each distinct n-gram
+        contexts, of = _distinct(batch.before(level))
+        one = np.empty(len(keys_of[level]), np.int32)  # a token of each distinct n-gram, its first
+        one[of_key[::-1]] = np.arange(len(of_key) - 1, -1, -1, dtype=np.int32)
         # each n-gram of the corpus once, where a held-out document may back off
         said = one[read(level, "first", _bits) & wanted[one]]
         add = lambda values: np.bincount(of[said], values, len(contexts))
-        mass, lost = add(value[batch.of[level - 1][said]]), add(own.lost(seen[said]))
+        mass, lost = add(value[token_of[level - 1][said]]), add(own.lost(seen[said]))
         sizes = np.zeros(len(contexts), np.int64)
         sizes[of] = size
         some = lost > 0
@@ -369,7 +398,8 @@ def _score(
             )
         )
         backs = (seen == 0) & (size > 0)
-        pair, n = np.unique(batch.doc[backs] * len(contexts) + of[backs], return_counts=True)
+        del wanted, said
+        pair, n = np.unique(batch.doc[backs].astype(np.int64) * len(contexts) + of[backs], return_counts=True)
         doc, context = np.divmod(pair, len(contexts))
         out.append(
             _rows(
@@ -378,13 +408,13 @@ def _score(
             )
         )
         value = own.reduced(counts[level]) / np.maximum(size[one], 1)
-        log = np.where(seen > 0, np.log10(value[of_key], where=seen > 0, out=np.zeros(len(seen))), log)
-    total = lambda values: np.bincount(batch.doc, values, len(batch.lengths))
+        del contexts, of, one, pair, doc, context, backs, size
+        np.log10(value[of_key], where=seen > 0, out=log)  # the others keep the shorter context's
     out.append(
         _rows(
             DOCUMENT, batch=batch.number, at=np.arange(len(batch.lengths)), doc_id=batch.docs,
-            held_out=batch.held, n_tokens=batch.lengths, n_known=total(known).astype(np.int64),
-            base_score=total(base), score=total(log),
+            held_out=batch.held, n_tokens=batch.lengths, n_known=n_known,
+            base_score=base, score=total(log),
         )
     )
     return pa.concat_tables(out)
@@ -422,7 +452,9 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER) -> DataFrame:
     unknown = lost / levels[0].tokens if levels[0].tokens else 1.0
 
     def scored(tokens: pa.Table, answers: pa.Table) -> pa.Table:
-        return _score(tokens, answers, levels, unknown, documents, slices)
+        found = _score(tokens, answers, levels, unknown, documents, slices)
+        free_unused()
+        return found
 
     both = tokens.groupBy("batch").cogroup(answers.groupBy("batch"))
     found = materialize(both.applyInArrow(scored, SCORED), "scored", ("kind",))

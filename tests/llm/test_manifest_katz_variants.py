@@ -340,3 +340,27 @@ def test_equal_letter_counts_take_time_in_line_with_words():
     some = list(zip(q.tolist(), p.tolist()))
     assert all(one_edit(asked[i], points[j]) for i, j in some)
     assert {(asked[i], points[j]) for i, j in some} >= {(w, w.replace("a", "d", 1)) for w in words}
+
+
+def test_katz_asks_for_one_level_at_a_time(monkeypatch):
+    """The arrays of a batch and of its levels do not lie beside those of the next."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 50_000, 300_000).astype(np.uint32)
+    row = {
+        "batch": 1, "docs": [1], "held": [False], "lengths": [len(words)],
+        "tokens": katz._squeeze(words.tobytes()), "words": np.arange(50_000, dtype=np.uint64).tobytes(),
+    }
+    one = pa.RecordBatch.from_pylist([row])
+
+    def peak(batches):
+        tracemalloc.start()
+        levels = sum(1 for _ in katz._ask(iter(batches), 2, 1))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return levels, most / len(words)
+
+    assert peak([one])[0] == 2
+    levels, most = peak([one] * 3)
+    assert levels == 6 and most < 100  # bytes a token
