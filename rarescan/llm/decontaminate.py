@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, narrow
+from .common import bounded_batches, free_unused, narrow
 
 ITEM_WORDS = 4
 LEAST_SCORE = 0.5
@@ -333,6 +333,8 @@ def remove(
             for batch in batches:
                 texts = batch.column(text_at).to_pylist()
                 yield batch.filter(pa.array([not b.found(t, least) for t in texts], pa.bool_()))
+                del batch, texts
+                free_unused()
 
         kept = bounded_batches(kept).mapInArrow(run, docs.schema)
     return kept

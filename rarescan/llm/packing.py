@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import bounded_batches, narrow
+from .common import bounded_batches, free_unused, narrow
 
 CAPACITY = 2048
 END_ID = 1
@@ -268,8 +268,9 @@ def pack(
             found = encode(batch.column(1))
             for key, ids in zip(batch.column(0).to_pylist(), found, strict=True):
                 yield key, ids + end
+            del found
             encode.trim()
-            pa.default_memory_pool().release_unused()
+            free_unused()
 
     def run(batches):
         partition = TaskContext.get().partitionId()

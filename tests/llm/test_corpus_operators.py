@@ -400,3 +400,16 @@ def test_pipeline_of_nothing(spark, tmp_path, sf_dir):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
+
+
+def test_a_packing_worker_gives_memory_back():
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    before = resident()
+    blocks = [bytearray(100_000) for _ in range(2_000)]  # small enough to lie on the heap
+    kept = [bytearray(100_000)]  # above them, so that the heap does not shrink by itself
+    del blocks
+    packing.free_unused()
+    assert resident() - before < 50_000_000 and kept
