@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rarescan.llm import bitmaps, decontaminate, jaccard, quality, queries, suffix
+from rarescan.llm import bitmaps, decontaminate, jaccard, packing, quality, queries, suffix
 
 DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 CLASHES = ("node", "size", "prefix", "class", "ord", "kept", "spans", "group", "key", "item_id")
