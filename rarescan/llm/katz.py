@@ -101,7 +101,7 @@ def _extend(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """As ``np.unique`` with the inverse, in two thirds of its memory."""
+    """As ``np.unique`` with the inverse, in 25 bytes a value (there 45)."""
     order = np.argsort(values)
     ordered = values[order]
     new = np.ones(len(values), bool)
