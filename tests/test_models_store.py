@@ -1,5 +1,8 @@
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
@@ -9,6 +12,7 @@ from rarescan.config import BANK_APPLICATIONS as ROLES
 from rarescan.operators import explain, isolation, preprocess
 from rarescan.plans import models, training
 from rarescan.sources import store as stores
+from rarescan.sources import applications as tables_of_applications
 from rarescan.sources import tables
 from rarescan.sources.applications import applications, applications_view
 
@@ -208,6 +212,17 @@ def test_stack_round_trip(spark, sf_dir, train_rows, tmp_path):
     assert one == two
 
 
+def test_tasks_share_the_files_of_the_application_table(spark, sf_dir, monkeypatch):
+    """A join leaves few, uneven files; their row groups are small, so that no task has most of the rows."""
+    monkeypatch.setattr(tables_of_applications, "ROW_GROUP_BYTES", 16_384)
+    path = tables_of_applications.prepared_path(spark, f"{sf_dir}/")
+    files = list(Path(path).glob("split=*/*.parquet"))
+    groups = [pq.ParquetFile(f).metadata for f in files]
+    assert max(m.num_row_groups for m in groups) > 1
+    assert max(m.row_group(i).num_rows for m in groups for i in range(m.num_row_groups)) < 400
+    assert sum(m.num_rows for m in groups) == applications_view(spark, sf_dir).count()
+
+
 @pytest.mark.parametrize("n", [200, 1000])
 def test_tree_samples(spark, n):
     df = spark.range(n).select(
