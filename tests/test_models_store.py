@@ -279,6 +279,24 @@ def test_path_lengths_against_walking_each_row():
         assert mean == pytest.approx(total / 3)
 
 
+def test_walks_go_some_rows_at_a_time(monkeypatch):
+    """The same lengths whatever rows are walked together; trees of one node and missing values included."""
+    rng = np.random.default_rng(6)
+    rows = rng.normal(size=(50, 3))
+    trees = [isolation.grow_tree(part, np.random.default_rng(9)) for part in (rows, rows[:1], rows[:9])]
+    nodes = np.array([n for tree in trees for n in tree])
+    forest = dict(zip(("slot", "cut", "left", "right"), nodes[:, 1:5].T))
+    forest = {c: v if c == "cut" else v.astype(int) for c, v in forest.items()}
+    forest["tail"] = np.where(forest["slot"] < 0, isolation.expected_path(nodes[:, 5]), 0.0)
+    walk = isolation.walkable(forest, np.flatnonzero(nodes[:, 0] == 0))
+    rows[3, 0] = np.nan
+    want = [isolation.walked_lengths(row[None], walk)[0] for row in rows]
+    for size in (1, 7, 50, 4096):
+        monkeypatch.setattr(isolation, "ROWS_PER_WALK", size)
+        assert isolation.walked_lengths(rows, walk).tolist() == want
+    assert isolation.walked_lengths(rows[:0], walk).tolist() == []
+
+
 def test_expected_path():
     assert isolation.expected_path([1, 2]).tolist() == [0.0, 1.0]
     assert float(isolation.expected_path(256)) == pytest.approx(10.244770920116851)
