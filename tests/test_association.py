@@ -54,6 +54,34 @@ def test_spearman(table, frame, monkeypatch, lookup, rows_per_bucket):
     assert [r["feature"] for r in ranking][-1] == "same" and len(ranking) == 4
 
 
+def test_ranks_are_read_once(spark, monkeypatch):
+    """The joins behind the ranks run a single time; a constant column is null, an empty table all null."""
+    read = spark.sparkContext.accumulator(0)
+    rng = np.random.default_rng(8)
+    x = rng.permutation(200) - 99.5
+    rows = [(float(a), float(-a), 0.0, float(b)) for a, b in zip(x, rng.permutation(x))]
+
+    def ranked(df, key, columns):
+        @F.udf("double")
+        def seen(v):
+            read.add(1)
+            return v
+
+        frame = spark.createDataFrame(rows, ["a", "b", "c", "d"]).repartition(3)
+        return frame.withColumn("a", seen("a"))
+
+    monkeypatch.setattr(association, "_ranked", ranked)
+    df = spark.createDataFrame([(1.0, 2.0, 3.0, 4.0), (2.0, 1.0, 3.0, 5.0)], ["a", "b", "c", "d"])
+    got = association._complete_spearman(df, "k", ["a", "b", "c", "d"])
+    assert read.value == 200
+    assert got["a", "b"] == pytest.approx(-1, abs=1e-12) and got["a", "a"] == 1
+    assert got["a", "d"] == pytest.approx(np.corrcoef([r[0] for r in rows], [r[3] for r in rows])[0, 1], abs=1e-12)
+    assert all(got[pair] is None for pair in got if "c" in pair)
+    rows.clear()
+    monkeypatch.setattr(association, "_ranked", lambda df, key, columns: df)
+    assert set(association._complete_spearman(df.where("a > 5"), "k", ["a", "b"]).values()) == {None}
+
+
 def brute_u(x, y):
     pos, neg = x[y == 1], x[y == 0]
     wins = (pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()
