@@ -105,6 +105,22 @@ def test_running_counts_by_group(table, frame, rows_per_bucket):
         assert rank.tolist() == average.tolist()
 
 
+def test_edges_stay_bounded(table, monkeypatch):
+    """Buckets far smaller than the table do not grow what the driver holds; the counts stay the same."""
+    asked, plain = [], ranks.bucket_edges
+
+    def edges(df, columns, buckets):
+        asked.append(buckets)
+        return plain(df, columns, buckets)
+
+    monkeypatch.setattr(ranks, "bucket_edges", edges)
+    monkeypatch.setattr(ranks, "MOST_BUCKETS", 30)
+    whole = ranks.running_counts(table, COLUMNS, "y")
+    got = ranks.running_counts(table, COLUMNS, "y", rows_per_bucket=2)
+    assert asked == [30]
+    assert sorted(map(str, got.select(whole.columns).collect())) == sorted(map(str, whole.collect()))
+
+
 def test_no_single_task_under_row_windows(table):
     """Windows over values run per bucket; only bucket totals meet in one place."""
     df = ranks.running_counts(table, ["spread"], "y", rows_per_bucket=100)
