@@ -7,8 +7,9 @@ a few, then those of many, each by hash.
 
 - The first fragment of each set (its prefix) must hold a common n-gram of any pair
   similar enough; its n-grams that other texts have too are the posting lists.
-- Contraction: on the first places of the prefixes, each list's members are compared
-  with one leader only.  Groups of near copies become one component in this step, whatever their size.
+- Contraction: on some places of the prefixes, each list's members meet a few leaders only,
+  drawn by hash for each list, and keep the nearest by parity bits.  So each member of a group
+  of near copies has its own choice of leaders, and the group becomes one component, whatever its size.
 - The rest: lists that still touch several components give the pairs between
   different components. Sizes, places and parity bits (one flip per n-gram, so two sets
   differ in at least as many n-grams as bits) rule most others out inside the join.
@@ -45,7 +46,10 @@ from .common import bounded_batches, narrow, unused
 WORDS = 4
 PERCENT = 85
 FREQUENT = 30  # texts from which on an n-gram goes to the end of the order
-LEADERS = 4  # n-grams of a prefix whose lists are compared with a leader
+TURNS = 1  # of contraction
+FIRST, LAST = 4, 12  # n-grams of a prefix, from its start and its end, whose lists have leaders
+DRAWS = 8  # leaders of a list
+KEPT = 3  # leaders that a node keeps in a turn
 FRAGMENTS = 8
 LARGE_SET = 1 << 16  # n-grams above which a set's fragments are rows of their own
 SIGNATURE = 8  # longs of parity bits per set
@@ -186,19 +190,26 @@ def _postings(nodes: DataFrame, *more: str) -> DataFrame:
     """(gram, place, rank, node, size, bits..., more...): one row per node and n-gram."""
     both = F.arrays_zip("grams", "places")
     bits = [F.col("bits")[i].alias(f"bits{i}") for i in range(SIGNATURE)]
-    rows = nodes.select("node", "size", *more, *bits, F.posexplode(both).alias("rank", "both"))
+    held = F.size("grams").alias("held")
+    rows = nodes.select("node", "size", held, *more, *bits, F.posexplode(both).alias("rank", "both"))
     return rows.select(
-        F.col("both.grams").alias("gram"), F.col("both.places").alias("place"), "rank", "node", "size",
+        F.col("both.grams").alias("gram"), F.col("both.places").alias("place"), "rank",
+        (F.col("held") - 1 - F.col("rank")).alias("left"), "node", "size",
         *(f"bits{i}" for i in range(SIGNATURE)), *more,
     )
 
 
-def _near_enough(percent: int) -> Column:
-    """The parity bits do not rule the pair out: it differs in few enough n-grams."""
+def _flips() -> Column:
+    """How many parity bits differ: no more than the pair's n-grams that only one of the two has."""
     flipped = F.lit(0)
     for i in range(SIGNATURE):
         flipped = flipped + F.bit_count(F.col(f"bits{i}_a").bitwiseXOR(F.col(f"bits{i}_b")))
-    return (100 + percent) * flipped <= (100 - percent) * (F.col("size_a") + F.col("size_b"))
+    return flipped
+
+
+def _near_enough(percent: int) -> Column:
+    """The parity bits do not rule the pair out: it differs in few enough n-grams."""
+    return (100 + percent) * _flips() <= (100 - percent) * (F.col("size_a") + F.col("size_b"))
 
 
 def _fragments(texts: DataFrame, first, wanted, words: int, percent: int) -> DataFrame:
@@ -283,25 +294,31 @@ def _long_enough(percent: int) -> Column:
 COLUMNS = ("node", "size", "place", "rank", *(f"bits{i}" for i in range(SIGNATURE)))
 
 
-def _leader_pairs(nodes: DataFrame, percent: int) -> DataFrame:
-    """Each list of the prefixes' first shared n-grams: its members with one of them.
+def _leader_pairs(rows: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Each list's members with DRAWS of them, drawn anew for every list and turn.
 
-    A node keeps one leader: more would only verify again what one already links.
+    A node meets the leaders of some of its lists, those outside its own component
+    so far, and keeps the KEPT nearest by parity bits: the pairs grow with the nodes, and a
+    group of near copies becomes one component by the members' different leaders.
     """
-    few = nodes.withColumns({c: F.slice(c, 1, LEADERS) for c in ("grams", "places")})
-    few = _postings(few).select("gram", *COLUMNS)
-    leaders = few.groupBy("gram").agg(
-        F.min(F.struct(*COLUMNS)).alias("leader"), F.count(F.lit(1)).alias("n")
-    )
-    leaders = leaders.where("n > 1").select("gram", *(F.col(f"leader.{c}").alias(f"{c}_a") for c in COLUMNS))
-    met = few.select("gram", *(F.col(c).alias(f"{c}_b") for c in COLUMNS)).join(leaders, "gram")
-    found = _possible(met.where("node_a != node_b"), percent)
-    one = found.groupBy(F.col("b").alias("member")).agg(F.min(F.struct(*found.columns)).alias("pair"))
-    return one.select("pair.*")
-
-
-def _possible(met: DataFrame, percent: int) -> DataFrame:
-    """The distinct pairs that sizes, places and parity bits allow.
+    some = rows.where((F.col("rank") < FIRST) | (F.col("left") < LAST)).select("gram", *COLUMNS, "group")
+    drawn = [
+        F.min(F.struct(F.xxhash64("gram", "node", F.lit(turn * DRAWS + i)), *COLUMNS, "group")) for i in range(DRAWS)
+    ]
+    leaders = some.groupBy("gram").agg(F.array(*drawn).alias("leaders"), F.count(F.lit(1)).alias("n"))
+    leaders = leaders.where("n > 1").select("gram", F.explode("leaders").alias("leader"))
+    leaders = leaders.select("gram", *(F.col(f"leader.{c}").alias(f"{c}_a") for c in (*COLUMNS, "group")))
+    members = some.select("gram", *(F.col(c).alias(f"{c}_b") for c in (*COLUMNS, "group")))
+    met = members.join(leaders, "gram").where("node_a != node_b and group_a != group_b")
+    kept = met.where(_possible(percent))
+    found = kept.select(F.col("node_b").alias("member"), F.struct(_flips().alias("flips"), *_pair()).alias("pair"))
+    nearest = F.slice(F.array_sort(F.collect_set("pair")), 1, KEPT)
+    pairs = found.groupBy("member").agg(nearest.alias("pairs")).select(F.explode("pairs").alias("pair"))
+    return pairs.select("pair.a", "pair.b", "pair.size_a", "pair.size_b").distinct()
+
+
+def _possible(percent: int) -> Column:
+    """Sizes, places and parity bits allow the pair.
 
     What lies before the first shared n-gram of a set is in no other set, so the
     pair can share what it shares before this n-gram and what is left from it on.
@@ -309,18 +326,26 @@ def _possible(met: DataFrame, percent: int) -> DataFrame:
     ahead = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
     most = F.least("rank_a", "rank_b") + ahead
     enough = (100 + percent) * most >= percent * (F.col("size_a") + F.col("size_b"))
-    kept = met.where(_long_enough(percent) & enough & _near_enough(percent))
-    return kept.select(
+    return _long_enough(percent) & enough & _near_enough(percent)
+
+
+def _pair() -> list[Column]:
+    """a, b, size_a and size_b with the smaller node first."""
+    first = F.col("node_a") < F.col("node_b")
+    return [
         F.least("node_a", "node_b").alias("a"),
         F.greatest("node_a", "node_b").alias("b"),
-        F.when(F.col("node_a") < F.col("node_b"), F.col("size_a")).otherwise(F.col("size_b")).alias("size_a"),
-        F.when(F.col("node_a") < F.col("node_b"), F.col("size_b")).otherwise(F.col("size_a")).alias("size_b"),
-    ).distinct()
+        F.when(first, F.col("size_a")).otherwise(F.col("size_b")).alias("size_a"),
+        F.when(first, F.col("size_b")).otherwise(F.col("size_a")).alias("size_b"),
+    ]
 
 
-def _other_pairs(nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a list that lie in different components so far."""
-    grouped = nodes.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+def _open_lists(nodes: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """The written posting rows of lists that touch several components so far."""
+    if groups is None:
+        grouped = nodes.withColumn("group", F.col("node"))
+    else:
+        grouped = nodes.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
     grouped = materialize(grouped, "grouped")
     several = (
         grouped.select(F.explode("grams").alias("gram"), "group")
@@ -330,13 +355,17 @@ def _other_pairs(nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame
         .select("gram")
     )
     rows = materialize(_postings(grouped, "group").join(several, "gram", "left_semi"), "postings")
+    discard(grouped)
+    return rows
+
+
+def _other_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a list that lie in different components so far."""
     one, two = (
         rows.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in (*COLUMNS, "group"))) for s in "ab"
     )
     met = one.join(two, "gram").where("node_a < node_b and group_a != group_b")
-    pairs = materialize(_possible(met, percent), "pairs")
-    discard(grouped, rows)
-    return pairs
+    return met.where(_possible(percent)).select(*_pair()).distinct()
 
 
 # ---- components -----------------------------------------------------------------
@@ -389,12 +418,18 @@ def join(
     levels.destroy()
     nodes = materialize(prefixes.drop("class").dropDuplicates(["node"]), "nodes")
 
-    pairs = materialize(_leader_pairs(nodes, percent), "pairs")
-    links = verified(source, first, pairs, words, percent)
-    groups = components(links)
-    more = verified(source, first, _other_pairs(nodes, groups, percent), words, percent)
-    if not more.isEmpty():
-        groups = components(links.unionByName(more))
+    groups, links = None, None
+    for turn in range(TURNS + 1):
+        rows = _open_lists(nodes, groups)
+        found = _leader_pairs(rows, percent, turn) if turn < TURNS else _other_pairs(rows, percent)
+        pairs = materialize(found, "pairs")
+        discard(rows)
+        more = verified(source, first, pairs, words, percent)
+        if turn == 0:
+            links, groups = more, components(more)
+        elif not more.isEmpty():
+            links = links.unionByName(more)
+            groups = components(links)
     discard(nodes)
 
     of_class = prefixes.select("class", "node", "size").dropDuplicates(["class"])

@@ -101,6 +101,29 @@ def test_jaccard_chains_and_hot_groups(spark):
         assert found_components(jaccard.join(docs, frequent_from=often)) == brute_components(rows)
 
 
+def test_jaccard_near_copies_around_the_threshold(spark, monkeypatch):
+    """Few pairs of a group of near copies are links, and yet few pairs are left after contraction."""
+    rows, rng = [], np.random.default_rng(5)
+    for i in range(240):
+        words = story(0, 200).split()
+        for at in rng.choice(200, 2, replace=False):
+            words[at] = f"z{i}"
+        rows.append((i, " ".join(words)))
+    left, other_pairs = [], jaccard._other_pairs
+
+    def counted(*args):
+        pairs = other_pairs(*args)
+        left.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard, "_other_pairs", counted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected = brute_components(rows)
+    assert found_components(jaccard.join(docs)) == expected
+    assert len({component for _, _, component in expected}) == 1
+    assert sum(left) <= len(rows)
+
+
 def test_jaccard_of_unlike_sizes(spark, monkeypatch):
     """A small set meets one whose fragments are rows of their own, at any percentage."""
     monkeypatch.setattr(jaccard, "LARGE_SET", 64)
