@@ -197,3 +197,58 @@ def test_odd_rows_do_not_break_a_fit(spark):
     assert len(model.trees) == 2
     (flat,) = boosting.fit(df.where("y = 1"), [Boost(rounds=1)], "y", "k")
     assert len(flat.trees[0].feature) == 1 and flat.start > 10
+
+
+def test_passes_give_the_models_that_tasks_fit_alone(table, together, monkeypatch):
+    hows, alone = together
+    monkeypatch.setattr(boosting, "LOCAL_BYTES", 0)
+    x, _, _ = data()
+    for few in (hows[:4], hows):  # large codes, small codes
+        passed = fit(table, *few, weight=F.col("w"), fold="fold")
+        for one, other in zip(passed, alone):
+            assert one.areas is None and other.areas is not None
+            assert margins(one, x) == pytest.approx(margins(other, x), abs=1e-9)
+
+
+def test_codes_hold_the_bins_of_several_features():
+    sizes = [65, 3, 65, 3, 40, 10, 1]
+    pick = np.random.default_rng(1)
+    bins = np.stack([pick.integers(0, size, 500) for size in sizes]).astype(np.uint8)
+    g, place = pick.normal(size=500), pick.integers(0, 4, 500)
+    for most in (boosting.PACKED, boosting.PACKED_LOCAL):
+        packing = boosting.Packing(sizes, most)
+        assert len(packing.groups) < len(sizes) and max(packing.values) <= most
+        codes, sums = packing.packed(bins), np.zeros((2, 4, sum(sizes)))
+        packing.add(sums, codes, place, (g, None), range(len(sizes)))
+        for feature, size in enumerate(sizes):
+            at, table = packing.goes_left(feature, 1)
+            assert (table[codes[at]] == (bins[feature] <= 1)).all()
+            for part in range(4):
+                own = bins[feature][place == part]
+                found = sums[:, part, packing.offsets[feature] :][:, :size]
+                assert found[0] == pytest.approx(np.bincount(own, g[place == part], size))
+                assert (found[1] == np.bincount(own, minlength=size)).all()
+
+
+def test_cuts_are_quantiles_of_all_rows(spark, monkeypatch):
+    rows = spark.range(200_000, numPartitions=4).selectExpr(
+        "array((id * 7919) % 200000 / 10D, id % 3, if(id = 77, -5D, if(id % 2 = 0, double('nan'), 4D))) a"
+    )
+    cuts = boosting.feature_cuts(rows.select(array_to_vector("a").alias("features")), "features")
+    exact = np.arange(64) / 64 * 20_000
+    assert cuts[0] == pytest.approx(exact, abs=20_000 * 0.002) and cuts[0][0] == 0
+    assert cuts[1].tolist() == [0, 1, 2] and cuts[2].tolist() == [-5, 4]
+
+
+def test_search_takes_the_areas_of_the_fit(spark, table, monkeypatch):
+    from rarescan.config import SETTINGS, Roles
+
+    spec = replace(models.MODELS["xgb"], draws=2)
+    monkeypatch.setattr(training, "preprocessor", lambda *_: type("P", (), {"fit": lambda s, d: s, "transform": lambda s, d: d})())
+    monkeypatch.setattr(training, "_width", lambda _: FEATURES)
+    roles = Roles(key="k", label="y", numeric=(), categorical=())
+    tried = [{**c, "n_estimators": 5} for c in spec.candidates(1)]
+    small = training.shared_scores(table, spec, tried, roles, SETTINGS)
+    monkeypatch.setattr(boosting, "LOCAL_BYTES", 0)
+    judged = training.shared_scores(table, spec, tried, roles, SETTINGS)
+    assert np.array(small) == pytest.approx(np.array(judged), abs=1e-9)
