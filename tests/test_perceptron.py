@@ -100,3 +100,27 @@ def test_written_blocks_and_row_groups_are_small(spark):
     ]
     assert sum(groups) > 30_000_000 and max(groups) < 2 * ROW_GROUP_BYTES
     rows.close()
+
+
+def test_packed_rows_are_the_same_rows():
+    x = np.random.default_rng(2).normal(size=(50, 6))
+    x[:, 1], x[:, 3], x[:, 4] = np.arange(50) % 3, -7.0, 300.0
+    found = perceptron.packed(x)
+    assert len(found) == 6 + 50 * (2 + 4 * 8) and (perceptron.unpacked(found, 50, 6) == x).all()
+    wider = perceptron.unpacked(found, 50, 6, 1)
+    assert (wider[:, :6] == x).all() and (wider[:, 6] == 1).all()
+    assert perceptron.unpacked(perceptron.packed(x[:0]), 0, 6).shape == (0, 6)
+
+
+def test_blocks_that_memory_does_not_hold_are_read_again(spark, monkeypatch):
+    rows = spark.range(600).selectExpr("id k", "array(id / 7D, id % 2) a", "cast(id % 2 as int) y")
+    df = rows.withColumn("features", array_to_vector("a"))
+    how = perceptron.Perceptron(hidden=(3,), epochs=2)
+    (kept,) = perceptron.fit(df, [how], "y", "k")
+    monkeypatch.setattr(perceptron, "KEPT_BYTES", 0)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    found = perceptron.Rows(df, "y", "k", "features", None, None, 256)
+    assert not found.kept and spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    found.close()
+    (read,) = perceptron.fit(df, [how], "y", "k")
+    assert read.flat == pytest.approx(kept.flat, abs=1e-12)
