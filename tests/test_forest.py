@@ -107,3 +107,13 @@ def test_odd_tables(spark):
     assert model.totalNumNodes == 2 and {r[0] for r in model.transform(df).select("prediction").collect()} == {1.0}
     with pytest.raises(ValueError, match="rows"):
         ForestClassifier(labelCol="y", keyCol="k").fit(df.where("k < 0"))
+
+
+def test_leaves_have_no_negative_weights(spark):
+    """Weights such as 0.1 do not cancel exactly when a child has its parent's rest."""
+    rows = [(i, [float(i % 97), float(i % 89)], int(i % 97 > 60), 0.1 + 0.2 * (i % 97 > 60)) for i in range(900)]
+    df = spark.createDataFrame(rows, "k bigint, a array<double>, y int, w double").withColumn("features", array_to_vector("a"))
+    trees, _ = forest.fit(df, Forest(trees=30, max_depth=8), "y", "k", weight=F.col("w"))
+    for tree in trees:
+        for counted, weights in zip(tree.rows, tree.weights):
+            assert (weights >= 0).all() and (weights[counted == 0] == 0).all()
